@@ -1,10 +1,11 @@
 """Exact grouped medians whose work stays spread when one group holds most of the rows.
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer, so a city with a third
-of all sales would be one task's hash map.  Here equal values are counted first (the shuffle key
-includes the value), the groups are described by order-preserving logarithmic bands, and only the rows
-of the band that contains the middle rank are ordered.  No step brings a whole group to one task, and
-the result is exact: bands only decide where to look.
+of all sales would be one task's hash map.  That is fine while the whole input is known to be small,
+and ``aggregate_with_medians`` uses it then.  Beyond that size ``grouped_median`` counts equal values
+first (the shuffle key includes the value), describes the groups by order-preserving logarithmic
+bands, and orders only the rows of the band that contains the middle rank.  No step brings a whole
+group to one task, and the result is exact: bands only decide where to look.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 FINE = 1 << 20  # bands per factor e
 COARSE_SHIFT = 14  # fine bands per coarse band: 2**14; coarse bands per factor e: 64
+SMALL_INPUT = 32 << 20  # bytes; an input under this may be folded by ``percentile``
 _OFFSET = 800 * FINE  # above |ln| of any double, keeps the bands of positive values positive
 
 
@@ -37,7 +39,8 @@ def _around_middle(counts: DataFrame, group: list[str], order: str) -> DataFrame
 def grouped_median(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
     """One row per key with the interpolated median of each value, nulls ignored.
 
-    A key whose values are all null has no row: join the result with ``left``.
+    Rows with a null key are left out, and a key whose values are all null has no row: join the
+    result with ``left``.
     """
     group = [*keys, "_metric"]
     names = list(values)
@@ -51,12 +54,17 @@ def grouped_median(df: DataFrame, keys: list[str], values: dict[str, Column]) ->
                 ]
             )
         ),
-    ).where(F.col("_value").isNotNull())
+    )
+    # The joins below need these columns known; filtering here keeps the count's shuffle identical, and
+    # so shared, in every branch that reads it.
+    for name in (*keys, "_value"):
+        rows = rows.where(F.col(name).isNotNull())
     tally = (
         rows.groupBy(*group, "_value")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("_fine", value_band(F.col("_value")))
         .withColumn("_coarse", F.shiftright("_fine", COARSE_SHIFT))
+        .where(F.col("_fine").isNotNull() & F.col("_coarse").isNotNull())
     )
 
     coarse = tally.groupBy(*group, "_coarse").agg(F.sum("n").alias("n"))
@@ -88,3 +96,18 @@ def grouped_median(df: DataFrame, keys: list[str], values: dict[str, Column]) ->
     return medians.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_metric") == i, F.col("_median"))).alias(name) for i, name in enumerate(names)]
     )
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate, the one automatic broadcasts rely on; no job is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def aggregate_with_medians(
+    df: DataFrame, keys: list[str], aggregates: list[Column], values: dict[str, Column], small: int = SMALL_INPUT
+) -> DataFrame:
+    """One row per key: ``aggregates`` plus the exact median of each value."""
+    if estimated_bytes(df) <= small:
+        medians = [F.percentile(value.cast("double"), 0.5).alias(name) for name, value in values.items()]
+        return df.groupBy(*keys).agg(*aggregates, *medians)
+    return df.groupBy(*keys).agg(*aggregates).join(grouped_median(df, keys, values), keys, "left")

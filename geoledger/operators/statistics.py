@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoledger.functions.geometry import mercator_area
-from geoledger.functions.medians import grouped_median
+from geoledger.functions.medians import SMALL_INPUT, aggregate_with_medians
 from geoledger.functions.numbers import ratio, round_half_up, weighted_mean
 from geoledger.operators.transactions import positive_sales
 
@@ -28,14 +28,14 @@ def _rounded() -> list:
     ]
 
 
-def city_stats(cities: DataFrame, tx: DataFrame) -> DataFrame:
+def city_stats(cities: DataFrame, tx: DataFrame, small: int = SMALL_INPUT) -> DataFrame:
     """One row per city with at least one sale of positive price.
 
     Sales are folded per city before the cities are joined, so a city with most of the sales reaches
     the join as one row, and its medians are taken without gathering its sales.
     """
     sales = positive_sales(tx)
-    totals = sales.groupBy("city_id").agg(
+    totals = [
         F.count("tx_id").alias("transactions"),
         F.count("built").alias("transactions_built"),
         F.count("land").alias("transactions_land"),
@@ -47,28 +47,24 @@ def city_stats(cities: DataFrame, tx: DataFrame) -> DataFrame:
         F.avg("land").alias("land_mean"),
         F.min("tx_date").alias("first_date"),
         F.max("tx_date").alias("last_date"),
-    )
-    medians = grouped_median(
-        sales,
-        ["city_id"],
-        {f"{name}_median": F.col(name) for name in ("price", "price_m2", "built", "land")},
-    )
+    ]
+    medians = {f"{name}_median": F.col(name) for name in ("price", "price_m2", "built", "land")}
+    folded = aggregate_with_medians(sales, ["city_id"], totals, medians, small)
     areas = cities.select(
         "city_id", "name", "department_id", "region_id", (mercator_area(F.col("geometry")) / 1e6).alias("km2")
     )
     return (
-        areas.join(totals, "city_id")
-        .join(medians, "city_id", "left")
+        areas.join(folded, "city_id")
         .withColumn(DENSITY, ratio(F.col("transactions"), F.col("km2")))
         .select("city_id", "name", "department_id", "region_id", *COUNTERS, *_rounded())
     )
 
 
-def _rollup(children: DataFrame, key: str, counters: list) -> DataFrame:
+def _rollup(children: DataFrame, key: str, counters: list, small: int) -> DataFrame:
     """Statistics of a parent level from its children's rounded rows."""
     n = F.col("transactions")
     built, land = F.col("transactions_built"), F.col("transactions_land")
-    totals = children.groupBy(key).agg(
+    totals = [
         *counters,
         *[F.sum(name).alias(name) for name in COUNTERS],
         weighted_mean(F.col("price_mean"), n).alias("price_mean"),
@@ -80,15 +76,14 @@ def _rollup(children: DataFrame, key: str, counters: list) -> DataFrame:
         F.min("first_date").alias("first_date"),
         F.max("last_date").alias("last_date"),
         weighted_mean(F.col(DENSITY), n).alias(DENSITY),
-    )
-    medians = grouped_median(children, [key], {name: F.col(name) for name in MEDIANS})
-    return totals.join(medians, key, "left")
+    ]
+    return aggregate_with_medians(children, [key], totals, {name: F.col(name) for name in MEDIANS}, small)
 
 
-def department_stats(departments: DataFrame, cities: DataFrame) -> DataFrame:
+def department_stats(departments: DataFrame, cities: DataFrame, small: int = SMALL_INPUT) -> DataFrame:
     """Weighted means and medians of medians over city statistics."""
     active = cities.where(F.col("transactions") > 0)
-    stats = _rollup(active, "department_id", [F.count("city_id").alias("cities")])
+    stats = _rollup(active, "department_id", [F.count("city_id").alias("cities")], small)
     return (
         departments.select("department_id", "name", "region_id")
         .join(stats, "department_id")
@@ -96,11 +91,11 @@ def department_stats(departments: DataFrame, cities: DataFrame) -> DataFrame:
     )
 
 
-def region_stats(regions: DataFrame, departments: DataFrame) -> DataFrame:
+def region_stats(regions: DataFrame, departments: DataFrame, small: int = SMALL_INPUT) -> DataFrame:
     """The same measures over department statistics."""
     active = departments.where(F.col("transactions") > 0)
     counters = [F.count("department_id").alias("departments"), F.sum("cities").alias("cities")]
-    stats = _rollup(active, "region_id", counters)
+    stats = _rollup(active, "region_id", counters, small)
     return (
         regions.select("region_id", "name")
         .join(stats, "region_id")

@@ -1,8 +1,8 @@
 """All registered queries by name."""
 
-from geoledger.plans import properties
+from geoledger.plans import properties, texts
 
-MODULES = (properties,)
+MODULES = (properties, texts)
 
 
 def queries() -> dict:

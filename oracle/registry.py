@@ -1,8 +1,8 @@
 """All SQL twins by query name."""
 
-from oracle import properties
+from oracle import properties, texts
 
-MODULES = (properties,)
+MODULES = (properties, texts)
 
 
 def oracle_sql() -> dict[str, str]:
