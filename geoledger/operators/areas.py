@@ -101,8 +101,11 @@ def intersecting(areas: DataFrame, view: G.Viewport) -> DataFrame:
     return near.where(G.intersects_box(F.col("geometry"), box))
 
 
-def intersecting_many(areas: DataFrame, viewports: DataFrame, cell: float = 1.0) -> DataFrame:
-    """(view_id, area) pairs for a table of viewports, met on grid cells and then tested exactly."""
+def intersecting_many(areas: DataFrame, viewports: DataFrame, cell: float = 1.0, salts: int = 16) -> DataFrame:
+    """(view_id, area) pairs for a table of viewports, met on grid cells and then tested exactly.
+
+    A salt spreads the viewports of a crowded cell; the area side is repeated once per salt.
+    """
     views = viewports.select(
         "view_id",
         F.struct(
@@ -111,20 +114,22 @@ def intersecting_many(areas: DataFrame, viewports: DataFrame, cell: float = 1.0)
         ).alias("view"),
     )
     view_cells = views.select(
-        "view_id", "view", F.inline(G.cells_of(F.col("view.min_x"), F.col("view.min_y"), F.col("view.max_x"), F.col("view.max_y"), cell))
-    )
+        "view_id", "view", F.pmod(F.xxhash64("view_id"), F.lit(salts)).cast("int").alias("salt"),
+        F.inline(G.cells_of(F.col("view.min_x"), F.col("view.min_y"), F.col("view.max_x"), F.col("view.max_y"), cell)),
+    )
     corners = [F.col(c) for c in ("min_x", "min_y", "max_x", "max_y")]
-    area_cells = areas.select("*", F.inline(G.cells_of(*corners, cell)))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    area_cells = areas.select("*", F.inline(G.cells_of(*corners, cell))).select("*", copies)
     box = {c: F.col(f"view.{c}") for c in ("min_x", "min_y", "max_x", "max_y")}
     # a pair is tested in one cell only: the first one both boxes cover
     first_i = F.floor(F.greatest(F.col("min_x"), box["min_x"]) / cell)
     first_j = F.floor(F.greatest(F.col("min_y"), box["min_y"]) / cell)
     return (
-        view_cells.join(area_cells, ["i", "j"])
+        view_cells.join(area_cells, ["i", "j", "salt"])
         .where((F.col("i") == first_i) & (F.col("j") == first_j))
         .where(G.overlaps_box(*corners, box))
         .where(G.intersects_box(F.col("geometry"), box))
-        .drop("view", "i", "j")
+        .drop("view", "i", "j", "salt")
     )
 
 

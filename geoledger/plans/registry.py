@@ -1,8 +1,8 @@
 """All registered queries by name."""
 
-from geoledger.plans import properties, texts
+from geoledger.plans import maps, properties, texts
 
-MODULES = (properties, texts)
+MODULES = (properties, texts, maps)
 
 
 def queries() -> dict:

@@ -1,8 +1,8 @@
 """All SQL twins by query name."""
 
-from oracle import properties, texts
+from oracle import maps, properties, texts
 
-MODULES = (properties, texts)
+MODULES = (properties, texts, maps)
 
 
 def oracle_sql() -> dict[str, str]:
