@@ -1,8 +1,8 @@
 """All registered queries by name."""
 
-from geoledger.plans import maps, properties, texts
+from geoledger.plans import checks, ingest, maps, properties, texts
 
-MODULES = (properties, texts, maps)
+MODULES = (properties, texts, maps, checks, ingest)
 
 
 def queries() -> dict:

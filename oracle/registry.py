@@ -1,8 +1,8 @@
 """All SQL twins by query name."""
 
-from oracle import maps, properties, texts
+from oracle import checks, ingest, maps, properties, texts
 
-MODULES = (properties, texts, maps)
+MODULES = (properties, texts, maps, checks, ingest)
 
 
 def oracle_sql() -> dict[str, str]:
