@@ -92,7 +92,7 @@ NEUTRAL_COLOUR = "#888888"
 SATISFACTION_SCALE = (5.0, 2.5)
 
 # --- fixed values: page addresses ---------------------------------------------------------------
-CITY_URL = r"/[^/]+-\d+/avis\.html$"
+CITY_URL = r"^https?://[^/]+/[^/]+-\d+/avis\.html$"
 CITY_CODE_IN_URL = r"/[^/]+-(\d+)/avis\.html"
 QUARTER_MARK = "/quartier-"
 DISTRICT_MARK = "arrondissement"

@@ -1,7 +1,9 @@
-"""Multipolygon arithmetic with array expressions; nothing leaves the JVM.
+"""Multipolygon arithmetic with SQL array expressions; nothing leaves the JVM.
 
 A geometry is ``array<polygon>``, a polygon ``array<ring>`` (outer ring first, then holes), a ring
-``array<struct<x, y>>`` with its first point repeated at the end.
+``array<struct<x, y>>`` with its first point repeated at the end.  Arguments are column names or SQL
+expressions.  An array that is used several times is bound as a lambda variable, so that it is
+computed once per row and not once per point.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from geoledger import constants as C
 from geoledger.schemas import GEOMETRY
 
-_NUMBER = r"-?[0-9.]+(?:[eE][-+]?[0-9]+)?"
+CORNERS = ("min_x", "min_y", "max_x", "max_y")
 
 
 @dataclass(frozen=True)
@@ -28,274 +30,230 @@ class Viewport:
     ne_lon: float
 
 
+Box = dict[str, str]  # CORNERS -> SQL expression
+
+
+def viewport_box(view: Viewport) -> Box:
+    sides = (view.sw_lon, view.sw_lat, view.ne_lon, view.ne_lat)
+    return {corner: f"{float(side)!r}D" for corner, side in zip(CORNERS, sides)}
+
+
 # --- reading and writing ------------------------------------------------------------------------
 
 
-def _as_points(coordinates: Column) -> Column:
+def _points(nested: str) -> str:
     """array<array<array<array<double>>>> -> GEOMETRY, extra ordinates dropped."""
-    point = lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))
-    return F.transform(coordinates, lambda polygon: F.transform(polygon, lambda ring: F.transform(ring, point)))
+    pair = "named_struct('x', p[0], 'y', p[1])"
+    return f"transform({nested}, g -> transform(g, r -> transform(r, p -> {pair})))"
 
 
-def parse_coordinates(coordinates: Column, kind: Column) -> Column:
+def parse_coordinates(coordinates: str, kind: str) -> Column:
     """GeoJSON coordinate text of a Polygon or MultiPolygon as a multipolygon.
 
     Points that arrive as quoted text (``"[2.1,48.8]"``) are accepted.
     """
-    text = F.regexp_replace(coordinates, '"', "")
-    nested = F.when(kind == "Polygon", F.concat(F.lit("["), text, F.lit("]"))).when(kind == "MultiPolygon", text)
-    return _as_points(F.from_json(nested, "array<array<array<array<double>>>>"))
+    text = f"replace({coordinates}, '\"', '')"
+    nested = f"CASE {kind} WHEN 'Polygon' THEN concat('[', {text}, ']') WHEN 'MultiPolygon' THEN {text} END"
+    return F.expr(_points(f"from_json({nested}, 'array<array<array<array<double>>>>')"))
 
 
-def as_multipolygon(polygon: Column) -> Column:
-    return F.when(polygon.isNotNull(), F.array(polygon))
+def as_multipolygon(polygon: str) -> Column:
+    return F.expr(f"CASE WHEN {polygon} IS NOT NULL THEN array({polygon}) END")
 
 
-def repair_rings(geometry: Column) -> Column:
+def repair_rings(geometry: str) -> Column:
     """Drop repeated neighbours, close open rings, drop rings under four points and empty polygons."""
-
-    def without_repeats(ring: Column) -> Column:
-        return F.filter(ring, lambda p, i: (i == 0) | (p != F.get(ring, F.greatest(i - 1, F.lit(0)))))
-
-    def closed(ring: Column) -> Column:
-        return F.when(F.get(ring, F.lit(0)) != F.element_at(ring, -1), F.concat(ring, F.slice(ring, 1, 1))).otherwise(ring)
-
-    def repaired(polygon: Column) -> Column:
-        rings = F.transform(polygon, lambda ring: closed(without_repeats(ring)))
-        return F.when(
-            F.size(F.get(rings, F.lit(0))) >= 4, F.filter(rings, lambda ring: F.size(ring) >= 4)
-        ).otherwise(F.slice(rings, 1, 0))
-
-    polygons = F.transform(geometry, repaired)
-    return F.filter(polygons, lambda polygon: F.size(polygon) > 0)
+    distinct = "filter(r, (p, i) -> i = 0 OR p != r[i - 1])"
+    closed = "CASE WHEN size(c) > 0 AND c[0] != element_at(c, -1) THEN concat(c, slice(c, 1, 1)) ELSE c END"
+    rings = f"transform(transform({geometry}, g -> transform(g, r -> {distinct})), g -> transform(g, c -> {closed}))"
+    kept = "CASE WHEN size(get(g, 0)) >= 4 THEN filter(g, r -> size(r) >= 4) ELSE slice(g, 1, 0) END"
+    return F.expr(f"filter(transform({rings}, g -> {kept}), g -> size(g) > 0)")
 
 
-def crosses_itself(ring: Column) -> Column:
-    """True when two edges of a ring that are not neighbours cross."""
-    edges = ring_edges(ring)
+def _side(edge: str, x: str, y: str) -> str:
+    """Which side of an edge a point lies on: -1, 0, 1."""
+    return f"signum(({edge}.x2 - {edge}.x1) * ({y} - {edge}.y1) - ({edge}.y2 - {edge}.y1) * ({x} - {edge}.x1))"
 
-    def side(e: Column, x: Column, y: Column) -> Column:
-        return F.signum((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]))
 
-    def cross(a: Column, b: Column) -> Column:
-        return (side(a, b["x1"], b["y1"]) * side(a, b["x2"], b["y2"]) < 0) & (
-            side(b, a["x1"], a["y1"]) * side(b, a["x2"], a["y2"]) < 0
-        )
+def is_simple(geometry: str) -> Column:
+    """No two edges of a ring cross; rings that do are reported, not repaired.
 
-    return F.exists(edges, lambda a: F.exists(edges, lambda b: cross(a, b)))
-
-
-def is_simple(geometry: Column) -> Column:
-    """No ring crosses itself; such rings are reported, not repaired."""
-    return ~F.exists(geometry, lambda polygon: F.exists(polygon, crosses_itself))
+    Every pair of edges of a ring is looked at: meant for checking boundaries once, at import.
+    """
+    apart = f"{_side('a', 'b.x1', 'b.y1')} * {_side('a', 'b.x2', 'b.y2')} < 0"
+    across = f"{_side('b', 'a.x1', 'a.y1')} * {_side('b', 'a.x2', 'a.y2')} < 0"
+    crossing = f"exists(es, a -> exists(es, b -> {apart} AND {across}))"
+    return F.expr(f"NOT exists({geometry}, g -> exists(transform(g, r -> {_edges('r')}), es -> {crossing}))")
 
 
-def _number_text(number: Column) -> Column:
-    return F.regexp_replace(number.cast("string"), r"\.0$", "")
+def _nested_text(items: str, var: str, body: str) -> str:
+    return f"concat('(', array_join(transform({items}, {var} -> {body}), ', '), ')')"
 
 
-def to_wkt(geometry: Column) -> Column:
-    def nested(items: Column, render) -> Column:
-        return F.concat(F.lit("("), F.array_join(F.transform(items, render), ", "), F.lit(")"))
+def to_wkt(geometry: str) -> Column:
+    number = lambda n: f"regexp_replace(string({n}), '[.]0$', '')"
+    pair = f"concat({number('p.x')}, ' ', {number('p.y')})"
+    body = _nested_text(geometry, "g", _nested_text("g", "r", _nested_text("r", "p", pair)))
+    return F.expr(f"concat('MULTIPOLYGON ', {body})")
 
-    def point(p: Column) -> Column:
-        return F.concat_ws(" ", _number_text(p["x"]), _number_text(p["y"]))
 
-    body = nested(geometry, lambda polygon: nested(polygon, lambda ring: nested(ring, point)))
-    return F.concat(F.lit("MULTIPOLYGON "), body)
+def from_wkt(text: str) -> Column:
+    number = "(-?[0-9.]+(?:[eE][-+]?[0-9]+)?)"
+    body = f"regexp_replace({text}, '(?i)^ *MULTIPOLYGON *', '')"
+    pairs = f"regexp_replace({body}, '{number} +{number}', '[$1,$2]')"
+    return F.expr(_points(f"from_json(translate({pairs}, '()', '[]'), 'array<array<array<array<double>>>>')"))
 
 
-def from_wkt(text: Column) -> Column:
-    body = F.regexp_replace(text, r"(?i)^\s*MULTIPOLYGON\s*", "")
-    pairs = F.regexp_replace(body, rf"({_NUMBER})\s+({_NUMBER})", "[$1,$2]")
-    return _as_points(F.from_json(F.translate(pairs, "()", "[]"), "array<array<array<array<double>>>>"))
+def point(lon: str, lat: str) -> Column:
+    """Point in longitude / latitude degrees (SRID 4326), null when a coordinate is missing."""
+    return F.expr(f"CASE WHEN {lon} IS NOT NULL AND {lat} IS NOT NULL THEN named_struct('x', {lon}, 'y', {lat}) END")
 
 
-def point(lon: Column, lat: Column) -> Column:
-    """Point in longitude / latitude degrees (SRID 4326), null when a coordinate is missing."""
-    return F.when(lon.isNotNull() & lat.isNotNull(), F.struct(lon.alias("x"), lat.alias("y")))
+def coordinates_json(geometry: str) -> Column:
+    """Coordinate array of a MultiPolygon as GeoJSON text."""
+    nested = f"transform({geometry}, g -> transform(g, r -> transform(r, p -> array(p.x, p.y))))"
+    return F.expr(f"to_json({nested})")
 
 
-def to_geojson(geometry: Column) -> Column:
-    pair = lambda p: F.array(p["x"], p["y"])
-    coordinates = F.transform(geometry, lambda polygon: F.transform(polygon, lambda ring: F.transform(ring, pair)))
-    return F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), coordinates.alias("coordinates")))
+def to_geojson(geometry: str) -> Column:
+    return F.concat(F.lit('{"type":"MultiPolygon","coordinates":'), coordinates_json(geometry), F.lit("}"))
 
 
-def point_geojson(p: Column) -> Column:
-    return F.to_json(F.struct(F.lit("Point").alias("type"), F.array(p["x"], p["y"]).alias("coordinates")))
+def point_geojson(lon: str, lat: str) -> Column:
+    return F.expr(f"to_json(named_struct('type', 'Point', 'coordinates', array({lon}, {lat})))")
 
 
 # --- measures -----------------------------------------------------------------------------------
 
 
-def ring_edges(ring: Column) -> Column:
+def _edges(ring: str) -> str:
     """Neighbouring points of a ring as (x1, y1, x2, y2)."""
-    ends = F.slice(ring, F.lit(2), F.greatest(F.size(ring) - 1, F.lit(0)))
-    starts = F.slice(ring, F.lit(1), F.greatest(F.size(ring) - 1, F.lit(0)))
-    return F.zip_with(
-        starts,
-        ends,
-        lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")),
-    )
+    n = f"greatest(size({ring}) - 1, 0)"
+    pair = "named_struct('x1', a.x, 'y1', a.y, 'x2', b.x, 'y2', b.y)"
+    return f"zip_with(slice({ring}, 1, {n}), slice({ring}, 2, {n}), (a, b) -> {pair})"
 
 
-def ring_area(ring: Column) -> Column:
+def _ring_area(ring: str) -> str:
     """Unsigned shoelace area, measured from the first point to keep the terms small."""
-    origin = F.get(ring, F.lit(0))
-
-    def term(e: Column) -> Column:
-        return (e["x1"] - origin["x"]) * (e["y2"] - origin["y"]) - (e["x2"] - origin["x"]) * (e["y1"] - origin["y"])
-
-    return F.abs(F.aggregate(ring_edges(ring), F.lit(0.0), lambda total, e: total + term(e))) / 2
+    x, y = f"get({ring}, 0).x", f"get({ring}, 0).y"
+    term = f"(e.x1 - {x}) * (e.y2 - {y}) - (e.x2 - {x}) * (e.y1 - {y})"
+    return f"abs(aggregate({_edges(ring)}, 0D, (total, e) -> total + {term})) / 2"
 
 
-def mercator(p: Column) -> Column:
-    """EPSG:3857 position of a longitude / latitude point."""
-    x = F.radians(p["x"]) * C.EARTH_RADIUS
-    y = F.ln(F.tan(F.lit(0.7853981633974483) + F.radians(p["y"]) / 2)) * C.EARTH_RADIUS
-    return F.struct(x.alias("x"), y.alias("y"))
+def ring_area(ring: str) -> Column:
+    return F.expr(_ring_area(ring))
 
 
-def mercator_area(geometry: Column) -> Column:
+def mercator_area(geometry: str) -> Column:
     """Area in m² on the EPSG:3857 plane (inflated by 1/cos² of latitude): outer rings minus holes."""
+    x = f"{C.EARTH_RADIUS!r}D * radians(p.x)"
+    y = f"{C.EARTH_RADIUS!r}D * ln(tan(pi() / 4 + radians(p.y) / 2))"
+    plane = f"transform({geometry}, g -> transform(g, r -> transform(r, p -> named_struct('x', {x}, 'y', {y}))))"
+    areas = f"transform({plane}, g -> transform(g, r -> {_ring_area('r')}))"
+    polygon = "2 * get(s, 0) - aggregate(s, 0D, (total, ring) -> total + ring)"
+    return F.expr(f"aggregate({areas}, 0D, (whole, s) -> whole + {polygon})")
 
-    def polygon_area(polygon: Column) -> Column:
-        areas = F.transform(polygon, lambda ring: ring_area(F.transform(ring, mercator)))
-        whole = F.aggregate(areas, F.lit(0.0), lambda total, area: total + area)
-        return F.get(areas, F.lit(0)) * 2 - whole
 
-    return F.aggregate(F.transform(geometry, polygon_area), F.lit(0.0), lambda total, area: total + area)
-
-
-def bbox(geometry: Column) -> Column:
+def bbox(geometry: str) -> Column:
     """Struct min_x, min_y, max_x, max_y."""
-    points = F.flatten(F.flatten(geometry))
-    xs = F.transform(points, lambda p: p["x"])
-    ys = F.transform(points, lambda p: p["y"])
-    return F.struct(
-        F.array_min(xs).alias("min_x"),
-        F.array_min(ys).alias("min_y"),
-        F.array_max(xs).alias("max_x"),
-        F.array_max(ys).alias("max_y"),
-    )
+    points = f"flatten(flatten({geometry}))"
+    sides = [f"'{side}_{axis}', array_{side}(transform({points}, p -> p.{axis}))" for side in ("min", "max") for axis in "xy"]
+    return F.expr(f"named_struct({', '.join(sides)})")
 
 
 def with_bbox(areas: DataFrame) -> DataFrame:
     """Bounding-box columns next to the geometry: parquet min/max statistics make them an index."""
-    return (
-        areas.withColumn("_box", bbox(F.col("geometry")))
-        .select("*", "_box.*")
-        .drop("_box")
-    )
+    return areas.withColumn("_box", bbox("geometry")).select("*", "_box.*").drop("_box")
 
 
 # --- predicates ---------------------------------------------------------------------------------
 
 
-def within_box(lon: Column, lat: Column, box: dict[str, Column]) -> Column:
+def within_box(lon: str, lat: str, box: Box) -> Column:
     """Strictly inside: a point on the border is outside."""
-    return (
-        (lon > box["min_x"]) & (lon < box["max_x"]) & (lat > box["min_y"]) & (lat < box["max_y"])
+    return F.expr(
+        f"{lon} > {box['min_x']} AND {lon} < {box['max_x']} AND {lat} > {box['min_y']} AND {lat} < {box['max_y']}"
     )
 
 
-def overlaps_box(min_x: Column, min_y: Column, max_x: Column, max_y: Column, box: dict[str, Column]) -> Column:
-    """Bounding boxes meet, borders included."""
+def _overlaps(one: Box, box: Box) -> str:
     return (
-        (min_x <= box["max_x"]) & (max_x >= box["min_x"]) & (min_y <= box["max_y"]) & (max_y >= box["min_y"])
+        f"({one['min_x']} <= {box['max_x']} AND {one['max_x']} >= {box['min_x']}"
+        f" AND {one['min_y']} <= {box['max_y']} AND {one['max_y']} >= {box['min_y']})"
     )
 
 
-def _edge_meets_box(e: Column, box: dict[str, Column]) -> Column:
-    def side(x: Column, y: Column) -> Column:
-        return F.signum((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]))
+def overlaps_box(box: Box, prefix: str = "") -> Column:
+    """The bounding-box columns of an area meet a box, borders included."""
+    return F.expr(_overlaps({corner: prefix + corner for corner in CORNERS}, box))
 
-    sides = [side(box[x], box[y]) for x in ("min_x", "max_x") for y in ("min_y", "max_y")]
-    near = overlaps_box(
-        F.least(e["x1"], e["x2"]),
-        F.least(e["y1"], e["y2"]),
-        F.greatest(e["x1"], e["x2"]),
-        F.greatest(e["y1"], e["y2"]),
-        box,
-    )
-    return near & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+def _edge_meets_box(box: Box) -> str:
+    sides = ", ".join(_side("e", box[x], box[y]) for x in ("min_x", "max_x") for y in ("min_y", "max_y"))
+    extent = {
+        f"{side}_{axis}": f"{pick}(e.{axis}1, e.{axis}2)"
+        for side, pick in (("min", "least"), ("max", "greatest"))
+        for axis in "xy"
+    }
+    return f"({_overlaps(extent, box)} AND least({sides}) <= 0 AND greatest({sides}) >= 0)"
 
 
-def _crossings(edges: Column, x: Column, y: Column) -> Column:
-    """Edges met by the ray from a point to the right."""
-    return F.size(
-        F.filter(
-            edges,
-            lambda e: ((e["y1"] > y) != (e["y2"] > y))
-            & (x < (e["x2"] - e["x1"]) * F.try_divide(y - e["y1"], e["y2"] - e["y1"]) + e["x1"]),
-        )
-    )
+def _covers(edges: str, x: str, y: str) -> str:
+    """Even-odd test of a point against all rings of one polygon: edges met by the ray to the right."""
+    meets = f"(e.y1 > {y}) != (e.y2 > {y}) AND {x} < (e.x2 - e.x1) * try_divide({y} - e.y1, e.y2 - e.y1) + e.x1"
+    return f"size(filter({edges}, e -> {meets})) % 2 = 1"
 
 
-def polygon_edges(polygon: Column) -> Column:
-    return F.flatten(F.transform(polygon, ring_edges))
+def _on_border(edges: str, x: str, y: str) -> str:
+    on_line = f"(e.x2 - e.x1) * ({y} - e.y1) = (e.y2 - e.y1) * ({x} - e.x1)"
+    near = f"{x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)"
+    return f"exists({edges}, e -> {on_line} AND {near})"
 
 
-def covers_point(edges: Column, x: Column, y: Column) -> Column:
-    """Even-odd test against all rings of one polygon (holes included)."""
-    return _crossings(edges, x, y) % 2 == 1
+def outline(geometry: str) -> Column:
+    """Edges of each polygon, all rings together."""
+    return F.expr(_outline(geometry))
 
 
-def on_border(edges: Column, x: Column, y: Column) -> Column:
-    return F.exists(
-        edges,
-        lambda e: ((e["x2"] - e["x1"]) * (y - e["y1"]) == (e["y2"] - e["y1"]) * (x - e["x1"]))
-        & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])),
-    )
+def _outline(geometry: str) -> str:
+    return f"transform({geometry}, g -> flatten(transform(g, r -> {_edges('r')})))"
 
 
-def contains_point(geometry: Column, x: Column, y: Column) -> Column:
-    """Point strictly inside one of the polygons; the border is outside."""
-    return F.exists(
-        F.transform(geometry, polygon_edges), lambda edges: covers_point(edges, x, y) & ~on_border(edges, x, y)
-    )
+def outline_contains(edges: str, x: str, y: str) -> Column:
+    """Point strictly inside one of the polygons of an outline; the border is outside."""
+    return F.expr(f"exists({edges}, es -> {_covers('es', x, y)} AND NOT {_on_border('es', x, y)})")
 
 
-def intersects_box(geometry: Column, box: dict[str, Column]) -> Column:
-    """Area and box share at least one point, borders included."""
-    return F.exists(
-        F.transform(geometry, polygon_edges),
-        lambda edges: F.exists(edges, lambda e: _edge_meets_box(e, box))
-        | covers_point(edges, box["min_x"], box["min_y"]),
-    )
+def contains_point(geometry: str, x: str, y: str) -> Column:
+    return outline_contains(_outline(geometry), x, y)
 
 
-def viewport_box(view: Viewport) -> dict[str, Column]:
-    return {
-        "min_x": F.lit(float(view.sw_lon)),
-        "min_y": F.lit(float(view.sw_lat)),
-        "max_x": F.lit(float(view.ne_lon)),
-        "max_y": F.lit(float(view.ne_lat)),
-    }
+def intersects_box(geometry: str, box: Box) -> Column:
+    """Area and box share at least one point, borders included."""
+    inside = _covers("es", box["min_x"], box["min_y"])
+    return F.expr(f"exists({_outline(geometry)}, es -> exists(es, e -> {_edge_meets_box(box)}) OR {inside})")
 
 
-def cells_of(min_x: Column, min_y: Column, max_x: Column, max_y: Column, size: float) -> Column:
-    """Grid cells a box touches, as an array of ``column:row`` keys."""
+# --- grid ---------------------------------------------------------------------------------------
 
-    def steps(low: Column, high: Column) -> Column:
-        return F.sequence(F.floor(low / size), F.floor(high / size))
 
-    columns, rows = steps(min_x, max_x), steps(min_y, max_y)
-    return F.flatten(F.transform(columns, lambda i: F.transform(rows, lambda j: F.struct(i.alias("i"), j.alias("j")))))
+def cells_of(box: Box, size: float) -> Column:
+    """Grid cells (i, j) a box touches."""
+    steps = lambda axis: f"sequence(floor({box['min_' + axis]} / {size}D), floor({box['max_' + axis]} / {size}D))"
+    return F.expr(f"flatten(transform({steps('x')}, i -> transform({steps('y')}, j -> named_struct('i', i, 'j', j))))")
 
 
 def with_cell(points: DataFrame, size: float) -> DataFrame:
     """Grid cell (i, j) of each point."""
-    return points.withColumn("i", F.floor(F.col("lon") / size)).withColumn("j", F.floor(F.col("lat") / size))
+    return points.select("*", F.expr(f"floor(lon / {size}D) AS i"), F.expr(f"floor(lat / {size}D) AS j"))
 
 
-def square(x: Column, y: Column, side: float) -> Column:
-    """Closed square with its lower-left corner at (x, y), as one polygon."""
-    at = lambda px, py: F.struct(px.alias("x"), py.alias("y"))
-    ring = F.array(at(x, y), at(x + side, y), at(x + side, y + side), at(x, y + side), at(x, y))
-    return F.array(ring)
+def square(x: str, y: str, side: float) -> str:
+    """SQL of a closed square with its lower-left corner at (x, y), as one polygon."""
+    corner = lambda px, py: f"named_struct('x', {px}, 'y', {py})"
+    east, north = f"{x} + {side}D", f"{y} + {side}D"
+    ring = [corner(x, y), corner(east, y), corner(east, north), corner(x, north), corner(x, y)]
+    return f"array(array({', '.join(ring)}))"
 
 
 def empty_geometry() -> Column:

@@ -25,10 +25,15 @@ def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     return F.coalesce(round_half_up(ratio(part, whole) * 100, digits), F.lit(0.0))
 
 
-def weighted_mean(value: Column, weight: Column) -> Column:
+def rounded(name: str, digits: int) -> Column:
+    """``round_half_up`` of a column under its own name."""
+    return F.expr(f"double(round(try_cast({name} AS decimal(30,6)), {digits})) AS {name}")
+
+
+def weighted_mean(value: str, weight: str) -> Column:
     """Aggregate: sum(value * weight) / sum(weight); a null value still counts in the divisor."""
-    used = F.when(weight > 0, weight)
-    return ratio(F.sum(value * used), F.sum(used))
+    used = f"CASE WHEN {weight} > 0 THEN {weight} END"
+    return F.expr(f"try_divide(double(sum({value} * {used})), double(sum({used})))")
 
 
 def struct_of(fields: dict[str, Column]) -> Column:

@@ -97,8 +97,7 @@ def area_listing(
 def intersecting(areas: DataFrame, view: G.Viewport) -> DataFrame:
     """Areas that touch the viewport: bounding boxes at the scan, then the exact test."""
     box = G.viewport_box(view)
-    near = areas.where(G.overlaps_box(F.col("min_x"), F.col("min_y"), F.col("max_x"), F.col("max_y"), box))
-    return near.where(G.intersects_box(F.col("geometry"), box))
+    return areas.where(G.overlaps_box(box)).where(G.intersects_box("geometry", box))
 
 
 def intersecting_many(areas: DataFrame, viewports: DataFrame, cell: float = 1.0, salts: int = 16) -> DataFrame:
@@ -106,6 +105,7 @@ def intersecting_many(areas: DataFrame, viewports: DataFrame, cell: float = 1.0,
 
     A salt spreads the viewports of a crowded cell; the area side is repeated once per salt.
     """
+    box = {corner: f"view.{corner}" for corner in G.CORNERS}
     views = viewports.select(
         "view_id",
         F.struct(
@@ -115,20 +115,17 @@ def intersecting_many(areas: DataFrame, viewports: DataFrame, cell: float = 1.0,
     )
     view_cells = views.select(
         "view_id", "view", F.pmod(F.xxhash64("view_id"), F.lit(salts)).cast("int").alias("salt"),
-        F.inline(G.cells_of(F.col("view.min_x"), F.col("view.min_y"), F.col("view.max_x"), F.col("view.max_y"), cell)),
+        F.inline(G.cells_of(box, cell)),
     )
-    corners = [F.col(c) for c in ("min_x", "min_y", "max_x", "max_y")]
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-    area_cells = areas.select("*", F.inline(G.cells_of(*corners, cell))).select("*", copies)
-    box = {c: F.col(f"view.{c}") for c in ("min_x", "min_y", "max_x", "max_y")}
+    area_cells = areas.select("*", F.inline(G.cells_of({corner: corner for corner in G.CORNERS}, cell))).select("*", copies)
     # a pair is tested in one cell only: the first one both boxes cover
-    first_i = F.floor(F.greatest(F.col("min_x"), box["min_x"]) / cell)
-    first_j = F.floor(F.greatest(F.col("min_y"), box["min_y"]) / cell)
+    first = f"i = floor(greatest(min_x, view.min_x) / {cell}D) AND j = floor(greatest(min_y, view.min_y) / {cell}D)"
     return (
         view_cells.join(area_cells, ["i", "j", "salt"])
-        .where((F.col("i") == first_i) & (F.col("j") == first_j))
-        .where(G.overlaps_box(*corners, box))
-        .where(G.intersects_box(F.col("geometry"), box))
+        .where(first)
+        .where(G.overlaps_box(box))
+        .where(G.intersects_box("geometry", box))
         .drop("view", "i", "j", "salt")
     )
 
@@ -229,7 +226,7 @@ def feature_collection(rows: DataFrame, max_features: int = 10_000) -> DataFrame
         "satisfaction", "word_cloud_url", "sentiments_url",
     )
     items = rows.limit(max_features + 1).withColumn(
-        "_feature", _feature_text(properties, G.to_geojson(F.col("geometry")))
+        "_feature", _feature_text(properties, G.to_geojson("geometry"))
     )
     titles = F.create_map(*[F.lit(x) for pair in C.LEVEL_TITLES.items() for x in pair])
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("area_id", "_feature"))), lambda f: f["_feature"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from geoledger.functions.geometry import mercator_area
 from geoledger.functions.medians import SMALL_INPUT, aggregate_with_medians
-from geoledger.functions.numbers import ratio, round_half_up, weighted_mean
+from geoledger.functions.numbers import rounded, weighted_mean
 from geoledger.operators.transactions import positive_sales
 
 MEASURES = (
@@ -21,10 +21,10 @@ COUNTERS = ("transactions", "transactions_built", "transactions_land")
 
 def _rounded() -> list:
     return [
-        *[round_half_up(F.col(name), 2).alias(name) for name in MEASURES],
+        *[rounded(name, 2) for name in MEASURES],
         "first_date",
         "last_date",
-        round_half_up(F.col(DENSITY), 4).alias(DENSITY),
+        rounded(DENSITY, 4),
     ]
 
 
@@ -51,31 +51,30 @@ def city_stats(cities: DataFrame, tx: DataFrame, small: int = SMALL_INPUT) -> Da
     medians = {f"{name}_median": F.col(name) for name in ("price", "price_m2", "built", "land")}
     folded = aggregate_with_medians(sales, ["city_id"], totals, medians, small)
     areas = cities.select(
-        "city_id", "name", "department_id", "region_id", (mercator_area(F.col("geometry")) / 1e6).alias("km2")
+        "city_id", "name", "department_id", "region_id", (mercator_area("geometry") / 1e6).alias("km2")
     )
     return (
         areas.join(folded, "city_id")
-        .withColumn(DENSITY, ratio(F.col("transactions"), F.col("km2")))
+        .withColumn(DENSITY, F.expr("try_divide(double(transactions), km2)"))
         .select("city_id", "name", "department_id", "region_id", *COUNTERS, *_rounded())
     )
 
 
 def _rollup(children: DataFrame, key: str, counters: list, small: int) -> DataFrame:
     """Statistics of a parent level from its children's rounded rows."""
-    n = F.col("transactions")
-    built, land = F.col("transactions_built"), F.col("transactions_land")
+    n, built, land = COUNTERS
     totals = [
         *counters,
         *[F.sum(name).alias(name) for name in COUNTERS],
-        weighted_mean(F.col("price_mean"), n).alias("price_mean"),
+        weighted_mean("price_mean", n).alias("price_mean"),
         F.min("price_min").alias("price_min"),
         F.max("price_max").alias("price_max"),
-        weighted_mean(F.col("price_m2_mean"), built).alias("price_m2_mean"),
-        weighted_mean(F.col("built_mean"), built).alias("built_mean"),
-        weighted_mean(F.col("land_mean"), land).alias("land_mean"),
+        weighted_mean("price_m2_mean", built).alias("price_m2_mean"),
+        weighted_mean("built_mean", built).alias("built_mean"),
+        weighted_mean("land_mean", land).alias("land_mean"),
         F.min("first_date").alias("first_date"),
         F.max("last_date").alias("last_date"),
-        weighted_mean(F.col(DENSITY), n).alias(DENSITY),
+        weighted_mean(DENSITY, n).alias(DENSITY),
     ]
     return aggregate_with_medians(children, [key], totals, {name: F.col(name) for name in MEDIANS}, small)
 

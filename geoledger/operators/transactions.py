@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,20 +29,19 @@ def conform_transactions(df: DataFrame) -> DataFrame:
 
 
 def with_point(df: DataFrame) -> DataFrame:
-    return df.withColumn("point", G.point(F.col("lon"), F.col("lat")))
+    return df.withColumn("point", G.point("lon", "lat"))
 
 
 def positive_sales(df: DataFrame) -> DataFrame:
     """Sales that enter statistics, with areas and price per m² only where the area is positive."""
-    built = F.when(F.col("built_area") > 0, F.col("built_area"))
-    return df.where(F.col("price") > 0).select(
+    return df.where("price > 0").selectExpr(
         "city_id",
         "tx_id",
         "tx_date",
         "price",
-        ratio(F.col("price"), built).alias("price_m2"),
-        built.alias("built"),
-        F.when(F.col("land_area") > 0, F.col("land_area")).alias("land"),
+        "CASE WHEN built_area > 0 THEN price / built_area END AS price_m2",
+        "CASE WHEN built_area > 0 THEN built_area END AS built",
+        "CASE WHEN land_area > 0 THEN land_area END AS land",
     )
 
 
@@ -101,7 +98,7 @@ def transaction_view(df: DataFrame) -> DataFrame:
 
 def points_within(df: DataFrame, view: G.Viewport) -> DataFrame:
     """Sales strictly inside the viewport; the comparisons reach the parquet scan."""
-    return df.where(G.within_box(F.col("lon"), F.col("lat"), G.viewport_box(view)))
+    return df.where(G.within_box("lon", "lat", G.viewport_box(view)))
 
 
 def recent_transactions(df: DataFrame, view: G.Viewport, k: int = C.MAX_POINTS) -> DataFrame:
@@ -121,14 +118,13 @@ def transaction_features(df: DataFrame) -> DataFrame:
     return df.select(
         F.lit("Feature").alias("type"),
         properties.alias("properties"),
-        G.point_geojson(G.point(F.col("lon"), F.col("lat"))).alias("geometry"),
+        G.point_geojson("lon", "lat").alias("geometry"),
     )
 
 
 def _cell_pairs(areas: DataFrame, size: float) -> DataFrame:
-    cells = G.cells_of(F.col("min_x"), F.col("min_y"), F.col("max_x"), F.col("max_y"), size)
-    edges = F.transform("geometry", G.polygon_edges)
-    return areas.select("area_id", edges.alias("outline"), F.inline(cells))
+    cells = G.cells_of({corner: corner for corner in G.CORNERS}, size)
+    return areas.select("area_id", G.outline("geometry").alias("outline"), F.inline(cells))
 
 
 def points_in_areas(tx: DataFrame, areas: DataFrame, cell: float = 1.0, salts: int = 16) -> DataFrame:
@@ -154,9 +150,7 @@ def points_in_areas(tx: DataFrame, areas: DataFrame, cell: float = 1.0, salts: i
     )
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
     pairs = _cell_pairs(areas, cell).select("*", copies)
-    x, y = F.col("lon"), F.col("lat")
-    inside = F.exists("outline", lambda edges: G.covers_point(edges, x, y) & ~G.on_border(edges, x, y))
-    found = spots.join(pairs, ["i", "j", "salt"]).where(inside)
+    found = spots.join(pairs, ["i", "j", "salt"]).where(G.outline_contains("outline", "lon", "lat"))
 
     def mean(name: str) -> Column:
         return ratio(F.sum(name), F.sum(f"{name}_n")).alias(f"{name}_mean")
@@ -164,7 +158,3 @@ def points_in_areas(tx: DataFrame, areas: DataFrame, cell: float = 1.0, salts: i
     return found.groupBy("area_id").agg(
         F.sum("n").alias("transactions"), mean("price"), mean("built_area"), mean("land_area")
     )
-
-
-def any_null(*names: str) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(name).isNull() for name in names])

@@ -47,7 +47,7 @@ def _write_geojson(spark: SparkSession, areas: DataFrame, level: str, chunk: int
     """FeatureCollections of at most ``chunk`` areas, one per line."""
     key = f"{level}_id"
     number = F.col(key).cast("bigint")
-    nested = F.get_json_object(G.to_geojson(F.col("geometry")), "$.coordinates")
+    nested = G.coordinates_json("geometry")
     single = (number % 2 == 0) & (F.size("geometry") == 1)
     kind = F.when(single, "Polygon").otherwise("MultiPolygon")
     text = F.when(single, F.expr("substring(_nested, 2, length(_nested) - 2)")).otherwise(F.col("_nested"))

@@ -35,24 +35,19 @@ def _flat(rows: DataFrame) -> DataFrame:
 
 
 def _wkt(areas: DataFrame) -> DataFrame:
-    return areas.select("city_id", G.to_wkt(F.col("geometry")).alias("wkt"))
-
-
-def _coordinate_text(geometry) -> object:
-    return F.get_json_object(G.to_geojson(geometry), "$.coordinates")
+    return areas.select("city_id", G.to_wkt("geometry").alias("wkt"))
 
 
 def g1_parse_coordinates(spark: SparkSession, sf: str) -> DataFrame:
     """Multipolygon text, every third city with its points as quoted text."""
-    text = _coordinate_text(F.col("geometry"))
+    text = G.coordinates_json("geometry")
     quoted = F.regexp_replace(text, r"\[(-?[0-9.]+,-?[0-9.]+)\]", '"[$1]"')
     mixed = F.when(F.col("city_id").cast("bigint") % 3 == 0, quoted).otherwise(text)
-    return _wkt(B.cities(spark, sf).withColumn("geometry", G.parse_coordinates(mixed, F.lit("MultiPolygon"))))
+    return _wkt(B.cities(spark, sf).withColumn("text", mixed).withColumn("geometry", G.parse_coordinates("text", "'MultiPolygon'")))
 
 
 def g2_as_multipolygon(spark: SparkSession, sf: str) -> DataFrame:
-    polygon = F.get("geometry", F.lit(0))
-    return _wkt(B.cities(spark, sf).withColumn("geometry", G.as_multipolygon(polygon)))
+    return _wkt(B.cities(spark, sf).withColumn("geometry", G.as_multipolygon("geometry[0]")))
 
 
 def g3_repair_rings(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,8 +57,8 @@ def g3_repair_rings(spark: SparkSession, sf: str) -> DataFrame:
     broken = F.array(F.array(F.concat(first, first, rest), F.slice(ring, 1, 2)))
     twisted = F.concat(first, F.slice(ring, 3, 1), F.slice(ring, 2, 1), F.slice(ring, 4, 1), first)
     shape = F.when(F.col("city_id").cast("bigint") % 7 == 0, F.array(F.array(twisted))).otherwise(broken)
-    areas = B.cities(spark, sf).withColumn("geometry", G.repair_rings(shape))
-    return areas.select("city_id", G.to_wkt(F.col("geometry")).alias("wkt"), G.is_simple(F.col("geometry")).alias("simple"))
+    areas = B.cities(spark, sf).withColumn("geometry", shape).withColumn("geometry", G.repair_rings("geometry"))
+    return areas.select("city_id", G.to_wkt("geometry").alias("wkt"), G.is_simple("geometry").alias("simple"))
 
 
 def g4_to_wkt(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,8 +66,8 @@ def g4_to_wkt(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def g5_from_wkt(spark: SparkSession, sf: str) -> DataFrame:
-    read = G.from_wkt(G.to_wkt(F.col("geometry")))
-    return B.cities(spark, sf).select("city_id", read.alias("geometry")).transform(G.with_bbox).drop("geometry")
+    texts = B.cities(spark, sf).select("city_id", G.to_wkt("geometry").alias("wkt"))
+    return texts.select("city_id", G.from_wkt("wkt").alias("geometry")).transform(G.with_bbox).drop("geometry")
 
 
 def g6_point(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,20 +76,20 @@ def g6_point(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def g7_to_geojson(spark: SparkSession, sf: str) -> DataFrame:
-    return B.cities(spark, sf).select("city_id", G.to_geojson(F.col("geometry")).alias("geojson"))
+    return B.cities(spark, sf).select("city_id", G.to_geojson("geometry").alias("geojson"))
 
 
 def g8_mercator_area(spark: SparkSession, sf: str) -> DataFrame:
-    return B.cities(spark, sf).select("city_id", round_half_up(G.mercator_area(F.col("geometry")) / 1e6, 4).alias("km2"))
+    return B.cities(spark, sf).select("city_id", round_half_up(G.mercator_area("geometry") / 1e6, 4).alias("km2"))
 
 
 def g9_intersects_box(spark: SparkSession, sf: str) -> DataFrame:
-    hit = G.intersects_box(F.col("geometry"), G.viewport_box(I.DEPARTMENT_VIEW))
+    hit = G.intersects_box("geometry", G.viewport_box(I.DEPARTMENT_VIEW))
     return B.cities(spark, sf).select("city_id", hit.alias("intersects"))
 
 
 def g10_within_box(spark: SparkSession, sf: str) -> DataFrame:
-    inside = G.within_box(F.col("lon"), F.col("lat"), G.viewport_box(I.CITY_VIEW))
+    inside = G.within_box("lon", "lat", G.viewport_box(I.CITY_VIEW))
     return B.transactions(spark, sf).groupBy("city_id").agg(
         F.count_if(inside).alias("inside"), F.count_if(~inside).alias("outside")
     )
@@ -112,7 +107,7 @@ def g12_map_features(spark: SparkSession, sf: str) -> DataFrame:
         B.cities(spark, sf), I.city_stats(spark, sf), "city", B.city_documents(spark, sf), excluded,
         {"90": ("91", "92", "93"), "80": ("81", "82")},
     )
-    return rows.withColumn("geometry", G.to_wkt(F.col("geometry")))
+    return rows.withColumn("geometry", G.to_wkt("geometry"))
 
 
 def g13_transaction_features(spark: SparkSession, sf: str) -> DataFrame:

@@ -11,8 +11,10 @@ from geoledger.operators import quality as V
 from geoledger.operators import rankings as K
 from geoledger.functions.numbers import round_half_up
 from geoledger.operators import transactions as P
+from geoledger.operators.rollup import property_rollup
 from geoledger.plans import inputs as I
 from geoledger.sources import bindings as B
+from geoledger.sources.scratch import scratch_path
 
 DISTRICTS = {"90": ("91", "92", "93"), "80": ("81", "82")}
 
@@ -30,6 +32,14 @@ def a3_region_stats(spark: SparkSession, sf: str) -> DataFrame:
     return I.region_stats(spark, sf)
 
 
+def a4_property_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """A full refresh, then a second run of the same sales laid over it."""
+    areas = {"city": B.cities(spark, sf), "department": B.departments(spark, sf), "region": B.regions(spark, sf)}
+    first, second = scratch_path(spark, "rollup"), scratch_path(spark, "rollup")
+    property_rollup(areas, B.transactions(spark, sf), first)
+    return property_rollup(areas, B.transactions(spark, sf), second, previous=first)["region"].drop("extracted_at")
+
+
 def a5_legend_bounds(spark: SparkSession, sf: str) -> DataFrame:
     rows = M.areas_with_stats(B.cities(spark, sf).drop("geometry"), I.city_stats(spark, sf), "city")
     return M.legend_bounds(rows.withColumn("price", P.mask_low_price(F.col("price"))))
@@ -179,7 +189,7 @@ def v13_level_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    a1_city_stats, a2_department_stats, a3_region_stats, a5_legend_bounds, a6_area_listing, j4_areas_with_stats,
+    a1_city_stats, a2_department_stats, a3_region_stats, a4_property_rollup, a5_legend_bounds, a6_area_listing, j4_areas_with_stats,
     p1_drop_incomplete, p2_conform_transactions, p3_positive_sales, p4_mask_low_price, p5_visible_transactions,
     p6_transactions_of_cities, p7_agglomeration_transactions, p8_agglomeration_ids, p9_exclude_parents,
     p10_exclude_districts, p13_date_text, p14_transaction_view, p15_price_table, j17_points_in_areas,

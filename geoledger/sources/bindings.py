@@ -6,76 +6,81 @@ documents -> reviews, pages -> review pages, events -> incremental reviews.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoledger import constants as C
 from geoledger.functions import geometry as G
-from geoledger.functions.numbers import round_half_up, struct_of
+from geoledger.schemas import LEXICON
+from geoledger.sources.lexicon import ROWS
 
 SIDE = 0.9  # side of a city square in degrees
+SQUARE = G.square("x0", "y0", SIDE)
+
+# Columns the bindings read; other columns of a table are never scanned.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "customer": "c_custkey bigint",
+    "orders": "o_orderkey bigint",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp",
+    "documents": "doc_id bigint, text string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "region").select(_text("r_regionkey").alias("region_id"), F.col("r_name").alias("name"))
+    return table(spark, sf_dir, "region").selectExpr("string(r_regionkey) AS region_id", "r_name AS name")
 
 
 def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "nation").select(
-        _text("n_nationkey").alias("department_id"),
-        F.col("n_name").alias("name"),
-        _text("n_regionkey").alias("region_id"),
+    return table(spark, sf_dir, "nation").selectExpr(
+        "string(n_nationkey) AS department_id", "n_name AS name", "string(n_regionkey) AS region_id"
     )
 
 
 def _corners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
-    key = F.col("s_suppkey")
+    nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS s_nationkey", "n_regionkey")
     return (
         table(spark, sf_dir, "supplier")
         .join(nation, "s_nationkey")
-        .select(
-            _text("s_suppkey").alias("city_id"),
-            F.col("s_name").alias("name"),
-            _text("s_nationkey").alias("department_id"),
-            _text("n_regionkey").alias("region_id"),
-            (F.lit(-5) + key % 14).cast("double").alias("x0"),
-            (F.lit(42) + F.floor(key / 14) % 9).cast("double").alias("y0"),
+        .selectExpr(
+            "string(s_suppkey) AS city_id",
+            "s_name AS name",
+            "string(s_nationkey) AS department_id",
+            "string(n_regionkey) AS region_id",
+            "double(-5 + s_suppkey % 14) AS x0",
+            "double(42 + (s_suppkey div 14) % 9) AS y0",
         )
     )
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cities with their square and its bounding box."""
-    x, y = F.col("x0"), F.col("y0")
-    return _corners(spark, sf_dir).select(
+    return _corners(spark, sf_dir).selectExpr(
         "city_id",
         "name",
         "department_id",
         "region_id",
-        F.array(G.square(x, y, SIDE)).alias("geometry"),
-        x.alias("min_x"),
-        y.alias("min_y"),
-        (x + SIDE).alias("max_x"),
-        (y + SIDE).alias("max_y"),
+        f"array({SQUARE}) AS geometry",
+        "x0 AS min_x",
+        "y0 AS min_y",
+        f"x0 + {SIDE}D AS max_x",
+        f"y0 + {SIDE}D AS max_y",
     )
 
 
 def _outlines(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     """Parent areas as multipolygons; at most 14 x 9 different squares per parent."""
     squares = _corners(spark, sf_dir).select(key, "x0", "y0").distinct()
-    outlines = squares.groupBy(key).agg(
-        F.array_sort(F.collect_set(G.square(F.col("x0"), F.col("y0"), SIDE))).alias("geometry")
-    )
-    return G.with_bbox(outlines)
+    return G.with_bbox(squares.groupBy(key).agg(F.expr(f"array_sort(collect_set({SQUARE})) AS geometry")))
 
 
 def department_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,105 +92,86 @@ def region_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order, discount = F.col("l_orderkey"), F.col("l_discount")
-    quantity = F.col("l_quantity")
-    return table(spark, sf_dir, "lineitem").select(
-        _text("l_orderkey").alias("tx_id"),
-        _text("l_linenumber").alias("parcel_id"),
-        F.col("l_shipdate").cast("date").alias("tx_date"),
-        F.when(order % 41 == 0, 0.0)
-        .when(order % 43 == 0, discount * 1000)
-        .otherwise(F.col("l_extendedprice"))
-        .alias("price"),
-        _text("l_suppkey").alias("city_id"),
-        F.when(discount == 0, 0.0)
-        .when(F.col("l_suppkey") % 9 == 0, quantity * 100)
-        .otherwise(quantity)
-        .alias("built_area"),
-        F.when(F.col("l_tax") > 0, quantity * 10).alias("land_area"),
-        F.when(order % 47 != 0, F.lit(-5) + (F.col("l_partkey") % 1400).cast("double") / 100).alias("lon"),
-        (F.lit(42) + (order % 900).cast("double") / 100).alias("lat"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "string(l_orderkey) AS tx_id",
+        "string(l_linenumber) AS parcel_id",
+        "date(l_shipdate) AS tx_date",
+        "CASE WHEN l_orderkey % 41 = 0 THEN 0D WHEN l_orderkey % 43 = 0 THEN l_discount * 1000"
+        " ELSE l_extendedprice END AS price",
+        "string(l_suppkey) AS city_id",
+        "CASE WHEN l_discount = 0 THEN 0D WHEN l_suppkey % 9 = 0 THEN l_quantity * 100 ELSE l_quantity END AS built_area",
+        "CASE WHEN l_tax > 0 THEN l_quantity * 10 END AS land_area",
+        "CASE WHEN l_orderkey % 47 <> 0 THEN -5 + double(l_partkey % 1400) / 100 END AS lon",
+        "42 + double(l_orderkey % 900) / 100 AS lat",
     )
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    doc, size = F.col("doc_id"), F.col("n_chars")
-
-    def score(shift: int) -> Column:
-        return ((size + shift) % 9 + 2).cast("double") / 2
-
-    return table(spark, sf_dir, "documents").select(
-        _text("doc_id").alias("review_id"),
-        F.when(doc % 97 == 0, "unknown").otherwise((doc % 80).cast("string")).alias("city_id"),
-        F.when(doc % 53 != 0, score(0)).alias("score"),
-        *[score(i).alias(name) for i, name in enumerate(C.CATEGORIES, start=1)],
-        F.col("text").alias("description"),
+    def score(shift: int) -> str:
+        return f"double((n_chars + {shift}) % 9 + 2) / 2"
+
+    return table(spark, sf_dir, "documents").selectExpr(
+        "string(doc_id) AS review_id",
+        "CASE WHEN doc_id % 97 = 0 THEN 'unknown' ELSE string(doc_id % 80) END AS city_id",
+        f"CASE WHEN doc_id % 53 <> 0 THEN {score(0)} END AS score",
+        *[f"{score(i)} AS {name}" for i, name in enumerate(C.CATEGORIES, start=1)],
+        "text AS description",
     )
 
 
 def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, code = F.col("s_suppkey"), _text("s_suppkey")
     path = (
-        F.when(key % 4 == 0, F.concat(F.lit("town-"), code))
-        .when(key % 4 == 1, F.concat(F.lit("town-"), code, F.lit("/quartier-"), code))
-        .when(key % 4 == 2, F.concat(F.lit("arrondissement/"), code))
-        .otherwise("about")
+        "CASE s_suppkey % 4 WHEN 0 THEN concat('town-', s_suppkey)"
+        " WHEN 1 THEN concat('town-', s_suppkey, '/quartier-', s_suppkey)"
+        " WHEN 2 THEN concat('arrondissement/', s_suppkey) ELSE 'about' END"
     )
-    return table(spark, sf_dir, "supplier").select(
-        key.alias("id"), F.concat(F.lit("https://reviews.example/"), path, F.lit("/avis.html")).alias("url")
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS id", f"concat('https://reviews.example/', {path}, '/avis.html') AS url"
     )
 
 
 def city_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cities as stored by the crawler: scores, review count, address and processing state."""
-    texts = reviews(spark, sf_dir)
-    known = texts.groupBy("city_id").agg(
-        F.count("review_id").alias("review_count"),
-        F.avg(F.coalesce("score", F.lit(0.0))).alias("mean"),
-        *[F.avg(name).alias(name) for name in C.CATEGORIES],
-    )
-    number = F.col("city_id").cast("bigint")
-    base = _corners(spark, sf_dir).drop("x0", "y0", "region_id").join(known, "city_id", "left")
-    shift = F.when((number % 10 == 0) & F.col("review_count").isNotNull(), 1.0).otherwise(0.0)
+    measures = ["count(review_id) AS n", "avg(coalesce(score, 0D)) AS mean", *[f"avg({c}) AS {c}" for c in C.CATEGORIES]]
+    known = reviews(spark, sf_dir).groupBy("city_id").agg(*[F.expr(text) for text in measures])
+    address = urls(spark, sf_dir).selectExpr("string(id) AS city_id", "url")
 
-    def stored(name: str) -> Column:
-        value = F.coalesce(round_half_up(F.col(name), 1), F.lit(0.0))
-        return value + shift if name == "mean" else value
+    def stored(name: str) -> str:
+        value = f"coalesce(double(round(try_cast({name} AS decimal(30,6)), 1)), 0D)"
+        shift = " + if(number % 10 = 0 AND n IS NOT NULL, 1D, 0D)" if name == "mean" else ""
+        return f"'{name}', {value}{shift}"
 
-    address = urls(spark, sf_dir).select(F.col("id").cast("string").alias("city_id"), "url")
     return (
-        base.join(address, "city_id")
-        .select(
+        _corners(spark, sf_dir)
+        .selectExpr("city_id", "name", "department_id", "bigint(city_id) AS number")
+        .join(known, "city_id", "left")
+        .join(address, "city_id")
+        .selectExpr(
             "city_id",
             "name",
-            F.lpad("city_id", 5, "0").alias("postal_code"),
-            F.col("city_id").alias("insee_code"),
+            "lpad(city_id, 5, '0') AS postal_code",
+            "city_id AS insee_code",
             "department_id",
             "url",
-            struct_of({name: stored(name) for name in C.SCORES}).alias("scores"),
-            F.coalesce("review_count", F.lit(0).cast("bigint")).alias("review_count"),
-            F.when(number % 3 == 0, "processed").when(number % 3 == 1, "unprocessed").alias("status"),
-            F.when(
-                number % 3 == 0, F.timestamp_seconds(F.lit(1704067200) + (number % 60) * 86400)
-            ).alias("processed_at"),
+            f"named_struct({', '.join(stored(name) for name in C.SCORES)}) AS scores",
+            "coalesce(n, 0L) AS review_count",
+            "CASE number % 3 WHEN 0 THEN 'processed' WHEN 1 THEN 'unprocessed' END AS status",
+            "CASE WHEN number % 3 = 0 THEN timestamp_seconds(1704067200 + (number % 60) * 86400) END AS processed_at",
         )
     )
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
     """Small French lexicon (token, lemma, pos, is_stop) shipped for examples and checks."""
-    from geoledger.sources.lexicon import ROWS
-    from geoledger.schemas import LEXICON
-
     return spark.createDataFrame(ROWS, LEXICON)
 
 
 def event_reviews(events: DataFrame) -> DataFrame:
     """Events read as reviews, for batch and streaming frames alike."""
-    return events.select(
-        _text("event_id").alias("review_id"),
-        (F.col("user_id") % 80).cast("string").alias("city_id"),
-        (1 + (F.floor("value") % 9).cast("double") / 2).alias("score"),
-        F.col("event_type").alias("description"),
-        F.to_date("ts").alias("review_day"),
+    return events.selectExpr(
+        "string(event_id) AS review_id",
+        "string(user_id % 80) AS city_id",
+        "1 + double(floor(value) % 9) / 2 AS score",
+        "event_type AS description",
+        "date(ts) AS review_day",
     )

@@ -36,11 +36,11 @@ def read_areas_geojson(spark: SparkSession, path: str, level: str) -> DataFrame:
     if level not in fields:
         raise ValueError(f"unknown level: {level}")
     features = spark.read.schema(S.FEATURE_COLLECTION).json(path).select(F.inline("features"))
-    shape = G.repair_rings(G.parse_coordinates(F.col("geometry.coordinates"), F.col("geometry.type")))
+    shape = G.parse_coordinates("geometry.coordinates", "geometry.type")
     areas = features.select(
         *[F.col(f"properties.{source}").alias(name) for name, source in fields[level].items()], shape.alias("geometry")
     )
-    return G.with_bbox(areas)
+    return G.with_bbox(areas.withColumn("geometry", G.repair_rings("geometry")))
 
 
 def write_table(

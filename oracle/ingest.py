@@ -8,7 +8,7 @@ from oracle.base import CATEGORIES, SCORES, SENTIMENTS, fragment, query, share
 
 _FIRST = """row_number() OVER (PARTITION BY tx_id, parcel_id ORDER BY tx_date NULLS FIRST, price NULLS FIRST,
   city_id NULLS FIRST, built_area NULLS FIRST, land_area NULLS FIRST, lon NULLS FIRST, lat NULLS FIRST)"""
-_VALID = r"regexp_matches(url, '/[^/]+-\d+/avis\.html$')"
+_VALID = r"regexp_matches(url, '^https?://[^/]+/[^/]+-\d+/avis\.html$')"
 _TX = "tx_id, parcel_id, tx_date, price, city_id, built_area, land_area, lon, lat"
 
 fragment("f_first", f"SELECT * FROM (SELECT *, {_FIRST} rn FROM f_transactions) WHERE rn = 1")

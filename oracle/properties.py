@@ -51,6 +51,7 @@ ORACLE = {
     "a1_city_stats": query("SELECT * FROM f_city_stats"),
     "a2_department_stats": query("SELECT * FROM f_department_stats"),
     "a3_region_stats": query("SELECT * FROM f_region_stats"),
+    "a4_property_rollup": query("SELECT * FROM f_region_stats"),
     "a5_legend_bounds": query("SELECT * FROM f_bounds"),
     "a6_area_listing": query(
         """SELECT l.level, CASE l.level WHEN 'city' THEN 'Villes' WHEN 'department' THEN 'Départements' ELSE 'Régions' END title,
