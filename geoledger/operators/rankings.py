@@ -132,6 +132,7 @@ def review_sample(cities: DataFrame, reviews: DataFrame, seed: int, n_cities: in
     order = W.partitionBy("city_id").orderBy(_draw(seed, "review_id"), "review_id")
     drawn = (
         reviews.select("city_id", "review_id", "score", "description")
+        .join(F.broadcast(chosen.select("city_id")), "city_id", "left_semi")  # n_cities rows
         .withColumn("draw", F.row_number().over(order))
         .where(F.col("draw") <= n_reviews)
     )

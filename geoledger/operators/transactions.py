@@ -124,7 +124,7 @@ def transaction_features(df: DataFrame) -> DataFrame:
 
 def _cell_pairs(areas: DataFrame, size: float) -> DataFrame:
     cells = G.cells_of({corner: corner for corner in G.CORNERS}, size)
-    return areas.select("area_id", G.outline("geometry").alias("outline"), F.inline(cells))
+    return areas.select("area_id", *G.CORNERS, G.outline("geometry").alias("outline"), F.inline(cells))
 
 
 def points_in_areas(tx: DataFrame, areas: DataFrame, cell: float = 1.0, salts: int = 16) -> DataFrame:
@@ -150,7 +150,8 @@ def points_in_areas(tx: DataFrame, areas: DataFrame, cell: float = 1.0, salts: i
     )
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
     pairs = _cell_pairs(areas, cell).select("*", copies)
-    found = spots.join(pairs, ["i", "j", "salt"]).where(G.outline_contains("outline", "lon", "lat"))
+    near = spots.join(pairs, ["i", "j", "salt"]).where(G.within_box("lon", "lat", {c: c for c in G.CORNERS}))
+    found = near.where(G.outline_contains("outline", "lon", "lat"))
 
     def mean(name: str) -> Column:
         return ratio(F.sum(name), F.sum(f"{name}_n")).alias(f"{name}_mean")

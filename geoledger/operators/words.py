@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 from geoledger import constants as C
 from geoledger.functions.codes import sentiment
 from geoledger.functions.numbers import percent
-from geoledger.functions.text import canonical, is_derived, is_uninformative, normalize_text
+from geoledger.functions.text import canonical, is_derived, is_uninformative
 
 # --- tokens and rules ---------------------------------------------------------------------------
 
 
 def split_words(reviews: DataFrame) -> DataFrame:
-    """One row per word of each text of at least three characters."""
-    words = F.split(normalize_text(F.col("description")), r"\s+")
+    """One row per word of each text of at least three characters.
+
+    Splitting the lower-cased text at anything but letters gives the words of ``normalize_text``
+    without building the cleaned text first.
+    """
+    words = F.split(F.lower("description"), r"[^\p{L}]+")
     return (
         reviews.where(F.length("description") >= C.MIN_WORD_LENGTH)
         .select("review_id", "city_id", F.explode(words).alias("token"))

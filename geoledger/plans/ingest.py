@@ -24,6 +24,7 @@ from geoledger.streaming.incremental import run_incremental
 
 ORDER = ["tx_date", "price", "city_id", "built_area", "land_area", "lon", "lat"]
 KEYS = ["tx_id", "parcel_id"]
+REVIEW_FILES = "review_id string, city_id string, score double, description string, delivery int"
 
 
 # --- sources ------------------------------------------------------------------------------------
@@ -190,14 +191,15 @@ def u8_known_urls(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def u9_incremental_words(spark: SparkSession, sf: str) -> DataFrame:
-    """Event reviews arriving as three files, processed by one available-now stream."""
+    """Event reviews arriving in three deliveries of ten days, each followed by a run of the job."""
     source, sink = scratch_path(spark, "review-files"), scratch_path(spark, "review-state")
+    checkpoint = scratch_path(spark, "review-checkpoint")
     reviews = B.event_reviews(B.table(spark, sf, "events"))
     third = F.least(F.floor((F.dayofmonth("review_day") - 1) / 10), F.lit(2))
-    reviews.withColumn("part", third).repartition(3, "part").write.partitionBy("part").parquet(source)
-    schema = "review_id string, city_id string, score double, description string"
-    stream = spark.readStream.schema(schema + ", part int").option("maxFilesPerTrigger", 1).parquet(source)
-    docs = run_incremental(stream, sink, scratch_path(spark, "review-checkpoint"), ROWS, buckets=4)
+    for delivery in range(3):
+        reviews.where(third == delivery).write.parquet(f"{source}/delivery={delivery}")
+        stream = spark.readStream.schema(REVIEW_FILES).parquet(source)
+        docs = run_incremental(stream, sink, checkpoint, ROWS, buckets=4)
     moods = docs.select("city_id", "sentiment.*", F.explode("words").alias("item"))
     return moods.select("*", F.col("item.word").alias("word"), F.col("item.weight").alias("weight")).drop("item")
 
@@ -237,12 +239,12 @@ def p19_department_of(spark: SparkSession, sf: str) -> DataFrame:
 
 def p20_heading_fields(spark: SparkSession, sf: str) -> DataFrame:
     name, postal = H.heading_fields(F.col("h1_html"), F.col("h1_text"))
-    raw = H.raw_pages(B.table(spark, sf, "pages"))
+    raw = H.raw_pages(B.pages(spark, sf))
     return raw.select("url", name.alias("name"), postal.alias("postal_code"))
 
 
 def p21_city_rows(spark: SparkSession, sf: str) -> DataFrame:
-    cities, _ = H.extract_pages(B.table(spark, sf, "pages"))
+    cities, _ = H.extract_pages(B.pages(spark, sf))
     return cities.select(
         "url", "city_id", "name", "postal_code", "department_id", *[F.col(f"scores.{s}").alias(s) for s in C.SCORES],
         "review_count", "status",

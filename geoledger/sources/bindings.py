@@ -36,6 +36,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores when a table is stored in fewer pieces than that; larger tables stay as scanned."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "region").selectExpr("string(r_regionkey) AS region_id", "r_name AS name")
 
@@ -110,7 +116,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     def score(shift: int) -> str:
         return f"double((n_chars + {shift}) % 9 + 2) / 2"
 
-    return table(spark, sf_dir, "documents").selectExpr(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").selectExpr(
         "string(doc_id) AS review_id",
         "CASE WHEN doc_id % 97 = 0 THEN 'unknown' ELSE string(doc_id % 80) END AS city_id",
         f"CASE WHEN doc_id % 53 <> 0 THEN {score(0)} END AS score",
@@ -119,6 +125,10 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"), "page_id")
+
+
 def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = (
         "CASE s_suppkey % 4 WHEN 0 THEN concat('town-', s_suppkey)"

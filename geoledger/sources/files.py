@@ -26,8 +26,12 @@ def read_transactions_csv(spark: SparkSession, path: str, multi_line: bool = Tru
     return rename_header(raw)
 
 
-def read_areas_geojson(spark: SparkSession, path: str, level: str) -> DataFrame:
-    """Areas of a level with multipolygon and bounding box; geometry text is parsed by its type."""
+def read_areas_geojson(spark: SparkSession, path: str, level: str, partitions: int | None = None) -> DataFrame:
+    """Areas of a level with multipolygon and bounding box; geometry text is parsed by its type.
+
+    One line holds a whole collection and so one task reads it; ``partitions`` spreads its features
+    before the geometry is parsed.
+    """
     fields = {
         "city": {"city_id": "code", "name": "nom", "department_id": "departement", "region_id": "region"},
         "department": {"department_id": "code", "name": "nom", "region_id": "region"},
@@ -36,6 +40,8 @@ def read_areas_geojson(spark: SparkSession, path: str, level: str) -> DataFrame:
     if level not in fields:
         raise ValueError(f"unknown level: {level}")
     features = spark.read.schema(S.FEATURE_COLLECTION).json(path).select(F.inline("features"))
+    if partitions:
+        features = features.repartition(partitions, "properties.code")
     shape = G.parse_coordinates("geometry.coordinates", "geometry.type")
     areas = features.select(
         *[F.col(f"properties.{source}").alias(name) for name, source in fields[level].items()], shape.alias("geometry")
