@@ -2,10 +2,11 @@
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer, so a city with a third
 of all sales would be one task's hash map.  That is fine while the whole input is known to be small,
-and ``aggregate_with_medians`` uses it then.  Beyond that size ``grouped_median`` counts equal values
-first (the shuffle key includes the value), describes the groups by order-preserving logarithmic
-bands, and orders only the rows of the band that contains the middle rank.  No step brings a whole
-group to one task, and the result is exact: bands only decide where to look.
+and ``aggregate_with_medians`` uses it then.  Beyond that size ``grouped_median`` reads the input twice
+instead of shuffling its values: the first pass counts values per order-preserving logarithmic band
+(tasks send one number per band), the second keeps only the values of the band that holds the middle
+rank, which finer bands narrow further before anything is ordered.  No step brings a whole group to one
+task, and the result is exact: bands only decide where to look.
 """
 
 from __future__ import annotations
@@ -15,15 +16,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 FINE = 1 << 20  # bands per factor e
-COARSE_SHIFT = 14  # fine bands per coarse band: 2**14; coarse bands per factor e: 64
+COARSE_SHIFT = 17  # fine bands per coarse band: 2**17; coarse bands per factor e: 8
 SMALL_INPUT = 32 << 20  # bytes; an input under this may be folded by ``percentile``
 _OFFSET = 800 * FINE  # above |ln| of any double, keeps the bands of positive values positive
 
 
 def value_band(value: Column) -> Column:
-    """Integer that never decreases as ``value`` grows."""
+    """Integer that never decreases as ``value`` grows; never null."""
     size = F.floor(F.ln(F.abs(value)) * FINE) + _OFFSET
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("bigint")
+    band = F.when(value > 0, size).when(value < 0, -size)
+    return F.coalesce(band, F.lit(0).cast("bigint"))
 
 
 def _around_middle(counts: DataFrame, group: list[str], order: str) -> DataFrame:
@@ -55,19 +57,13 @@ def grouped_median(df: DataFrame, keys: list[str], values: dict[str, Column]) ->
             )
         ),
     )
-    # The joins below need these columns known; filtering here keeps the count's shuffle identical, and
-    # so shared, in every branch that reads it.
+    rows = rows.withColumn("_fine", value_band(F.col("_value"))).withColumn("_coarse", F.shiftright("_fine", COARSE_SHIFT))
+    # The joins below would add these filters on one side only; stated here they hold in every reader
+    # of ``near``, which is then shuffled once.
     for name in (*keys, "_value"):
         rows = rows.where(F.col(name).isNotNull())
-    tally = (
-        rows.groupBy(*group, "_value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_fine", value_band(F.col("_value")))
-        .withColumn("_coarse", F.shiftright("_fine", COARSE_SHIFT))
-        .where(F.col("_fine").isNotNull() & F.col("_coarse").isNotNull())
-    )
 
-    coarse = tally.groupBy(*group, "_coarse").agg(F.sum("n").alias("n"))
+    coarse = rows.groupBy(*group, "_coarse").agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(W.partitionBy(*group))
     coarse = _around_middle(
         coarse.withColumn("lower", F.floor((total + 1) / 2))
@@ -77,19 +73,15 @@ def grouped_median(df: DataFrame, keys: list[str], values: dict[str, Column]) ->
         "_coarse",
     ).select(*group, "_coarse", "before", "lower", "upper")
 
-    near = tally.join(coarse, [*group, "_coarse"])
-    fine = near.groupBy(*group, "_fine").agg(
-        F.sum("n").alias("n"),
-        F.min("before").alias("before"),
-        F.min("lower").alias("lower"),
-        F.min("upper").alias("upper"),
-    )
+    ranks = ["before", "lower", "upper"]
+    near = rows.join(coarse, [*group, "_coarse"]).groupBy(*group, "_fine", "_value", *ranks).agg(F.count(F.lit(1)).alias("n"))
+    fine = near.groupBy(*group, "_fine").agg(F.sum("n").alias("n"), *[F.min(name).alias(name) for name in ranks])
     start = F.min("before").over(W.partitionBy(*group))
     fine = _around_middle(fine.withColumn("before", start), group, "_fine").select(
         *group, "_fine", "before", "lower", "upper"
     )
 
-    exact = near.drop("before", "lower", "upper").join(fine, [*group, "_fine"])
+    exact = near.drop(*ranks).join(fine, [*group, "_fine"])
     exact = _around_middle(exact.withColumn("before", start), group, "_value")
     middle = (F.min("_value") + F.max("_value")) / 2
     medians = exact.groupBy(*group).agg(middle.alias("_median"))
