@@ -150,12 +150,10 @@ def map_features(
     rows = areas_with_stats(areas, stats, level).withColumn("price", mask_low_price(F.col("price")))
     if level == "city":
         rows = exclude_parents(rows, excluded)
-        rows = with_agglomeration_id(rows.withColumnRenamed("area_id", "city_id"), table).withColumnRenamed("city_id", "area_id")
-        rows = with_satisfaction(rows, cities)
+        rows = with_satisfaction(with_agglomeration_id(rows, table, "area_id"), cities)
     else:
-        rows = rows.withColumns({"agglomeration_id": F.col("area_id"), "satisfaction": F.lit(None).cast("double")})
-    path = F.concat(F.lit(f"{C.LEVEL_PATHS[level]}/"), F.col("agglomeration_id"))
-    return rows.select(
+        rows = rows.selectExpr("*", "area_id AS agglomeration_id", "double(NULL) AS satisfaction")
+    return rows.selectExpr(
         "level",
         "area_id",
         "agglomeration_id",
@@ -164,8 +162,8 @@ def map_features(
         "max_price",
         "min_price",
         "satisfaction",
-        F.concat(F.lit("api/v1/word-clouds/"), path).alias("word_cloud_url"),
-        F.concat(F.lit("api/v1/sentiments/"), path).alias("sentiments_url"),
+        f"concat('api/v1/word-clouds/{C.LEVEL_PATHS[level]}/', agglomeration_id) AS word_cloud_url",
+        f"concat('api/v1/sentiments/{C.LEVEL_PATHS[level]}/', agglomeration_id) AS sentiments_url",
         "geometry",
     )
 
@@ -187,23 +185,18 @@ def areas_in_viewport(
 ) -> DataFrame:
     """Map rows of the finest level from ``level`` up that has fewer than ``limit`` areas in view.
 
-    The choice is part of the plan: each finer level is counted up to ``limit`` rows, no further.
+    Each finer level is counted first, up to ``limit`` rows and no further, as the coarser one is only
+    looked at when it overflows; the returned rows are a lazy plan over one level.
     """
     start = level or level_of(view)
     _key(start)
-    candidates = C.LEVELS[C.LEVELS.index(start) :]
-    found = {
-        name: map_features(intersecting(levels[name][0], view), levels[name][1], name, cities, excluded)
-        for name in candidates
-    }
-    if len(candidates) == 1:
-        return found[start]
-    chosen: Column = F.lit(candidates[-1])
-    for name in reversed(candidates[:-1]):
-        in_view = found[name].select("area_id").limit(limit).agg(F.count(F.lit(1)).alias("n")).scalar()
-        chosen = F.when(in_view < limit, name).otherwise(chosen)
-    rows = reduce(DataFrame.unionByName, found.values())
-    return rows.where(F.col("level") == chosen)
+    for name in C.LEVELS[C.LEVELS.index(start) :]:
+        areas, stats = levels[name]
+        seen = intersecting(areas, view)
+        counted = exclude_parents(seen, excluded) if name == "city" else seen
+        if name == C.LEVELS[-1] or counted.limit(limit).count() < limit:
+            break
+    return map_features(seen, stats, name, cities, excluded)
 
 
 def _feature_text(properties: Column, geometry: Column) -> Column:

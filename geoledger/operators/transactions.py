@@ -54,28 +54,22 @@ def visible_transactions(df: DataFrame, floor: float = C.MIN_PRICE) -> DataFrame
     return df.where(F.col("price") >= floor)
 
 
-def agglomeration_table(df: DataFrame, table: dict[str, tuple[str, ...]] = C.AGGLOMERATIONS) -> DataFrame:
-    """(parent_id, district_id) rows of a fixed lookup."""
-    rows = [(parent, child) for parent, children in table.items() for child in children]
-    return df.sparkSession.createDataFrame(rows, "parent_id string, district_id string")
+def _quoted(codes: tuple[str, ...]) -> str:
+    return ", ".join(f"'{code}'" for code in codes)
 
 
 def expand_agglomeration(ids: DataFrame, table: dict[str, tuple[str, ...]] = C.AGGLOMERATIONS) -> DataFrame:
     """A big-city code becomes the codes of its districts, other codes stay."""
-    lookup = F.broadcast(agglomeration_table(ids, table))  # fixed lookup of a few dozen rows
-    return ids.join(lookup, ids["city_id"] == lookup["parent_id"], "left").select(
-        F.coalesce("district_id", "city_id").alias("city_id")
-    )
+    cases = " ".join(f"WHEN '{parent}' THEN array({_quoted(children)})" for parent, children in table.items())
+    return ids.select(F.expr(f"explode(CASE city_id {cases} ELSE array(city_id) END) AS city_id"))
 
 
-def with_agglomeration_id(df: DataFrame, table: dict[str, tuple[str, ...]] = C.AGGLOMERATIONS) -> DataFrame:
+def with_agglomeration_id(
+    df: DataFrame, table: dict[str, tuple[str, ...]] = C.AGGLOMERATIONS, key: str = "city_id"
+) -> DataFrame:
     """Parent city of a district as ``agglomeration_id``, the own id elsewhere."""
-    lookup = F.broadcast(agglomeration_table(df, table))
-    return (
-        df.join(lookup, df["city_id"] == lookup["district_id"], "left")
-        .withColumn("agglomeration_id", F.coalesce("parent_id", "city_id"))
-        .drop("parent_id", "district_id")
-    )
+    cases = " ".join(f"WHEN {key} IN ({_quoted(children)}) THEN '{parent}'" for parent, children in table.items())
+    return df.select("*", F.expr(f"CASE {cases} ELSE {key} END AS agglomeration_id"))
 
 
 def transactions_of(df: DataFrame, ids: list[str] | DataFrame) -> DataFrame:

@@ -89,7 +89,7 @@ def mark_processed(df: DataFrame, ids: DataFrame, when: Column | None = None) ->
     )
 
 
-def requeue_stale(state: DataFrame, before: datetime) -> DataFrame:
+def requeue_stale(state: DataFrame, before: datetime | Column) -> DataFrame:
     """Rows processed before a date go back to "unprocessed"."""
     stale = F.col("processed_at") < F.lit(before)
     return state.withColumn("status", F.when(stale, "unprocessed").otherwise(F.col("status")))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -206,7 +204,7 @@ def u9_incremental_words(spark: SparkSession, sf: str) -> DataFrame:
 
 def u10_requeue_stale(spark: SparkSession, sf: str) -> DataFrame:
     cities = B.city_documents(spark, sf).select("city_id", "status", "processed_at")
-    return U.requeue_stale(cities, datetime.datetime(2024, 1, 20)).select("city_id", "status")
+    return U.requeue_stale(cities, F.lit("2024-01-20 00:00:00").cast("timestamp")).select("city_id", "status")
 
 
 def x2_url_difference(spark: SparkSession, sf: str) -> DataFrame:

@@ -25,10 +25,10 @@ TABLES = {
     "customer": "c_custkey bigint",
     "orders": "o_orderkey bigint",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
-    "l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp",
+    "l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp_ntz",
     "documents": "doc_id bigint, text string, n_chars bigint",
     "pages": "page_id bigint, url string, html string",
-    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
 }
 
 
@@ -166,7 +166,7 @@ def city_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"named_struct({', '.join(stored(name) for name in C.SCORES)}) AS scores",
             "coalesce(n, 0L) AS review_count",
             "CASE number % 3 WHEN 0 THEN 'processed' WHEN 1 THEN 'unprocessed' END AS status",
-            "CASE WHEN number % 3 = 0 THEN timestamp_seconds(1704067200 + (number % 60) * 86400) END AS processed_at",
+            "CASE WHEN number % 3 = 0 THEN TIMESTAMP'2024-01-01 00:00:00' + make_dt_interval(int(number % 60)) END AS processed_at",
         )
     )
 
