@@ -175,28 +175,48 @@ def level_of(view: G.Viewport) -> str:
     return "department" if view.zoom <= C.DEPARTMENT_ZOOM else "city"
 
 
-def areas_in_viewport(
+def level_in_view(
     levels: dict[str, tuple[DataFrame, DataFrame]],
-    cities: DataFrame,
     view: G.Viewport,
     limit: int = C.MAX_FEATURES,
     level: str | None = None,
     excluded: tuple[str, ...] = C.AGGLOMERATION_NAMES,
-) -> DataFrame:
-    """Map rows of the finest level from ``level`` up that has fewer than ``limit`` areas in view.
+) -> str:
+    """Finest level from ``level`` (the zoom's own level) up with fewer than ``limit`` areas in view.
 
-    Each finer level is counted first, up to ``limit`` rows and no further, as the coarser one is only
-    looked at when it overflows; the returned rows are a lazy plan over one level.
+    A level is counted up to ``limit`` rows and no further; the coarsest one is not counted.
     """
     start = level or level_of(view)
     _key(start)
-    for name in C.LEVELS[C.LEVELS.index(start) :]:
-        areas, stats = levels[name]
-        seen = intersecting(areas, view)
+    for name in C.LEVELS[C.LEVELS.index(start) : -1]:
+        seen = intersecting(levels[name][0], view)
         counted = exclude_parents(seen, excluded) if name == "city" else seen
-        if name == C.LEVELS[-1] or counted.limit(limit).count() < limit:
-            break
-    return map_features(seen, stats, name, cities, excluded)
+        if counted.limit(limit).count() < limit:
+            return name
+    return C.LEVELS[-1]
+
+
+def areas_in_viewport(
+    levels: dict[str, tuple[DataFrame, DataFrame]],
+    cities: DataFrame,
+    view: G.Viewport,
+    limit: int = C.MAX_FEATURES,
+    level: str | None = None,
+    excluded: tuple[str, ...] = C.AGGLOMERATION_NAMES,
+) -> DataFrame:
+    """Map rows of the level that fits the viewport (``level_in_view``), a lazy plan over that level."""
+    name = level_in_view(levels, view, limit, level, excluded)
+    areas, stats = levels[name]
+    return map_features(intersecting(areas, view), stats, name, cities, excluded)
+
+
+def viewport_document(
+    levels: dict[str, tuple[DataFrame, DataFrame]], cities: DataFrame, view: G.Viewport, limit: int = C.MAX_FEATURES
+) -> DataFrame:
+    """The map rows of a viewport as one FeatureCollection document, also when no area is in view."""
+    name = level_in_view(levels, view, limit)
+    areas, stats = levels[name]
+    return feature_collection(map_features(intersecting(areas, view), stats, name, cities), name)
 
 
 def _feature_text(properties: Column, geometry: Column) -> Column:
@@ -209,7 +229,7 @@ def _feature_text(properties: Column, geometry: Column) -> Column:
     )
 
 
-def feature_collection(rows: DataFrame, max_features: int = 10_000) -> DataFrame:
+def feature_collection(rows: DataFrame, level: str, max_features: int = 10_000) -> DataFrame:
     """One FeatureCollection document per query, with name and price bounds.
 
     A document is for a screen: more than ``max_features`` rows fail the query; use the rows instead.
@@ -221,11 +241,10 @@ def feature_collection(rows: DataFrame, max_features: int = 10_000) -> DataFrame
     items = rows.limit(max_features + 1).withColumn(
         "_feature", _feature_text(properties, G.to_geojson("geometry"))
     )
-    titles = F.create_map(*[F.lit(x) for pair in C.LEVEL_TITLES.items() for x in pair])
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("area_id", "_feature"))), lambda f: f["_feature"])
     metadata = F.to_json(
         F.struct(
-            titles[F.max("level")].alias("name"),
+            F.lit(C.LEVEL_TITLES[level]).alias("name"),
             F.coalesce(F.min("price"), F.lit(0.0)).alias("min_price"),
             F.coalesce(F.max("price"), F.lit(0.0)).alias("max_price"),
             F.lit(True).alias("show"),

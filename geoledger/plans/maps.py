@@ -165,8 +165,7 @@ def p12_fallback_view(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def s10_feature_collection(spark: SparkSession, sf: str) -> DataFrame:
-    rows = M.areas_in_viewport(I.area_levels(spark, sf), B.city_documents(spark, sf), I.CITY_VIEW)
-    return M.feature_collection(rows)
+    return M.viewport_document(I.area_levels(spark, sf), B.city_documents(spark, sf), I.CITY_VIEW)
 
 
 def s10_transaction_collection(spark: SparkSession, sf: str) -> DataFrame:

@@ -164,7 +164,7 @@ def test_map_feature_and_document(rows):
     features = M.map_features(areas, stats, "city", _no_cities(rows))
     bounds = M.legend_bounds(features).first()
     assert (bounds["min_price"], bounds["max_price"]) == (2000.0, 3000.0)
-    document = json.loads(M.feature_collection(features).first()["document"])
+    document = json.loads(M.feature_collection(features, "city").first()["document"])
     assert [f["properties"]["id"] for f in document["features"]] == ["0", "1"]
     assert document["features"][0]["properties"] == {
         "id": "0", "agglomeration_id": "0", "name": "city0", "price": 2000.0, "max_price": 5000.0, "min_price": 100.0,
@@ -173,7 +173,14 @@ def test_map_feature_and_document(rows):
     assert document["features"][0]["geometry"]["type"] == "MultiPolygon"
     assert document["metadata"] == {"name": "Villes", "min_price": 2000.0, "max_price": 3000.0, "show": True}
     with pytest.raises(Exception, match="too many features"):
-        M.feature_collection(features, max_features=1).collect()
+        M.feature_collection(features, "city", max_features=1).collect()
+
+
+def test_empty_view_still_has_a_name(rows):
+    levels = {level: _level(rows, level, 2) for level in ("city", "department", "region")}
+    document = json.loads(M.viewport_document(levels, _no_cities(rows), G.Viewport(12, 50, 50, 51, 51)).first()["document"])
+    assert document["features"] == []
+    assert document["metadata"] == {"name": "Villes", "min_price": 0.0, "max_price": 0.0, "show": True}
 
 
 def test_masked_price_and_empty_legend(rows):
