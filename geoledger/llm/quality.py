@@ -17,8 +17,8 @@ from geoledger.llm.common import ship_with_tasks
 DICTIONARY_TEXTS = 1500
 CALIBRATION_TEXTS = 4000
 SAMPLE_BYTES = 32_000
-DICTIONARY_BYTES = 112_640
-LEVEL = 6
+DICTIONARY_BYTES = 65_536
+LEVEL = 3
 #: Largest normalised difference that counts; very short texts go beyond by chance.
 CLIP = 0.3
 THRESHOLD = 0.3
@@ -66,29 +66,41 @@ class Differ:
 class Model:
     good: bytes
     bad: bytes
-    slope: float
-    offset: float
+    #: Rising curve from difference to share of good text, as its knots.
+    differences: tuple[float, ...]
+    shares: tuple[float, ...]
 
     def score(self, difference: float) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * difference + self.offset, -30, 30))))
-
-
-def calibrate(differences: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve; a flat one at the smoothed share of good where a class is missing."""
-    share = (labels.sum() + 1) / (len(labels) + 2)
-    if len(set(labels.tolist())) < 2:
-        return 0.0, float(np.log(share / (1 - share)))
-    scale = differences.std() or 1.0
-    x = np.column_stack([differences / scale, np.ones(len(labels))])
-    w = np.array([0.0, np.log(share / (1 - share))])
-    for _ in range(50):  # Newton steps with a small ridge
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.eye(2) * 1e-2
-        step = np.linalg.solve(hessian, x.T @ (labels - p) - 1e-2 * w)
-        w = w + np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-9:
-            break
-    return max(0.0, float(w[0] / scale)), float(w[1])
+        return float(np.interp(difference, self.differences, self.shares))
+
+
+def calibrate(differences: np.ndarray, labels: np.ndarray) -> tuple[tuple[float, ...], tuple[float, ...]]:
+    """Knots of the rising curve that fits the labels best: neighbours out of order are pooled (isotonic regression).
+
+    Each pool's share is smoothed by half a text of either class, and the curve rises between the pools' middles, and a
+    little inside them, so that differences keep their order.
+    """
+    pools: list[list[float]] = []
+    order = np.lexsort((labels, differences))
+    for at in order:
+        pools.append([labels[at], 1.0, differences[at], differences[at]])
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
+            good, n, _, high = pools.pop()
+            pools[-1] = [pools[-1][0] + good, pools[-1][1] + n, pools[-1][2], high]
+    xs, ys = [-CLIP], [0.0]
+    for good, n, low, high in pools:
+        share = (good + 0.5) / (n + 1)
+        for x, y in ((low, share - 0.005), (high, share + 0.005)):
+            if x > xs[-1]:
+                xs.append(float(x))
+                ys.append(float(min(max(y, ys[-1]), 1.0)))
+    if len(pools) <= 1:
+        share = (labels.sum() + 0.5) / (len(labels) + 1)
+        return (-CLIP, CLIP), (float(share), float(share))
+    if xs[-1] < CLIP:
+        xs.append(CLIP)
+        ys.append(1.0)
+    return tuple(xs), tuple(ys)
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", seed: int = 0) -> Model:
@@ -117,8 +129,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     differ = Differ(good_dict, bad_dict)
     others = [r for r in rows if r["_use"] == "c"]
     differences = np.array([differ.difference(r["_text"]) for r in others], dtype=float)
-    slope, offset = calibrate(differences, np.array([r["_quality"] for r in others], dtype=float))
-    return Model(good_dict, bad_dict, slope, offset)
+    knots = calibrate(differences, np.array([r["_quality"] for r in others], dtype=float))
+    return Model(good_dict, bad_dict, *knots)
 
 
 def quality_scores(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
