@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoledger.llm.common import ship_with_tasks, whole_text
-from geoledger.sources.scratch import scratch_path
+from geoledger.sources.scratch import materialise, scratch_path
 
 LIMIT = 512
 #: Most chunk counts a task keeps.
@@ -151,7 +151,8 @@ def count_tokens(docs: DataFrame, path: str, cache: str, limit: int = LIMIT, key
     counted = misses.mapInArrow(encode, "digest binary, n_tokens long")
     counted.select(F.lit(version).alias("version"), "digest", "n_tokens").write.mode("append").parquet(cache)
 
-    known = read_cache(spark, cache, version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # written, so that the join below is between two plain exchanges and AQE can split a hot digest
+    known = materialise(read_cache(spark, cache, version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "known-counts")
     rows = docs.select(F.col(key).alias("id"), F.octet_length(body).cast("long").alias("n_bytes"), digest.alias("digest"))
     return rows.join(known, "digest").select(
         F.col("id").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
