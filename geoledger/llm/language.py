@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoledger.llm.common import ship_with_tasks
+from geoledger.sources.scratch import materialise
 
-#: Words of the shared vocabulary, the most frequent of the background; all others are one unknown word.
+#: Most words of the shared vocabulary, the most frequent of the background; all others are one unknown word.
 VOCABULARY = 32_768
 #: Cells of a model's pair counts.  Where they hold all pairs of the vocabulary each pair has its own.
 CELLS = 1 << 20
@@ -40,7 +41,11 @@ def pair_cells(before: np.ndarray, after: np.ndarray, words: int, cells: int) ->
 
 
 def vocabulary(background: DataFrame, size: int = VOCABULARY, text: str = "text") -> list[str]:
-    """The most frequent words of all texts, ties by word; at most ``size`` come to the driver."""
+    """The most frequent words of all texts, at most ``size``.
+
+    Words enter by classes of like counts (one count up to 1024, then within a 64th of an octave), whole classes as long as
+    they fit.  Only the class sizes and the words chosen come to the driver, however many words and partitions there are.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -58,8 +63,16 @@ def vocabulary(background: DataFrame, size: int = VOCABULARY, text: str = "text"
         yield given()
 
     partial = background.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "word string, n long")
-    totals = partial.groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in totals.orderBy(F.desc("n"), "word").limit(size).collect()]
+    totals = materialise(partial.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    rank = F.when(F.col("n") <= 1024, F.col("n")).otherwise((F.log2("n") * 64).cast("long") + 1024)
+    classes = totals.groupBy(rank.alias("rank")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("rank")).collect()
+    room, least = size, None
+    for row in classes:
+        room -= row["words"]
+        if room < 0:
+            break
+        least = row["rank"]
+    return [] if least is None else sorted(r["word"] for r in totals.where(rank >= least).select("word").collect())
 
 
 @dataclass(frozen=True)
@@ -164,10 +177,10 @@ def cross_entropy_difference(
 
 
 def op4_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target: the documents labelled good."""
+    """Target: the documents labelled good.  Labels grow with the documents, so the two are joined by exchange at every size."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").select("doc_id")
-    return cross_entropy_difference(docs, docs.join(good, "doc_id", "left_semi"))
+    return cross_entropy_difference(docs, docs.join(good.hint("merge"), "doc_id", "left_semi"))
 
 
 QUERIES = {"op4_language_scores": op4_language_scores}
