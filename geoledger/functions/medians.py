@@ -1,12 +1,13 @@
 """Exact grouped medians whose work stays spread when one group holds most of the rows.
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer, so a city with a third
-of all sales would be one task's hash map.  That is fine while the whole input is known to be small,
-and ``aggregate_with_medians`` uses it then.  Beyond that size ``grouped_median`` reads the input twice
-instead of shuffling its values: the first pass counts values per order-preserving logarithmic band
-(tasks send one number per band), the second keeps only the values of the band that holds the middle
-rank, which finer bands narrow further before anything is ordered.  No step brings a whole group to one
-task, and the result is exact: bands only decide where to look.
+of all sales would be one task's hash map.  ``grouped_median`` reads the input twice instead: the first
+pass counts values per order-preserving logarithmic band (tasks send one number per band), and the bands
+that hold a middle rank, a few rows per group, are written, so that their true size is known.  The second
+pass keeps only the values of those bands; where Spark finds the written table small enough to broadcast,
+that happens before any value is shuffled, else the two meet on group and band.  Finer bands narrow what
+is left before anything is ordered.  No step brings a whole group to one task, and the result is exact:
+bands only decide where to look.  NaN is the largest value, as in ``percentile``; infinities are ordinary.
 """
 
 from __future__ import annotations
@@ -15,16 +16,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from geoledger.sources.scratch import materialise
+
 FINE = 1 << 20  # bands per factor e
 COARSE_SHIFT = 17  # fine bands per coarse band: 2**17; coarse bands per factor e: 8
-SMALL_INPUT = 32 << 20  # bytes; an input under this may be folded by ``percentile``
 _OFFSET = 800 * FINE  # above |ln| of any double, keeps the bands of positive values positive
 
 
 def value_band(value: Column) -> Column:
-    """Integer that never decreases as ``value`` grows; never null."""
-    size = F.floor(F.ln(F.abs(value)) * FINE) + _OFFSET
-    band = F.when(value > 0, size).when(value < 0, -size)
+    """Integer that never decreases as ``value`` grows, infinities and NaN included; never null."""
+    endless = F.abs(value) == float("inf")
+    size = F.when(endless, F.lit(2 * _OFFSET)).otherwise(F.floor(F.ln(F.abs(value)) * FINE) + _OFFSET)
+    band = F.when(F.isnan(value), F.lit(3 * _OFFSET)).when(value > 0, size).when(value < 0, -size)
     return F.coalesce(band, F.lit(0).cast("bigint"))
 
 
@@ -72,6 +75,7 @@ def grouped_median(df: DataFrame, keys: list[str], values: dict[str, Column]) ->
         group,
         "_coarse",
     ).select(*group, "_coarse", "before", "lower", "upper")
+    coarse = materialise(coarse, "median-bands")
 
     ranks = ["before", "lower", "upper"]
     near = rows.join(coarse, [*group, "_coarse"]).groupBy(*group, "_fine", "_value", *ranks).agg(F.count(F.lit(1)).alias("n"))
@@ -83,23 +87,13 @@ def grouped_median(df: DataFrame, keys: list[str], values: dict[str, Column]) ->
 
     exact = near.drop(*ranks).join(fine, [*group, "_fine"])
     exact = _around_middle(exact.withColumn("before", start), group, "_value")
-    middle = (F.min("_value") + F.max("_value")) / 2
+    middle = F.min("_value") * 0.5 + F.max("_value") * 0.5
     medians = exact.groupBy(*group).agg(middle.alias("_median"))
     return medians.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_metric") == i, F.col("_median"))).alias(name) for i, name in enumerate(names)]
     )
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, the one automatic broadcasts rely on; no job is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def aggregate_with_medians(
-    df: DataFrame, keys: list[str], aggregates: list[Column], values: dict[str, Column], small: int = SMALL_INPUT
-) -> DataFrame:
+def aggregate_with_medians(df: DataFrame, keys: list[str], aggregates: list[Column], values: dict[str, Column]) -> DataFrame:
     """One row per key: ``aggregates`` plus the exact median of each value."""
-    if estimated_bytes(df) <= small:
-        medians = [F.percentile(value.cast("double"), 0.5).alias(name) for name, value in values.items()]
-        return df.groupBy(*keys).agg(*aggregates, *medians)
     return df.groupBy(*keys).agg(*aggregates).join(grouped_median(df, keys, values), keys, "left")

@@ -229,16 +229,16 @@ def _feature_text(properties: Column, geometry: Column) -> Column:
     )
 
 
-def feature_collection(rows: DataFrame, level: str, max_features: int = 10_000) -> DataFrame:
+def feature_collection(rows: DataFrame, level: str) -> DataFrame:
     """One FeatureCollection document per query, with name and price bounds.
 
-    A document is for a screen: more than ``max_features`` rows fail the query; use the rows instead.
+    A document is for a screen and holds all rows given; ``rows`` themselves are the form for whole territories.
     """
     properties = F.struct(
         F.col("area_id").alias("id"), "agglomeration_id", "name", "price", "max_price", "min_price",
         "satisfaction", "word_cloud_url", "sentiments_url",
     )
-    items = rows.limit(max_features + 1).withColumn(
+    items = rows.withColumn(
         "_feature", _feature_text(properties, G.to_geojson("geometry"))
     )
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("area_id", "_feature"))), lambda f: f["_feature"])
@@ -253,21 +253,15 @@ def feature_collection(rows: DataFrame, level: str, max_features: int = 10_000)
     document = F.concat(
         F.lit('{"type":"FeatureCollection","features":['), F.array_join(ordered, ","), F.lit('],"metadata":'), metadata, F.lit("}")
     )
-    guarded = F.when(F.count(F.lit(1)) <= max_features, document).otherwise(
-        F.raise_error(F.lit("too many features for one document"))
-    )
-    return items.agg(guarded.alias("document"))
+    return items.agg(document.alias("document"))
 
 
-def transaction_collection(features: DataFrame, max_features: int = C.MAX_POINTS) -> DataFrame:
+def transaction_collection(features: DataFrame) -> DataFrame:
     """One FeatureCollection document of sale points."""
     item = _feature_text(F.col("properties"), F.col("geometry"))
     body = F.array_join(F.array_sort(F.collect_list(item)), ",")
     document = F.concat(F.lit('{"type":"FeatureCollection","features":['), body, F.lit("]}"))
-    guarded = F.when(F.count(F.lit(1)) <= max_features, document).otherwise(
-        F.raise_error(F.lit("too many features for one document"))
-    )
-    return features.limit(max_features + 1).agg(guarded.alias("document"))
+    return features.agg(document.alias("document"))
 
 
 # --- colours ------------------------------------------------------------------------------------

@@ -99,11 +99,11 @@ def cities_counted_empty(cities: DataFrame) -> DataFrame:
     return cities.where(F.col("review_count") == 0).select("city_id", "name")
 
 
-def score_gaps(reviews: DataFrame, cities: DataFrame, gap: float = 0.5, k: int = 10) -> DataFrame:
-    """Cities whose stored mean is further than ``gap`` from the mean of their reviews, worst first."""
+def score_gaps(reviews: DataFrame, cities: DataFrame, gap: float = 0.5, k: int | None = 10) -> DataFrame:
+    """Cities whose stored mean is further than ``gap`` from the mean of their reviews; the ``k`` worst in order, or all."""
     actual = reviews.groupBy("city_id").agg(F.avg("score").alias("computed"), F.count(F.lit(1)).alias("reviews"))
     stored = cities.select("city_id", "name", F.col("scores.mean").alias("stored"))
-    return (
+    found = (
         actual.join(stored, "city_id", "left")
         .withColumn("difference", F.abs(F.col("computed") - F.col("stored")))
         .where(F.col("difference") > gap)
@@ -115,9 +115,8 @@ def score_gaps(reviews: DataFrame, cities: DataFrame, gap: float = 0.5, k: int =
             "stored",
             round_half_up(F.col("difference"), 4).alias("difference"),
         )
-        .orderBy(F.desc("difference"), F.asc("city_id"))
-        .limit(k)
     )
+    return found if k is None else found.orderBy(F.desc("difference"), F.asc("city_id")).limit(k)
 
 
 def missing_fields(df: DataFrame, fields: list[str]) -> DataFrame:
@@ -159,8 +158,8 @@ def category_means(reviews: DataFrame) -> DataFrame:
     return reviews.agg(*means).select(F.inline(F.array(*lines)))
 
 
-def issues(cities: DataFrame, reviews: DataFrame, examples: int = 5, gap: float = 0.5, k: int = 50) -> DataFrame:
-    """Problems found, their severity and a few examples; no line for a problem that is absent."""
+def issues(cities: DataFrame, reviews: DataFrame, examples: int = 5, gap: float = 0.5) -> DataFrame:
+    """Problems found, their full count, their severity and a few examples; no line for a problem that is absent."""
 
     def line(rows: DataFrame, kind: str, severity: str, order: str, example: Column) -> DataFrame:
         shown = rows.orderBy(order if order == "city_id" else F.desc(order), "city_id").limit(examples)
@@ -176,7 +175,7 @@ def issues(cities: DataFrame, reviews: DataFrame, examples: int = 5, gap: float
             )
         )
 
-    gaps = score_gaps(reviews, cities, gap, k)
+    gaps = score_gaps(reviews, cities, gap, None)
     return _union(
         [
             line(cities_counted_empty(cities), "cities_without_reviews", "medium", "city_id", F.col("city_id")),
@@ -334,8 +333,8 @@ def review_rollup_check(cities: DataFrame, department_docs: DataFrame, region_do
     return wide.select(F.inline(F.array(*checks)))
 
 
-def anomalies(department_docs: DataFrame, region_docs: DataFrame, examples: int = 10) -> DataFrame:
-    """Empty areas, extreme scores, one-sided sentiment, odd words (one per department, ``examples`` at most)."""
+def anomalies(department_docs: DataFrame, region_docs: DataFrame) -> DataFrame:
+    """Empty areas, extreme scores, one-sided sentiment, odd words (the first of each department)."""
 
     def line(rows: DataFrame, kind: str, detail: Column) -> DataFrame:
         return rows.select(F.lit(kind).alias("type"), "name", detail.alias("detail"))
@@ -350,8 +349,6 @@ def anomalies(department_docs: DataFrame, region_docs: DataFrame, examples: int
     strange = (
         department_docs.select("department_id", "name", F.get(F.filter("words", odd), F.lit(0)).alias("item"))
         .where(F.col("item").isNotNull())
-        .orderBy("department_id")
-        .limit(examples)
     )
     return _union(
         [
@@ -417,6 +414,15 @@ def general_stats(cities: DataFrame, reviews: DataFrame, department_docs: DataFr
     return counts.agg(*[F.max(F.when(F.col("table") == name, F.col("rows"))).alias(name) for name in tables])
 
 
-def summary_json(metrics: DataFrame) -> DataFrame:
-    """One nested document from a one-line metrics frame."""
-    return metrics.limit(1).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("document"))
+def summary_json(groups: dict[str, DataFrame]) -> DataFrame:
+    """One document with an object per group of metrics; a group is one line (none: null), more fail the query."""
+
+    def only(name: str, metrics: DataFrame) -> Column:
+        line = F.when(F.count(F.lit(1)) <= 1, F.first(F.struct("*"))).otherwise(
+            F.raise_error(F.lit(f"more than one line of metrics in group {name}"))
+        )
+        return metrics.agg(line.alias(name)).scalar().alias(name)
+
+    one = next(iter(groups.values())).sparkSession.range(1)
+    document = F.struct(*[only(name, metrics) for name, metrics in groups.items()])
+    return one.select(F.to_json(document, {"ignoreNullFields": "false"}).alias("document"))

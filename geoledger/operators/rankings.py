@@ -65,7 +65,7 @@ def regions_by_price(stats: DataFrame) -> DataFrame:
 
 
 def best_departments(reviews: DataFrame, cities: DataFrame, minimum: int = 10, k: int = 10) -> DataFrame:
-    """Best mean review score among departments with more than ``minimum`` reviews.
+    """Best mean review score, ranked before it is rounded, among departments with more than ``minimum`` reviews.
 
     Scores are folded per city first: the join carries one row per city.
     """
@@ -79,9 +79,9 @@ def best_departments(reviews: DataFrame, cities: DataFrame, minimum: int = 10, k
     )
     return (
         per_department.where(F.col("reviews") > minimum)
-        .withColumn("mean", round_half_up(F.col("mean"), 2))
         .orderBy(F.desc("mean"), F.asc("department_id"))
         .limit(k)
+        .withColumn("mean", round_half_up(F.col("mean"), 2))
     )
 
 

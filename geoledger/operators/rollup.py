@@ -16,8 +16,11 @@ def property_rollup(
 
     Each level is read back from its table, so it is computed once and the next level starts from
     stored rows.  Without ``previous`` the tables hold this run alone (refresh); with the folder of an
-    earlier run, areas this run has no statistics for keep their earlier row (upsert).
+    earlier run, areas this run has no statistics for keep their earlier row (upsert).  That folder
+    cannot be ``target`` itself, whose tables are read while the new ones are written.
     """
+    if previous is not None and previous.rstrip("/") == target.rstrip("/"):
+        raise ValueError("the earlier run's folder cannot be overwritten while it is read")
     spark = tx.sparkSession
     stored: dict[str, DataFrame] = {}
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoledger.functions.geometry import mercator_area
-from geoledger.functions.medians import SMALL_INPUT, aggregate_with_medians
+from geoledger.functions.medians import aggregate_with_medians
 from geoledger.functions.numbers import rounded, weighted_mean
 from geoledger.operators.transactions import positive_sales
 
@@ -28,7 +28,7 @@ def _rounded() -> list:
     ]
 
 
-def city_stats(cities: DataFrame, tx: DataFrame, small: int = SMALL_INPUT) -> DataFrame:
+def city_stats(cities: DataFrame, tx: DataFrame) -> DataFrame:
     """One row per city with at least one sale of positive price.
 
     Sales are folded per city before the cities are joined, so a city with most of the sales reaches
@@ -49,7 +49,7 @@ def city_stats(cities: DataFrame, tx: DataFrame, small: int = SMALL_INPUT) -> Da
         F.max("tx_date").alias("last_date"),
     ]
     medians = {f"{name}_median": F.col(name) for name in ("price", "price_m2", "built", "land")}
-    folded = aggregate_with_medians(sales, ["city_id"], totals, medians, small)
+    folded = aggregate_with_medians(sales, ["city_id"], totals, medians)
     areas = cities.select(
         "city_id", "name", "department_id", "region_id", (mercator_area("geometry") / 1e6).alias("km2")
     )
@@ -60,7 +60,7 @@ def city_stats(cities: DataFrame, tx: DataFrame, small: int = SMALL_INPUT) -> Da
     )
 
 
-def _rollup(children: DataFrame, key: str, counters: list, small: int) -> DataFrame:
+def _rollup(children: DataFrame, key: str, counters: list) -> DataFrame:
     """Statistics of a parent level from its children's rounded rows."""
     n, built, land = COUNTERS
     totals = [
@@ -76,13 +76,13 @@ def _rollup(children: DataFrame, key: str, counters: list, small: int) -> DataFr
         F.max("last_date").alias("last_date"),
         weighted_mean(DENSITY, n).alias(DENSITY),
     ]
-    return aggregate_with_medians(children, [key], totals, {name: F.col(name) for name in MEDIANS}, small)
+    return aggregate_with_medians(children, [key], totals, {name: F.col(name) for name in MEDIANS})
 
 
-def department_stats(departments: DataFrame, cities: DataFrame, small: int = SMALL_INPUT) -> DataFrame:
+def department_stats(departments: DataFrame, cities: DataFrame) -> DataFrame:
     """Weighted means and medians of medians over city statistics."""
     active = cities.where(F.col("transactions") > 0)
-    stats = _rollup(active, "department_id", [F.count("city_id").alias("cities")], small)
+    stats = _rollup(active, "department_id", [F.count("city_id").alias("cities")])
     return (
         departments.select("department_id", "name", "region_id")
         .join(stats, "department_id")
@@ -90,11 +90,11 @@ def department_stats(departments: DataFrame, cities: DataFrame, small: int = SMA
     )
 
 
-def region_stats(regions: DataFrame, departments: DataFrame, small: int = SMALL_INPUT) -> DataFrame:
+def region_stats(regions: DataFrame, departments: DataFrame) -> DataFrame:
     """The same measures over department statistics."""
     active = departments.where(F.col("transactions") > 0)
     counters = [F.count("department_id").alias("departments"), F.sum("cities").alias("cities")]
-    stats = _rollup(active, "region_id", counters, small)
+    stats = _rollup(active, "region_id", counters)
     return (
         regions.select("region_id", "name")
         .join(stats, "region_id")

@@ -101,20 +101,22 @@ def requeue_stale(state: DataFrame, before: datetime | Column) -> DataFrame:
 def purge_invalid(
     cities: DataFrame, reviews: DataFrame, dry_run: bool = True, pattern: str = C.CITY_URL
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
-    """Remove cities with an invalid address and their reviews.
+    """Remove pages with an invalid address and the reviews that stand on them.
 
-    A dry run returns the two counts; otherwise the remaining cities and reviews.
+    Reviews carry the address of their page (``url``): a quarter stored under the id of its city takes
+    its own reviews along, not the city's.  Reviews without an address stay.  A dry run returns the
+    two counts; otherwise the remaining pages and reviews.
     """
     valid = is_city_url(F.col("url"), pattern)
-    invalid = cities.where(~valid).select("city_id").distinct()
+    invalid = cities.where(~valid).select("url").distinct()
     if dry_run:
-        lost = reviews.join(invalid, "city_id", "left_semi")
+        lost = reviews.join(invalid, "url", "left_semi")
         counts = [
             cities.where(~valid).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("cities").alias("item"), "rows"),
             lost.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("reviews").alias("item"), "rows"),
         ]
         return counts[0].unionByName(counts[1])
-    return cities.where(valid), reviews.join(invalid, "city_id", "left_anti")
+    return cities.where(valid), reviews.join(invalid, "url", "left_anti")
 
 
 def new_urls(found: DataFrame, stored: DataFrame) -> DataFrame:

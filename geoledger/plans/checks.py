@@ -140,7 +140,8 @@ def v17_general_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def s9_summary_json(spark: SparkSession, sf: str) -> DataFrame:
-    return V.summary_json(V.price_sanity(I.city_stats(spark, sf)))
+    groups = {"prices": V.price_sanity(I.city_stats(spark, sf)), "sentiment": V.global_sentiment(I.department_docs(spark, sf))}
+    return V.summary_json(groups)
 
 
 QUERIES = {f.__name__: f for f in (

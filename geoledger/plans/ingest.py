@@ -38,7 +38,9 @@ def s1_transaction_csv(spark: SparkSession, sf: str) -> DataFrame:
         }
     )
     out = tx.select(*[F.col(name).alias(header) for header, name in TRANSACTION_HEADER.items()])
-    out.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    for part, columns in ((0, out.columns), (1, out.columns[::-1])):  # two files that differ in the order of columns
+        some = out.where(F.pmod(F.xxhash64(*out.columns), F.lit(2)) == part).select(*columns)
+        some.write.mode("append").option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
     return P.conform_transactions(S.read_transactions_csv(spark, path))
 
 
@@ -165,14 +167,25 @@ def u6_mark_processed(spark: SparkSession, sf: str) -> DataFrame:
     return marked.withColumn("processed_at", F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss"))
 
 
+def _stored_pages(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """City pages, some of them quarters stored under the id of their city, and reviews with the page they stand on."""
+    cities = B.city_documents(spark, sf)
+    quarter = F.concat(F.lit("https://reviews.example/town-"), "city_id", F.lit("/quartier-"), "city_id", F.lit("/avis.html"))
+    shared = F.col("city_id").try_cast("bigint") % 8 == 0
+    pages = cities.unionByName(cities.where(shared).withColumn("url", quarter))
+    on_quarter = shared & (F.col("review_id").cast("bigint") % 3 == 0)
+    reviews = B.reviews(spark, sf).join(cities.select("city_id", "url"), "city_id", "left")
+    return pages, reviews.withColumn("url", F.when(on_quarter & F.col("url").isNotNull(), quarter).otherwise(F.col("url")))
+
+
 def u7_purge_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return U.purge_invalid(B.city_documents(spark, sf), B.reviews(spark, sf))
+    return U.purge_invalid(*_stored_pages(spark, sf))
 
 
 def u7_purge_rest(spark: SparkSession, sf: str) -> DataFrame:
     """What remains after the purge."""
-    cities, reviews = U.purge_invalid(B.city_documents(spark, sf), B.reviews(spark, sf), dry_run=False)
-    left = cities.select(F.lit("city").alias("kind"), F.col("city_id").alias("id"))
+    cities, reviews = U.purge_invalid(*_stored_pages(spark, sf), dry_run=False)
+    left = cities.select(F.lit("city").alias("kind"), F.col("url").alias("id"))
     return left.unionByName(reviews.select(F.lit("review").alias("kind"), F.col("review_id").alias("id")))
 
 

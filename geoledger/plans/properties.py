@@ -33,11 +33,13 @@ def a3_region_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def a4_property_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    """A full refresh, then a second run of the same sales laid over it."""
+    """A first run with false prices in half of the cities, then the true sales of these laid over it."""
     areas = {"city": B.cities(spark, sf), "department": B.departments(spark, sf), "region": B.regions(spark, sf)}
     first, second = scratch_path(spark, "rollup"), scratch_path(spark, "rollup")
-    property_rollup(areas, B.transactions(spark, sf), first)
-    return property_rollup(areas, B.transactions(spark, sf), second, previous=first)["region"].drop("extracted_at")
+    half = F.col("city_id").cast("bigint") % 2 == 0
+    sales = B.transactions(spark, sf)
+    property_rollup(areas, sales.withColumn("price", F.when(half, F.col("price") * 3).otherwise(F.col("price"))), first)
+    return property_rollup(areas, sales.where(half), second, previous=first)["region"].drop("extracted_at")
 
 
 def a5_legend_bounds(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,19 +13,21 @@ from geoledger.operators.transactions import rename_header
 
 
 def read_transactions_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """All CSV files of a folder in one scan, every column as text so codes keep leading zeros.
+    """All CSV files of a folder, every column as text so codes keep leading zeros.
 
-    Columns are found by header name.  ``multi_line=False`` lets Spark split large files when no
-    field holds a line break.
+    Columns are found by header name: the header of each file is read first (one short read per
+    file), files with the same header make one scan, and the scans are united by name, so a file
+    whose columns stand in another order is read right; one that lacks a column fails the query.
+    ``multi_line=False`` lets Spark split large files when no field holds a line break.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("pathGlobFilter", "*.csv")
-        .csv(path)
-    )
-    return rename_header(raw)
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path").collect()
+    if not listed:
+        raise FileNotFoundError(f"no CSV file in {path}")
+    scans: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(listed):
+        scans.setdefault(tuple(reader.csv(row["path"]).columns), []).append(row["path"])
+    return reduce(DataFrame.unionByName, [rename_header(reader.csv(paths)) for paths in scans.values()])
 
 
 def read_areas_geojson(spark: SparkSession, path: str, level: str, partitions: int | None = None) -> DataFrame:

@@ -9,12 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """New path under ``spark.checkpoint.dir``; a temporary folder only where that is unset."""
+    """New path under ``spark.checkpoint.dir``, in a folder of this application.
+
+    A local session without the setting gets a temporary folder; anywhere else its absence is an error, since
+    executors would write to their own disks.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="geoledger-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/geoledger-{spark.conf.get('spark.app.id')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote under ``spark.checkpoint.dir``; call it when no result is read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "")).getParent()
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

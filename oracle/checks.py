@@ -54,8 +54,7 @@ fragment(
     f"""SELECT r.city_id, c.name, r.n AS reviews, {half_up('r.computed', 4)} AS computed, c.mean AS stored,
        {half_up('abs(r.computed - c.mean)', 4)} AS difference
 FROM (SELECT city_id, AVG(score) computed, COUNT(*) n FROM f_reviews GROUP BY city_id) r
-LEFT JOIN f_city_docs c ON c.city_id = r.city_id WHERE abs(r.computed - c.mean) > 0.5
-ORDER BY difference DESC, r.city_id LIMIT 50""",
+LEFT JOIN f_city_docs c ON c.city_id = r.city_id WHERE abs(r.computed - c.mean) > 0.5""",
 )
 fragment(
     "f_sanity",
@@ -176,7 +175,7 @@ UNION ALL SELECT 'one_sided_sentiment', name, CAST(positive_percent AS VARCHAR)
 FROM f_region_docs WHERE positive_percent = 100 OR negative_percent = 100
 UNION ALL SELECT * FROM (SELECT 'odd_word', d.name, arg_min(w.word, w.rank) FROM f_department_words w
   JOIN f_department_docs d ON d.department_id = w.department_id WHERE length(w.word) < 2 OR length(w.word) > 30
-  GROUP BY d.department_id, d.name ORDER BY d.department_id LIMIT 10)"""
+  GROUP BY d.department_id, d.name)"""
     ),
     "v14_text_job_stats": query(
         f"""SELECT c.n AS cities, c.done AS processed, {share('c.done', 'c.n', 2)} AS processed_share, w.n AS words,
@@ -209,8 +208,11 @@ FROM f_gaps HAVING COUNT(*) > 0"""
         )
     ),
     "s9_summary_json": query(
-        """SELECT '{"cities":' || cities || ',"negative_prices":' || negative_prices || ',"extreme_prices":' || extreme_prices
-       || ',"min_price":' || min_price || ',"max_price":' || max_price || ',"mean_price":' || mean_price || '}' AS document
-FROM f_sanity"""
+        f"""SELECT '{{"prices":{{"cities":' || cities || ',"negative_prices":' || negative_prices || ',"extreme_prices":' || extreme_prices
+       || ',"min_price":' || min_price || ',"max_price":' || max_price || ',"mean_price":' || mean_price || '}},"sentiment":{{"positive":' || p.positive || ',"neutral":' || p.neutral
+       || ',"negative":' || p.negative || '}}}}' AS document
+FROM f_sanity CROSS JOIN (
+  SELECT {', '.join(f'{share(n, "(positive + neutral + negative)")} AS {n}' for n in SENTIMENTS)}
+  FROM (SELECT {', '.join(f'SUM({n}) {n}' for n in SENTIMENTS)} FROM f_department_docs)) p"""
     ),
 }

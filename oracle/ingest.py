@@ -11,6 +11,17 @@ _FIRST = """row_number() OVER (PARTITION BY tx_id, parcel_id ORDER BY tx_date NU
 _VALID = r"regexp_matches(url, '^https?://[^/]+/[^/]+-\d+/avis\.html$')"
 _TX = "tx_id, parcel_id, tx_date, price, city_id, built_area, land_area, lon, lat"
 
+_QUARTER = "'https://reviews.example/town-' || c.city_id || '/quartier-' || c.city_id || '/avis.html'"
+fragment(
+    "f_stored_pages",
+    f"""SELECT city_id, url FROM f_city_docs
+UNION ALL SELECT c.city_id, {_QUARTER} FROM f_city_docs c WHERE CAST(c.city_id AS BIGINT) % 8 = 0""",
+)
+fragment(
+    "f_page_reviews",
+    f"""SELECT r.review_id, CASE WHEN TRY_CAST(c.city_id AS BIGINT) % 8 = 0 AND CAST(r.review_id AS BIGINT) % 3 = 0
+  THEN {_QUARTER} ELSE c.url END AS url FROM f_reviews r LEFT JOIN f_city_docs c ON c.city_id = r.city_id""",
+)
 fragment("f_first", f"SELECT * FROM (SELECT *, {_FIRST} rn FROM f_transactions) WHERE rn = 1")
 fragment("f_early", f"SELECT * FROM (SELECT *, {_FIRST} rn FROM f_transactions WHERE tx_date < DATE '1996-01-01') WHERE rn = 1")
 fragment("f_stored_urls", "SELECT url FROM f_city_docs WHERE review_count > 0")
@@ -90,13 +101,12 @@ FROM f_city_docs d FULL JOIN (SELECT city_id, COUNT(*) n FROM f_reviews GROUP BY
        ELSE '2024-06-01 12:00:00' END AS processed_at FROM f_city_docs"""
     ),
     "u7_purge_counts": query(
-        f"""SELECT 'cities' AS item, COUNT(*) AS rows FROM f_city_docs WHERE NOT {_VALID}
-UNION ALL SELECT 'reviews', COUNT(*) FROM f_reviews WHERE city_id IN (SELECT city_id FROM f_city_docs WHERE NOT {_VALID})"""
+        f"""SELECT 'cities' AS item, COUNT(*) AS rows FROM f_stored_pages WHERE NOT {_VALID}
+UNION ALL SELECT 'reviews', COUNT(*) FROM f_page_reviews WHERE NOT {_VALID}"""
     ),
     "u7_purge_rest": query(
-        f"""SELECT 'city' AS kind, city_id AS id FROM f_city_docs WHERE {_VALID}
-UNION ALL SELECT 'review', review_id FROM f_reviews
-WHERE city_id NOT IN (SELECT city_id FROM f_city_docs WHERE NOT {_VALID})"""
+        f"""SELECT 'city' AS kind, url AS id FROM f_stored_pages WHERE {_VALID}
+UNION ALL SELECT 'review', review_id FROM f_page_reviews WHERE url IS NULL OR {_VALID}"""
     ),
     "u8_new_urls": query("SELECT url FROM f_urls EXCEPT SELECT url FROM f_stored_urls"),
     "u8_known_urls": query("SELECT url FROM f_urls INTERSECT SELECT url FROM f_stored_urls"),

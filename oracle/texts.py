@@ -216,7 +216,7 @@ ORDER BY share DESC, city_id LIMIT 5)"""
     "k8_best_departments": query(
         f"""SELECT department_id, {half_up('AVG(r.score)', 2)} AS mean, COUNT(*) AS reviews FROM f_reviews r
 JOIN f_cities c ON c.city_id = r.city_id GROUP BY department_id HAVING COUNT(*) > 10
-ORDER BY mean DESC, department_id LIMIT 10"""
+ORDER BY AVG(r.score) DESC, department_id LIMIT 10"""
     ),
     "k9_top_rated_departments": query(
         """SELECT department_id, name, cities, reviews, mean FROM f_department_docs

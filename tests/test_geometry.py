@@ -172,8 +172,6 @@ def test_map_feature_and_document(rows):
     }
     assert document["features"][0]["geometry"]["type"] == "MultiPolygon"
     assert document["metadata"] == {"name": "Villes", "min_price": 2000.0, "max_price": 3000.0, "show": True}
-    with pytest.raises(Exception, match="too many features"):
-        M.feature_collection(features, "city", max_features=1).collect()
 
 
 def test_empty_view_still_has_a_name(rows):

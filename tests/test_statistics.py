@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import statistics
 
+import pytest
 from pyspark.sql import functions as F
 
 from geoledger.functions.medians import aggregate_with_medians, grouped_median, value_band
@@ -47,20 +48,22 @@ def test_bands_keep_order(rows):
     assert bands == sorted(bands)
 
 
-def test_large_and_small_inputs_agree(spark):
-    cities, tx = B.cities(spark, SF), B.transactions(spark, SF)
-    small, large = A.city_stats(cities, tx), A.city_stats(cities, tx, small=0)
-    _same(large, small)
-    departments = B.departments(spark, SF)
-    stored = spark.createDataFrame(small.collect(), small.schema)
-    _same(A.department_stats(departments, stored, small=0), A.department_stats(departments, stored))
+def test_medians_equal_percentile(rows):
+    nan, inf = float("nan"), float("inf")
+    groups = {
+        "nan": [1.0, 2.0, 3.0, nan], "nans": [5.0, 6.0, 7.0, nan, nan], "inf": [1.0, 2.0, inf], "both": [-inf, inf, 4.0, 4.0],
+        "all": [nan, nan], "ends": [-inf, -inf, inf], "signs": [-3.0, -1.0, 0.0, 2.0], "zero": [0.0, 0.0], "one": [7.5], "big": [1.7e308, 1.7e308],
+    }
+    df = rows([(k, v) for k, values in groups.items() for v in values], "k string, v double")
+    for some in (df, df.where("k = 'one'"), df.where("k = 'none'")):
+        plain = {r["k"]: str(r["m"]) for r in some.groupBy("k").agg(F.percentile("v", 0.5).alias("m")).collect()}
+        assert {r["k"]: str(r["m"]) for r in grouped_median(some, ["k"], {"m": F.col("v")}).collect()} == plain
 
 
 def test_median_of_medians_and_null_groups(rows):
     df = rows([("a", 1.0), ("a", 2.0), ("a", None), ("a", 4.0), ("a", 10.0), ("b", None)], "k string, v double")
-    for small in (0, 1 << 30):
-        found = aggregate_with_medians(df, ["k"], [F.count("v").alias("n")], {"m": F.col("v")}, small)
-        assert {r["k"]: r["m"] for r in found.collect()} == {"a": 3.0, "b": None}
+    found = aggregate_with_medians(df, ["k"], [F.count("v").alias("n")], {"m": F.col("v")})
+    assert {r["k"]: r["m"] for r in found.collect()} == {"a": 3.0, "b": None}
 
 
 def test_weighted_mean(rows):
@@ -130,3 +133,13 @@ def test_upsert_columns_can_set_null(rows):
     old = rows([("1", 1.0)], "id string, g double")
     new = rows([("1", None)], "id string, g double")
     assert U.upsert_columns(new, old, ["id"], ["g"]).collect()[0]["g"] is None
+
+
+def test_rollup_over_its_own_folder_is_refused(spark, tmp_path):
+    areas = {"city": B.cities(spark, SF), "department": B.departments(spark, SF), "region": B.regions(spark, SF)}
+    folder = str(tmp_path / "stats")
+    property_rollup(areas, B.transactions(spark, SF), folder)
+    before = sorted(map(tuple, spark.read.parquet(f"{folder}/city").collect()), key=str)
+    with pytest.raises(ValueError, match="cannot be overwritten"):
+        property_rollup(areas, B.transactions(spark, SF), folder, previous=folder + "/")
+    assert sorted(map(tuple, spark.read.parquet(f"{folder}/city").collect()), key=str) == before
