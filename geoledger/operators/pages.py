@@ -23,6 +23,7 @@ from geoledger.functions.codes import (
     url_class,
 )
 from geoledger.functions.numbers import struct_of
+from geoledger.sources.scratch import materialise
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
@@ -41,17 +42,24 @@ class _Node:
 
     def __iter__(self) -> Iterator[_Node]:
         """Elements below this one in document order."""
-        for part in self.parts:
-            if isinstance(part, _Node):
-                yield part
-                yield from part
+        return (part for part, closing in self._walk() if isinstance(part, _Node) and not closing)
+
+    def _walk(self) -> Iterator[tuple[_Node | str, bool]]:
+        """Parts below this one in document order, elements again when they close; pages can be nested thousands deep."""
+        waiting: list[tuple[_Node | str, bool]] = [(part, False) for part in reversed(self.parts)]
+        while waiting:
+            part, closing = waiting.pop()
+            yield part, closing
+            if isinstance(part, _Node) and not closing:
+                waiting.append((part, True))
+                waiting.extend((below, False) for below in reversed(part.parts))
 
     def text(self) -> str:
-        return "".join(part if isinstance(part, str) else part.text() for part in self.parts)
+        return "".join(part for part, _ in self._walk() if isinstance(part, str))
 
     def html(self) -> str:
-        inner = "".join(part if isinstance(part, str) else part.html() for part in self.parts)
-        return f"<{self.tag}>{inner}</{self.tag}>"
+        inner = (part if isinstance(part, str) else f"</{part.tag}>" if closing else f"<{part.tag}>" for part, closing in self._walk())
+        return f"<{self.tag}>{''.join(inner)}</{self.tag}>"
 
     def inside(self, tag: str, css: str | None = None) -> bool:
         node = self.parent
@@ -161,10 +169,14 @@ def heading_fields(h1_html: Column, h1_text: Column) -> tuple[Column, Column]:
     return name, F.regexp_extract(h1_html, r"<small>(\d+)</small>", 1)
 
 
+def _rating_of(label: Column, value: Column) -> tuple[Column, Column]:
+    """Category and number of a rating line; null where unreadable."""
+    return score_field(label), F.trim(value).try_cast("double")
+
+
 def pivot_scores(ratings: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, label, value) rows as one column per category; the last readable value of a label wins."""
-    field = score_field(F.col("label"))
-    value = F.trim("value").try_cast("double")
+    field, value = _rating_of(F.col("label"), F.col("value"))
     known = ratings.select(*keys, "position", field.alias("field"), value.alias("value")).where(
         F.col("field").isNotNull() & F.col("value").isNotNull()
     )
@@ -174,10 +186,12 @@ def pivot_scores(ratings: DataFrame, keys: list[str]) -> DataFrame:
 
 def _category(name: str) -> Column:
     """The same rule inside a row, on its array of ratings."""
-    values = F.transform(
-        F.filter("ratings", lambda r: (score_field(r["label"]) == name) & F.trim(r["value"]).try_cast("double").isNotNull()),
-        lambda r: F.trim(r["value"]).try_cast("double"),
-    )
+
+    def of(r: Column) -> Column:
+        field, value = _rating_of(r["label"], r["value"])
+        return F.when(field == name, value)
+
+    values = F.filter(F.transform("ratings", of), lambda value: value.isNotNull())
     return F.coalesce(F.try_element_at(values, F.lit(-1)), F.lit(0.0))
 
 
@@ -232,8 +246,8 @@ def review_rows(raw: DataFrame) -> DataFrame:
 
 
 def extract_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """City rows and review rows of a table of (url, html)."""
-    raw = raw_pages(pages)
+    """City rows and review rows of a table of (url, html); pages are parsed once, into a written table."""
+    raw = materialise(raw_pages(pages), "raw-pages")
     return city_rows(raw), review_rows(raw)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from geoledger import constants as C
 from geoledger.functions import geometry as G
 from geoledger.functions.codes import city_code, department_of, review_count, score_text, truncate_text
+from geoledger.operators import imports as J
 from geoledger.operators import pages as H
 from geoledger.operators import transactions as P
 from geoledger.operators import upsert as U
@@ -22,26 +23,44 @@ from geoledger.streaming.incremental import run_incremental
 
 ORDER = ["tx_date", "price", "city_id", "built_area", "land_area", "lon", "lat"]
 KEYS = ["tx_id", "parcel_id"]
+LABELS = {
+    "safety": "Sécurité", "education": "Éducation", "sport_leisure": "Sport et loisirs", "environment": "Environnement",
+    "practical_life": "Vie pratique",
+}
 REVIEW_FILES = "review_id string, city_id string, score double, description string, delivery int"
 
 
 # --- sources ------------------------------------------------------------------------------------
 
 
-def s1_transaction_csv(spark: SparkSession, sf: str) -> DataFrame:
-    """Transactions written as CSV with quotes, line breaks and leading zeros, and read back."""
-    path = scratch_path(spark, "transactions-csv")
-    tx = B.transactions(spark, sf).withColumns(
+def _write_csv(tx: DataFrame) -> str:
+    """Transactions as CSV with quotes, line breaks and leading zeros, in two files that differ in the order of columns."""
+    path = scratch_path(tx.sparkSession, "transactions-csv")
+    tx = tx.withColumns(
         {
             "postal_code": F.lpad("city_id", 5, "0"),
             "city_name": F.concat(F.lit('Town "'), "city_id", F.lit('"\nwith, comma')),
         }
     )
     out = tx.select(*[F.col(name).alias(header) for header, name in TRANSACTION_HEADER.items()])
-    for part, columns in ((0, out.columns), (1, out.columns[::-1])):  # two files that differ in the order of columns
+    for part, columns in ((0, out.columns), (1, out.columns[::-1])):
         some = out.where(F.pmod(F.xxhash64(*out.columns), F.lit(2)) == part).select(*columns)
         some.write.mode("append").option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
-    return P.conform_transactions(S.read_transactions_csv(spark, path))
+    return path
+
+
+def s1_transaction_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The files read back by header name."""
+    return P.conform_transactions(S.read_transactions_csv(spark, _write_csv(B.transactions(spark, sf))))
+
+
+def s1_import_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """Half of the sales imported first, then all of them at other prices: stored sales stay."""
+    tx = B.transactions(spark, sf)
+    first, second = scratch_path(spark, "import"), scratch_path(spark, "import")
+    J.import_transactions(spark, _write_csv(tx.where(F.col("tx_id").cast("bigint") % 2 == 0)), first)
+    stored = J.import_transactions(spark, _write_csv(tx.withColumn("price", F.col("price") + 1)), second, previous=first)
+    return stored.select("tx_id", "parcel_id", "tx_date", "price", "city_id", "built_area", "land_area", "lon", "lat")
 
 
 def _write_geojson(spark: SparkSession, areas: DataFrame, level: str, chunk: int = 500) -> str:
@@ -248,14 +267,32 @@ def p19_department_of(spark: SparkSession, sf: str) -> DataFrame:
     return codes.select("code", department_of(F.col("code")).alias("department"))
 
 
+def city_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """One page per city with heading, total, number of reviews and ratings, beside the pages of the table."""
+    c = B.city_documents(spark, sf)
+
+    def line(label: str, name: str) -> Column:
+        value = F.col(f"scores.{name}").cast("string")
+        return F.concat(F.lit(f"<tr><td>{label} <span>"), value, F.lit("</span></td></tr>"))
+
+    html = F.concat(
+        F.lit("<html><body><h1>"), _escaped(F.col("name")), F.lit(" <small>"), "postal_code", F.lit("</small></h1>"),
+        F.lit('<div class="total">'), F.col("scores.mean").cast("string"), F.lit("/5</div>"),
+        F.lit('<div class="nbtotal">Note sur '), F.col("review_count").cast("string"), F.lit(" commentaires</div>"),
+        F.lit('<table class="bloc_chiffre">'), *[line(label, name) for name, label in LABELS.items()], F.lit("</table></body></html>"),
+    )
+    url = F.concat(F.lit("https://reviews.example/town-"), "city_id", F.lit("/avis.html"))
+    return B.pages(spark, sf).select("url", "html").unionByName(c.select(url.alias("url"), html.alias("html")))
+
+
 def p20_heading_fields(spark: SparkSession, sf: str) -> DataFrame:
     name, postal = H.heading_fields(F.col("h1_html"), F.col("h1_text"))
-    raw = H.raw_pages(B.pages(spark, sf))
+    raw = H.raw_pages(city_pages(spark, sf))
     return raw.select("url", name.alias("name"), postal.alias("postal_code"))
 
 
 def p21_city_rows(spark: SparkSession, sf: str) -> DataFrame:
-    cities, _ = H.extract_pages(B.pages(spark, sf))
+    cities, _ = H.extract_pages(city_pages(spark, sf))
     return cities.select(
         "url", "city_id", "name", "postal_code", "department_id", *[F.col(f"scores.{s}").alias(s) for s in C.SCORES],
         "review_count", "status",
@@ -298,11 +335,9 @@ def p22_score_and_count_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p23_pivot_scores(spark: SparkSession, sf: str) -> DataFrame:
-    labels = {"safety": "Sécurité", "education": "Éducation", "sport_leisure": "Sport et loisirs",
-              "environment": "Environnement", "practical_life": "Vie pratique"}
     rows = [
         F.struct(F.lit(i).alias("position"), F.lit(label).alias("label"), F.col(f"scores.{name}").cast("string").alias("value"))
-        for i, (name, label) in enumerate(labels.items())
+        for i, (name, label) in enumerate(LABELS.items())
     ]
     docs = B.city_documents(spark, sf).select("city_id", F.inline(F.array(*rows)))
     return H.pivot_scores(docs, ["city_id"])
@@ -317,7 +352,7 @@ def p25_cap_cities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    s1_transaction_csv, s2_city_geojson, s2_department_geojson, s2_region_geojson, s3_write_table, s4_write_areas,
+    s1_transaction_csv, s1_import_transactions, s2_city_geojson, s2_department_geojson, s2_region_geojson, s3_write_table, s4_write_areas,
     s5_find, s6_find_one, s7_document_round_trip, s8_csv_export, u1_dedup_insert, u2_upsert_geometry, u3_upsert_stats,
     u4_upsert_documents, u5_unprocessed, u6_mark_processed, u7_purge_counts, u7_purge_rest, u8_new_urls, u8_known_urls,
     u9_incremental_words, u10_requeue_stale, x2_url_difference, x3_url_intersection, p16_valid_urls, p17_classify_urls,

@@ -11,8 +11,10 @@ from geoledger.functions.text import normalize_text
 from geoledger.operators import rankings as K
 from geoledger.operators import reviews as R
 from geoledger.operators import words as T
+from geoledger.operators.imports import review_rollup
 from geoledger.plans import inputs as I
 from geoledger.sources import bindings as B
+from geoledger.sources.scratch import scratch_path
 
 SENTIMENT_COLUMNS = [*C.SENTIMENTS, *[f"{name}_percent" for name in C.SENTIMENTS]]
 
@@ -130,6 +132,16 @@ def r7_region_documents(spark: SparkSession, sf: str) -> DataFrame:
     return _flat(I.region_docs(spark, sf), "region_id", "name", "departments", "cities", "reviews")
 
 
+def r7_review_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Both levels stored from the documents of half of the cities, then from all laid over them."""
+    docs, cities = I.stored_city_word_docs(spark, sf), B.city_documents(spark, sf)
+    names = B.departments(spark, sf), B.regions(spark, sf)
+    first, second = scratch_path(spark, "reviews"), scratch_path(spark, "reviews")
+    review_rollup(docs.where(F.length("city_id") == 2), cities, *names, first)
+    stored = review_rollup(docs, cities, *names, second, previous=first)["region"]
+    return _flat(stored, "region_id", "name", "departments", "cities", "reviews")
+
+
 def r8_city_details(spark: SparkSession, sf: str) -> DataFrame:
     ids = B.cities(spark, sf).select("city_id").unionByName(B.reviews(spark, sf).select("city_id")).distinct()
     details = R.city_details(ids, B.city_documents(spark, sf), I.city_word_docs(spark, sf))
@@ -196,7 +208,7 @@ QUERIES = {f.__name__: f for f in (
     t1_normalize, t3_tokens, t4_drop_stopwords, t5_drop_derived, t6_content_words, t7_canonical_words, t8_sentiment,
     w1_city_sentiment, w2_city_words, w3_department_words, w4_region_words, w5_national_words, w6_word_frequencies,
     w7_sentiment_series, r1_department_reviews, r2_department_sentiment, r3_department_documents, r4_region_reviews,
-    r5_region_scores, r6_region_sentiment, r7_region_documents, r8_city_details, k2_extreme_cities, k3_top_reviewed,
+    r5_region_scores, r6_region_sentiment, r7_region_documents, r7_review_rollup, r8_city_details, k2_extreme_cities, k3_top_reviewed,
     k8_best_departments, k9_top_rated_departments, k11_coherence_sample, k12_review_sample, k13_score_histogram,
     k13_positive_histogram, k14_volume_score_pairs, k15_sentiment_matrix,
 )}

@@ -42,11 +42,20 @@ _NAME = f"""trim(regexp_replace(regexp_replace({_H1}, '&amp;?', '&', 'g'), '&quo
 _AREA = "{key}, name{parents}, MIN(x0) AS min_x, MIN(y0) AS min_y, MAX(x0 + 0.9) AS max_x, MAX(y0 + 0.9) AS max_y, CAST(COUNT(*) AS INTEGER) AS polygons"
 _BLANKS = r"regexp_replace(description, '^\s+|\s+$', '', 'g')"
 
+_CITY_URL = "'https://reviews.example/town-' || city_id || '/avis.html'"
+_DEPARTMENT = """CASE WHEN length({code}) < 2 THEN '' WHEN starts_with({code}, '97') AND length({code}) >= 3
+       THEN substr({code}, 1, 3) ELSE substr({code}, 1, 2) END"""
+fragment("f_placed", "SELECT * FROM f_transactions WHERE lon IS NOT NULL AND lat IS NOT NULL")
+
 ORACLE = {
     "s1_transaction_csv": query(
         """SELECT tx_id, tx_date, price, lpad(city_id, 5, '0') AS postal_code, city_id,
        'Town "' || city_id || '"' || chr(10) || 'with, comma' AS city_name, parcel_id, built_area, land_area, lat, lon
 FROM f_transactions"""
+    ),
+    "s1_import_transactions": query(
+        f"""SELECT {_TX.replace('price', 'CASE WHEN CAST(tx_id AS BIGINT) % 2 = 0 THEN price ELSE price + 1 END AS price')}
+FROM (SELECT *, {_FIRST} AS place FROM f_placed) WHERE place = 1"""
     ),
     "s2_city_geojson": query(
         f"""SELECT {_AREA.format(key='city_id', parents=', department_id, region_id')} FROM f_cities GROUP BY ALL"""
@@ -129,14 +138,18 @@ SELECT url, CASE WHEN {_VALID} THEN 'valid' WHEN contains(url, '/quartier-') THE
     ),
     "p18_city_code": query(r"SELECT id, regexp_extract(url, '/[^/]+-(\d+)/avis\.html', 1) AS code FROM f_urls"),
     "p19_department_of": query(
-        """SELECT code, CASE WHEN length(code) < 2 THEN '' WHEN starts_with(code, '97') AND length(code) >= 3
-       THEN substr(code, 1, 3) ELSE substr(code, 1, 2) END AS department
+        f"""SELECT code, {_DEPARTMENT.format(code='code')} AS department
 FROM (SELECT DISTINCT CAST(o_orderkey AS VARCHAR) code FROM orders)"""
     ),
-    "p20_heading_fields": query(f"SELECT url, {_NAME} AS name, '' AS postal_code FROM pages"),
+    "p20_heading_fields": query(
+        f"""SELECT url, {_NAME} AS name, '' AS postal_code FROM pages
+UNION ALL SELECT {_CITY_URL}, name || ' ' || postal_code, postal_code FROM f_city_docs"""
+    ),
     "p21_city_rows": query(
         f"""SELECT url, '' AS city_id, {_NAME} AS name, '' AS postal_code, '' AS department_id,
-       {', '.join(f'0.0::DOUBLE AS {s}' for s in SCORES)}, 0::BIGINT AS review_count, 'unprocessed' AS status FROM pages"""
+       {', '.join(f'0.0::DOUBLE AS {s}' for s in SCORES)}, 0::BIGINT AS review_count, 'unprocessed' AS status FROM pages
+UNION ALL SELECT {_CITY_URL}, city_id, name || ' ' || postal_code, postal_code, {_DEPARTMENT.format(code='city_id')},
+       {', '.join(SCORES)}, review_count, 'unprocessed' FROM f_city_docs"""
     ),
     "p21_review_rows": query(
         rf"""SELECT review_id, CASE WHEN city_id = 'unknown' THEN '' ELSE city_id END AS city_id,

@@ -190,6 +190,7 @@ FROM f_department_docs d JOIN f_region_docs t ON t.region_id = d.region_id"""
     "r5_region_scores": query("SELECT * FROM f_region_scores"),
     "r6_region_sentiment": query("SELECT * FROM f_region_mood"),
     "r7_region_documents": query(_flat("region", "d.region_id, name, departments, cities, reviews")),
+    "r7_review_rollup": query(_flat("region", "d.region_id, name, departments, cities, reviews")),
     "r8_city_details": query(
         f"""SELECT city_id, CASE WHEN ok THEN review_count ELSE 0 END AS review_count,
        {', '.join(f'CASE WHEN ok THEN {n} ELSE 0.0 END AS {n}' for n in SCORES)}, {_ZERO_MOOD},

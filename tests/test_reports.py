@@ -73,3 +73,28 @@ def test_scratch_is_removed(spark):
     remove_scratch(spark)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_deep_pages_are_read(rows):
+    from geoledger.operators import pages as H
+
+    deep = "<html><h1>Town <small>01000</small></h1>" + "<p>" * 5000 + "<div class='total'>3/5</div>"
+    raw = H.raw_pages(rows([("u", deep), ("v", None)], "url string, html string")).collect()
+    assert raw[0]["total"] == "3/5" and raw[0]["h1_html"] == "<h1>Town <small>01000</small></h1>" and raw[1]["h1_text"] is None
+
+
+def test_stored_sales_skip_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from geoledger.sources import bindings as B
+
+    path = str(tmp_path / "sales")
+    S.write_transactions_by_place(B.transactions(spark, "/root/testdata/sf0.01").where("lon is not null"), path, partitions=16)
+    files = (
+        spark.read.parquet(path)
+        .groupBy(F.input_file_name().alias("file"))
+        .agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("lon", "lat")])
+        .collect()
+    )
+    met = [f for f in files if f["min_lon"] < 2 and f["max_lon"] > 1 and f["min_lat"] < 45 and f["max_lat"] > 44]
+    assert len(files) == 16 and len(met) <= 3
