@@ -100,10 +100,13 @@ def intersecting(areas: DataFrame, view: G.Viewport) -> DataFrame:
     return areas.where(G.overlaps_box(box)).where(G.intersects_box("geometry", box))
 
 
-def intersecting_many(areas: DataFrame, viewports: DataFrame, cell: float = 1.0, salts: int = 16) -> DataFrame:
+def intersecting_many(
+    areas: DataFrame, viewports: DataFrame, cell: float = 1.0, salts: int = 16, key: str = "city_id"
+) -> DataFrame:
     """(view_id, area) pairs for a table of viewports, met on grid cells and then tested exactly.
 
-    A salt spreads the viewports of a crowded cell; the area side is repeated once per salt.
+    A salt spreads the viewports of a crowded cell; ids and boxes of the areas are repeated once per
+    salt.  Geometry joins the pairs whose boxes meet, by the areas' unique ``key``.
     """
     box = {corner: f"view.{corner}" for corner in G.CORNERS}
     views = viewports.select(
@@ -118,16 +121,12 @@ def intersecting_many(areas: DataFrame, viewports: DataFrame, cell: float = 1.0,
         F.inline(G.cells_of(box, cell)),
     )
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-    area_cells = areas.select("*", F.inline(G.cells_of({corner: corner for corner in G.CORNERS}, cell))).select("*", copies)
+    own_cells = F.inline(G.cells_of({corner: corner for corner in G.CORNERS}, cell))
+    area_cells = areas.select(key, *G.CORNERS, own_cells).select("*", copies)
     # a pair is tested in one cell only: the first one both boxes cover
     first = f"i = floor(greatest(min_x, view.min_x) / {cell}D) AND j = floor(greatest(min_y, view.min_y) / {cell}D)"
-    return (
-        view_cells.join(area_cells, ["i", "j", "salt"])
-        .where(first)
-        .where(G.overlaps_box(box))
-        .where(G.intersects_box("geometry", box))
-        .drop("view", "i", "j", "salt")
-    )
+    pairs = view_cells.join(area_cells, ["i", "j", "salt"]).where(first).where(G.overlaps_box(box)).select("view_id", "view", key)
+    return pairs.join(areas, key).where(G.intersects_box("geometry", box)).drop("view")
 
 
 def with_satisfaction(features: DataFrame, cities: DataFrame) -> DataFrame:

@@ -118,7 +118,7 @@ def transaction_features(df: DataFrame) -> DataFrame:
 
 def _cell_pairs(areas: DataFrame, size: float) -> DataFrame:
     cells = G.cells_of({corner: corner for corner in G.CORNERS}, size)
-    return areas.select("area_id", *G.CORNERS, G.outline("geometry").alias("outline"), F.inline(cells))
+    return areas.select("area_id", *G.CORNERS, F.inline(cells))
 
 
 def points_in_areas(tx: DataFrame, areas: DataFrame, cell: float = 1.0, salts: int = 16) -> DataFrame:
@@ -126,7 +126,8 @@ def points_in_areas(tx: DataFrame, areas: DataFrame, cell: float = 1.0, salts: i
 
     Both sides meet on a grid cell, so no pair outside a common cell is formed.  Sales at the same
     position are folded first, and a salt on the position spreads a crowded cell over tasks; the
-    area side, a few rows per cell, is repeated once per salt.
+    area side, ids and boxes of a few areas per cell, is repeated once per salt.  Outlines join the
+    pairs that pass the box test, once per area; AQE splits an area that holds most pairs.
     """
     spots = (
         tx.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
@@ -145,7 +146,9 @@ def points_in_areas(tx: DataFrame, areas: DataFrame, cell: float = 1.0, salts: i
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
     pairs = _cell_pairs(areas, cell).select("*", copies)
     near = spots.join(pairs, ["i", "j", "salt"]).where(G.within_box("lon", "lat", {c: c for c in G.CORNERS}))
-    found = near.where(G.outline_contains("outline", "lon", "lat"))
+    near = near.drop("i", "j", "salt", *G.CORNERS)
+    outlines = areas.select("area_id", G.outline("geometry").alias("outline"))
+    found = near.join(outlines, "area_id").where(G.outline_contains("outline", "lon", "lat"))
 
     def mean(name: str) -> Column:
         return ratio(F.sum(name), F.sum(f"{name}_n")).alias(f"{name}_mean")
