@@ -145,7 +145,9 @@ def encoded(docs: DataFrame, model: str | None = None, key: str = "doc_id", text
             import public_tokenizers
 
             path = public_tokenizers.path("piece_bpe_32k.model")
-        coder = Pieces(path, worker_store("pieces_" + hashlib.md5(path.encode()).hexdigest()))
+        with open(path, "rb") as file:
+            version = hashlib.sha256(file.read()).hexdigest()
+        coder = Pieces(path, worker_store("pieces_" + version))
         first, last = (np.array([i], dtype="<u4").tobytes() for i in (coder.begin, coder.end))
         for whole in batches:
             for at in range(0, len(whole), 64):

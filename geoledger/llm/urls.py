@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from geoledger.sources.scratch import materialise
+
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)"
 
 
@@ -40,9 +42,10 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", fetch
     pattern decides, ``block`` before ``allow`` on the same pattern, then list name.  Verdict is ``block``, ``allow`` or ``none``.
 
     Verdicts depend on host and date alone, so captures are first folded to their distinct (host, date) pairs with map-side
-    aggregation: a host with a third of all pages is a few hundred rows.  Their (pattern, date) probes meet the intervals in
-    an as-of join: both are put in one order per list and pattern, and each probe takes the last interval begun.  Verdicts
-    return to the captures by an equi-join on host and date, which AQE can split.
+    aggregation: a host with a third of all pages is a few hundred rows.  What is in force depends on pattern and date alone,
+    so the as-of join sees a pattern once per date, however many hosts or pages lie below it: probes and intervals are put
+    in one order per list and pattern, and each probe takes the last interval begun.  The answers return to the hosts
+    and then to the captures by equi-joins, which AQE can split.
 
     No row is dropped: captures with a null or hostless URL, or without a date, get ``none``.  Repeated captures are kept,
     an empty list gives ``none`` everywhere, and columns of ``captures`` with the added names are replaced.
@@ -57,18 +60,22 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", fetch
     keys = ["list_name", "kind", "pattern"]
     intervals = validity_intervals(entries)
     listed = intervals.select(*keys).distinct()
-    asked = probes.join(listed, "pattern").select(*keys, "day", "host", F.lit(None).cast("struct<f:date,t:date>").alias("begun"))
+    days = probes.select("pattern", "day").distinct()
+    asked = days.join(listed, "pattern").select(*keys, "day", F.lit(True).alias("asked"), F.lit(None).cast("struct<f:date,t:date>").alias("begun"))
     begun = intervals.select(
         *keys,
         F.col("valid_from").alias("day"),
-        F.lit(None).cast("string").alias("host"),
+        F.lit(False).alias("asked"),
         F.struct(F.col("valid_from").alias("f"), F.col("valid_to").alias("t")).alias("begun"),
     )
-    order = Window.partitionBy(*keys).orderBy("day", F.asc_nulls_first("host")).rowsBetween(Window.unboundedPreceding, 0)
-    latest = begun.unionByName(asked).withColumn("latest", F.last("begun", ignorenulls=True).over(order)).where("host is not null")
+    order = Window.partitionBy(*keys).orderBy("day", "asked").rowsBetween(Window.unboundedPreceding, 0)
+    latest = begun.unionByName(asked).withColumn("latest", F.last("begun", ignorenulls=True).over(order)).where("asked")
     active = latest.where("latest.f is not null and (latest.t is null or day < latest.t)")
-    rank = F.struct(-F.length("pattern"), F.col("kind") != "block", "list_name", "pattern", "kind", "latest")
-    best = active.groupBy("host", "day").agg(F.min_by(F.struct("kind", "list_name", "pattern", "latest"), rank).alias("best"))
+    found = F.struct("kind", "list_name", "pattern", "latest")
+    of_day = active.groupBy("pattern", "day").agg(F.min_by(found, F.struct(F.col("kind") != "block", "list_name", "kind", "latest")).alias("found"))
+    # written, so that AQE can split the probes of a parent domain that most hosts share
+    of_day = materialise(of_day, "url-verdicts")
+    best = probes.join(of_day, ["pattern", "day"]).groupBy("host", "day").agg(F.min_by("found", -F.length("pattern")).alias("best"))
     verdicts = best.select(
         F.col("host").alias("_host"),
         F.col("day").alias("_day"),
