@@ -29,7 +29,7 @@ def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
-    assert ("Python" in plan or "MapInPandas" in plan) == name.startswith(("p20", "p21"))
+    assert ("Python" in plan or "MapInPandas" in plan) == name.startswith("p20")
     assert difference(df, duck, SQL[name]) is None
 
 
