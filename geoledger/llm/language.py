@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from geoledger.sources.scratch import materialise
 
 #: Most words of the shared vocabulary, the most frequent of the background; all others are one unknown word.
 VOCABULARY = 32_768
-#: Cells of a model's pair counts.  Where they hold all pairs of the vocabulary each pair has its own.
+#: Cells of a model's pair counts, one per pair of word classes; their root is the most classes there are.
 CELLS = 1 << 20
 #: Share of the pair estimate; the rest is the word's own.
 PAIR_WEIGHT = 0.6
@@ -31,17 +32,21 @@ def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
-def pair_cells(before: np.ndarray, after: np.ndarray, words: int, cells: int) -> np.ndarray:
-    """Cell of each pair of word ids: its own where all pairs have room, else a hash."""
-    pair = before.astype(np.uint64) * np.uint64(words) + after.astype(np.uint64)
-    if words * words <= cells:
-        return pair.astype(np.int64)
-    mixed = pair * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(cells)).astype(np.int64)
+def word_classes(words: int, cells: int) -> np.ndarray:
+    """Class of each word id (ids are in order of frequency), so that every pair of classes has a cell of its own.
+
+    Where there is room each word is a class.  Otherwise the most frequent words fill three quarters of the classes, one
+    each, and the others are dealt to the rest.
+    """
+    ids, room = np.arange(words), isqrt(cells)
+    if words <= room:
+        return ids
+    single = room * 3 // 4
+    return np.where(ids < single, ids, single + (ids - single) % (room - single))
 
 
 def vocabulary(background: DataFrame, size: int = VOCABULARY, text: str = "text") -> list[str]:
-    """The most frequent words of all texts, at most ``size``.
+    """The most frequent words of all texts, at most ``size``, by falling count and then by word.
 
     Words enter by classes of like counts (one count up to 1024, then within a 64th of an octave), whole classes as long as
     they fit.  Only the class sizes and the words chosen come to the driver, however many words and partitions there are.
@@ -72,48 +77,59 @@ def vocabulary(background: DataFrame, size: int = VOCABULARY, text: str = "text"
         if room < 0:
             break
         least = row["rank"]
-    return [] if least is None else sorted(r["word"] for r in totals.where(rank >= least).select("word").collect())
+    return [] if least is None else [r["word"] for r in sorted(totals.where(rank >= least).collect(), key=lambda r: (-r["n"], r["word"]))]
 
 
 @dataclass(frozen=True)
 class Shape:
-    """What both models share: word ids, number of words with the two special ones, number of cells, weight of pairs."""
+    """What both models share: word ids, the class of each id, weight of pairs."""
 
     ids: dict[str, int]
-    words: int
-    cells: int
+    classes: np.ndarray
     pair_weight: float
 
+    @property
+    def n_classes(self) -> int:
+        return int(self.classes.max()) + 1
+
     def encode(self, text: str | None) -> np.ndarray:
         get = self.ids.get
         return np.array([get(w, UNKNOWN) for w in words_of(text)], dtype=np.int64)
 
+    def class_pairs(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class before each word, and cell of the two classes."""
+        after = self.classes[ids]
+        before = np.concatenate([self.classes[[START]], after[:-1]])
+        return before, before * self.n_classes + after
+
 
 def _counted(texts: DataFrame, shared, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts of words, of words as first of a pair, and of pair cells, over all texts."""
+    """Counts of words, of classes as first of a pair, and of pairs of classes, over all texts."""
+
+    def sizes(shape: Shape) -> tuple[int, int, int]:
+        return len(shape.classes), shape.n_classes, shape.n_classes**2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shape = Shape(*shared.value)
-        single, first, pairs = np.zeros(shape.words, np.int64), np.zeros(shape.words, np.int64), np.zeros(shape.cells, np.int64)
+        single, first, pairs = (np.zeros(size, np.int64) for size in sizes(shape))
         for batch in batches:
             for value in batch.column(0):
-                after = shape.encode(value.as_py())
-                if len(after):
-                    before = np.concatenate([[START], after[:-1]])
-                    np.add.at(single, after, 1)
+                ids = shape.encode(value.as_py())
+                if len(ids):
+                    before, cells = shape.class_pairs(ids)
+                    np.add.at(single, ids, 1)
                     np.add.at(first, before, 1)
-                    np.add.at(pairs, pair_cells(before, after, shape.words, shape.cells), 1)
+                    np.add.at(pairs, cells, 1)
         for kind, counts in enumerate((single, first, pairs)):
             used = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(used), kind, np.int32)), pa.array(used), pa.array(counts[used])], ["kind", "cell", "n"]
             )
 
-    shape = Shape(*shared.value)
     partial = texts.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "kind int, cell long, n long")
     sums = partial.groupBy("kind", "cell").agg(F.sum("n").alias("n")).toArrow()
     out = []
-    for kind, size in enumerate((shape.words, shape.words, shape.cells)):
+    for kind, size in enumerate(sizes(Shape(*shared.value))):
         rows = np.asarray(sums["kind"]) == kind
         counts = np.zeros(size, np.int64)
         counts[np.asarray(sums["cell"])[rows]] = np.asarray(sums["n"])[rows]
@@ -121,15 +137,27 @@ def _counted(texts: DataFrame, shared, text: str) -> tuple[np.ndarray, np.ndarra
     return tuple(out)
 
 
-def losses(shape: Shape, model: tuple[np.ndarray, np.ndarray, np.ndarray], ids: np.ndarray) -> np.ndarray:
-    """Negative natural logarithm of each word's probability after the word before it."""
-    single, first, pairs = model
-    before = np.concatenate([[START], ids[:-1]])
-    own = (single[ids] + 1) / (single.sum() + shape.words)
+def estimates(shape: Shape, counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per word its own probability and that within its class, per class its count as first, per pair of classes its count."""
+    single, first, pairs = counts
+    members = np.bincount(shape.classes)
+    totals = np.bincount(shape.classes, weights=single, minlength=len(members))
+    own = (single + 1) / (single.sum() + len(single))
+    return own, (single + 1) / (totals + members)[shape.classes], first, pairs
+
+
+def losses(shape: Shape, model: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], ids: np.ndarray) -> np.ndarray:
+    """Negative natural logarithm of each word's probability after the word before it.
+
+    The probability is that of its class after the class before it times its share of the class, mixed with its own; over
+    the vocabulary it sums to one.
+    """
+    own, within, first, pairs = model
+    before, cells = shape.class_pairs(ids)
     seen = first[before]
-    paired = pairs[pair_cells(before, ids, shape.words, shape.cells)] / np.maximum(seen, 1)
+    paired = pairs[cells] / np.maximum(seen, 1) * within[ids]
     weight = np.where(seen > 0, shape.pair_weight, 0.0)
-    return -np.log(weight * paired + (1 - weight) * own)
+    return -np.log(weight * paired + (1 - weight) * own[ids])
 
 
 def cross_entropy_difference(
@@ -144,19 +172,20 @@ def cross_entropy_difference(
     """(key, n_words, target_loss, background_loss, score): mean losses per word and their difference, lower being closer to the target.
 
     Words are lower-cased and separated by white space.  The vocabulary is counted over all texts of ``docs``, the
-    background; both models use it, the same estimate (pair and single counts mixed), smoothing and cells, and are counted
-    over all texts of ``docs`` and ``target``.  A model is two counts per word and one per cell, whatever the size of the
-    corpus: 9 MB at the defaults, so both fit every task; where the vocabulary has more pairs than cells, rare pairs share
-    cells in both models alike.  Tasks sum their own counts before anything moves; scoring has no shuffle.
+    background; both models use it, the same estimate (class pairs and single words mixed), smoothing and word classes, and are counted
+    over all texts of ``docs`` and ``target``.  A model has one number per pair of classes and two per word, whatever the
+    size of the corpus: 9 MB at the defaults, so both fit every task.  Up to ``sqrt(cells)`` words each word is its own class
+    and the model one of plain word pairs; beyond, rarer words share classes and no two pairs of classes share a cell, so
+    that probabilities sum to one at every size.  Tasks sum their own counts before anything moves; scoring has no shuffle.
 
     Null, empty and blank texts have no words and the losses and score 0.  An empty target leaves its model uniform.  Null
     keys and repeated rows are kept, an empty table gives no rows, other columns are ignored.
     """
     context = docs.sparkSession.sparkContext
     ids = {word: n + 2 for n, word in enumerate(vocabulary(docs, size, text))}
-    shape = Shape(ids, len(ids) + 2, cells, pair_weight)
-    shared = context.broadcast((shape.ids, shape.words, shape.cells, shape.pair_weight))
-    models = context.broadcast((_counted(target, shared, text), _counted(docs, shared, text)))
+    shape = Shape(ids, word_classes(len(ids) + 2, cells), pair_weight)
+    shared = context.broadcast((shape.ids, shape.classes, shape.pair_weight))
+    models = context.broadcast(tuple(estimates(shape, _counted(texts, shared, text)) for texts in (target, docs)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shape, (near, far) = Shape(*shared.value), models.value

@@ -294,11 +294,29 @@ def test_language_scores_equal_plain_models(spark):
     assert all(r.score >= 0 or r.n_words for r in language.cross_entropy_difference(docs, target.limit(0)).collect())
 
 
-def test_pairs_share_cells_only_beyond_their_number():
-    a, b = np.divmod(np.arange(30 * 30), 30)
-    assert len(set(language.pair_cells(a, b, 30, 1024).tolist())) == 900
-    hashed = language.pair_cells(a, b, 30, 512)
-    assert hashed.min() >= 0 and hashed.max() < 512 and len(set(hashed.tolist())) > 300
+def test_word_classes_fill_their_cells():
+    assert language.word_classes(30, 1024).tolist() == list(range(30))
+    classes = language.word_classes(5000, 1024)
+    assert classes[:24].tolist() == list(range(24)) and set(classes.tolist()) == set(range(32))
+    sizes = np.bincount(classes)[24:]
+    assert sizes.max() - sizes.min() <= 1
+
+
+def test_probabilities_sum_to_one_with_shared_classes():
+    rng = np.random.default_rng(5)
+    classes = language.word_classes(300, 400)
+    shape = language.Shape({}, classes, 0.6)
+    single, first, pairs = np.zeros(300, int), np.zeros(shape.n_classes, int), np.zeros(shape.n_classes**2, int)
+    for _ in range(40):
+        ids = rng.zipf(1.3, 50) % 298 + 2
+        before, cells = shape.class_pairs(ids)
+        np.add.at(single, ids, 1)
+        np.add.at(first, before, 1)
+        np.add.at(pairs, cells, 1)
+    model = language.estimates(shape, (single, first, pairs))
+    for before in (2, 3, 17, 120, 299):
+        sums = sum(math.exp(-language.losses(shape, model, np.array([before, word]))[1]) for word in range(300))
+        assert abs(sums - 1) < 1e-9
 
 
 # quality
