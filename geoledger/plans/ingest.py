@@ -17,7 +17,6 @@ from geoledger.plans import inputs as I
 from geoledger.schemas import TRANSACTION_HEADER
 from geoledger.sources import bindings as B
 from geoledger.sources import files as S
-from geoledger.sources.lexicon import ROWS
 from geoledger.sources.scratch import scratch_path
 from geoledger.streaming.incremental import run_incremental
 
@@ -229,8 +228,8 @@ def u9_incremental_words(spark: SparkSession, sf: str) -> DataFrame:
     for delivery in range(3):
         reviews.where(third == delivery).write.parquet(f"{source}/delivery={delivery}")
         stream = spark.readStream.schema(REVIEW_FILES).parquet(source)
-        docs = run_incremental(stream, sink, checkpoint, ROWS, buckets=4)
-    moods = docs.select("city_id", "sentiment.*", F.explode("words").alias("item"))
+        docs, _ = run_incremental(stream, sink, checkpoint, B.lexicon(spark), B.city_documents(spark, sf), buckets=4)
+    moods = docs.select("city_id", "city_name", "sentiment.*", F.explode("words").alias("item"))
     return moods.select("*", F.col("item.word").alias("word"), F.col("item.weight").alias("weight")).drop("item")
 
 

@@ -182,6 +182,6 @@ def event_reviews(events: DataFrame) -> DataFrame:
         "string(event_id) AS review_id",
         "string(user_id % 80) AS city_id",
         "1 + double(floor(value) % 9) / 2 AS score",
-        "event_type AS description",
+        "concat(event_type, CASE event_id % 3 WHEN 0 THEN ' et le parc' WHEN 1 THEN ' et la mairie du parc' ELSE '' END) AS description",
         "date(ts) AS review_day",
     )

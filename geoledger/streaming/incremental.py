@@ -1,87 +1,140 @@
 """Incremental text job: new review files in, refreshed city words and sentiment out.
 
-State is two parquet tables under one folder.  ``reviews`` keeps every review, partitioned by a hash
-bucket of the city; ``cities-<batch>`` keeps the documents after each batch.  A batch stores its
-reviews, then recomputes the cities it touched from all their reviews, so late and repeated reviews
-need no watermark, and only the buckets of touched cities are read.  Every write is an overwrite of a
-folder named after the batch: a batch that is replayed leaves the same state.
+State is four parquet tables under one folder, each written per batch and hash bucket of the city:
+``reviews`` as delivered, ``items`` (class and words of every review), ``counters`` (reviews per city and
+word, and per city and class) and ``cities`` (documents).  A batch adds what its reviews count and takes
+away what the versions they replace counted, so it never reads an earlier text, and it rewrites
+counters and documents of the buckets it touches only.  ``done`` names the buckets of each finished
+batch; the newest finished batch of a bucket is its state.  A batch reads what earlier batches left and
+overwrites folders named after itself, so one that is replayed leaves the same state.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoledger.operators.upsert import first_per_key, upsert_replace
-from geoledger.operators.words import city_sentiment, city_words, sentiment_struct, word_lists
-from geoledger.schemas import LEXICON
+from geoledger import constants as C
+from geoledger.functions.codes import sentiment
+from geoledger.functions.numbers import percent
+from geoledger.operators.upsert import first_per_key, mark_processed, unprocessed
+from geoledger.operators.words import sentiment_struct, significant, split_words, tag, top_words, word_lists
+from geoledger.schemas import SENTIMENT, WORDS
 
 BUCKETS = 64
+KEY = ["bucket", "city_id", "review_id"]
+REVIEWS = "review_id string, city_id string, score double, description string, bucket int"
+ITEMS = f"bucket int, city_id string, review_id string, class string, words {WORDS}"
+COUNTERS = "bucket int, city_id string, kind string, name string, n bigint"
+CITIES = f"bucket int, city_id string, words {WORDS}, sentiment {SENTIMENT}"
 
 
-def _bucket(buckets: int):
-    return F.pmod(F.xxhash64("city_id"), F.lit(buckets)).cast("int")
+def _store(df: DataFrame, sink: str, table: str, batch_id: int) -> None:
+    df.write.mode("overwrite").partitionBy("bucket").parquet(f"{sink}/{table}/batch={batch_id}")
 
 
-def _refresh(reviews: DataFrame, lexicon: DataFrame) -> DataFrame:
-    lists = word_lists(city_words(reviews, lexicon), ["city_id"])
-    moods = city_sentiment(reviews).select("city_id", sentiment_struct())
-    none = F.array().cast("array<struct<word:string,weight:bigint>>")
-    return moods.join(lists, "city_id", "left").select("city_id", F.coalesce("words", none).alias("words"), "sentiment")
+def _read(spark: SparkSession, sink: str, table: str, schema: str, folders: list[tuple[int, int]]) -> DataFrame:
+    """Rows of the given (batch, bucket) folders, with their batch."""
+    if not folders:
+        return spark.createDataFrame([], f"{schema}, batch int")
+    paths = [f"{sink}/{table}/batch={batch}/bucket={bucket}" for batch, bucket in folders]
+    return spark.read.schema(f"{schema}, batch int").option("basePath", f"{sink}/{table}").parquet(*paths)
 
 
-def documents(spark: SparkSession, sink: str) -> DataFrame:
-    """Current documents: the newest batch folder that was completed."""
-    last = spark.read.parquet(f"{sink}/done").agg(F.max("batch")).first()[0]
-    return spark.read.parquet(f"{sink}/cities-{last}")
+def _folders(spark: SparkSession, sink: str, before: int | None = None) -> list[tuple[int, int]]:
+    """(batch, bucket) of the batches finished, all or those before one: as many as folders were written."""
+    done = spark.read.schema("bucket int, batch int").parquet(f"{sink}/done")
+    done = done if before is None else done.where(F.col("batch") < before)
+    return sorted((row["batch"], row["bucket"]) for row in done.collect())
 
 
-def stored_reviews(spark: SparkSession, sink: str) -> DataFrame:
-    """Every review once, the newest batch winning."""
-    rows = spark.read.parquet(f"{sink}/reviews")
-    return first_per_key(
-        rows.withColumn("_age", -F.col("batch")), ["bucket", "city_id", "review_id"], ["_age", "score", "description"]
-    ).drop("_age")
+def _newest(folders: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    return [(batch, bucket) for bucket, batch in {bucket: batch for batch, bucket in folders}.items()]
 
 
-def process_batch(batch: DataFrame, batch_id: int, sink: str, lexicon_rows: list, buckets: int = BUCKETS) -> None:
-    """Store one batch and refresh the cities it touches."""
-    spark = batch.sparkSession
-    lexicon = spark.createDataFrame(lexicon_rows, LEXICON)
-    new = (
-        batch.where(F.col("city_id").isNotNull())
-        .select("review_id", "city_id", "score", "description", _bucket(buckets).alias("bucket"))
-    )
-    new.write.mode("overwrite").partitionBy("bucket").parquet(f"{sink}/reviews/batch={batch_id}")
-
-    stored = spark.read.parquet(f"{sink}/reviews/batch={batch_id}")
-    hit = [row["bucket"] for row in stored.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-    rows = (
-        stored_reviews(spark, sink)
-        .where(F.col("bucket").isin(hit))
-        .join(stored.select("city_id").distinct(), "city_id", "left_semi")
-    )
-    fresh = _refresh(rows, lexicon)
-    if batch_id > 0:
-        fresh = upsert_replace(fresh, spark.read.parquet(f"{sink}/cities-{batch_id - 1}"), ["city_id"])
-    fresh.write.mode("overwrite").parquet(f"{sink}/cities-{batch_id}")
-    spark.range(1).write.mode("overwrite").parquet(f"{sink}/done/batch={batch_id}")
+def _items(reviews: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """Class and words of every review; equal tokens of a review meet the lexicon once."""
+    counted = split_words(reviews).groupBy("city_id", "review_id", "token").agg(F.count(F.lit(1)).alias("n"))
+    words = counted.transform(tag, lexicon).transform(significant)
+    words = words.groupBy("city_id", "review_id", "word").agg(F.sum("n").alias("weight"))
+    lists = words.groupBy("city_id", "review_id").agg(F.collect_list(F.struct("word", "weight")).alias("words"))
+    none = F.array().cast(WORDS)
+    classes = reviews.select(*KEY, sentiment(F.col("score")).alias("class"))
+    return classes.join(lists, ["city_id", "review_id"], "left").select(*KEY, "class", F.coalesce("words", none).alias("words"))
+
+
+def _counts(items: DataFrame, sign: int) -> DataFrame:
+    """(bucket, city_id, kind, name, n) of the items, counted up or down."""
+    classes = items.select("bucket", "city_id", F.lit("class").alias("kind"), F.col("class").alias("name"), F.lit(1).alias("weight"))
+    words = items.select("bucket", "city_id", F.lit("word").alias("kind"), F.inline("words"))
+    both = classes.unionByName(words.withColumnRenamed("word", "name"))
+    return both.groupBy("bucket", "city_id", "kind", "name").agg((sign * F.sum("weight")).alias("n"))
+
+
+def _documents(counters: DataFrame) -> DataFrame:
+    words = counters.where("kind = 'word'").select("bucket", "city_id", F.col("name").alias("word"), F.col("n").alias("weight"))
+    lists = word_lists(top_words(words, ["city_id"], C.CITY_WORDS), ["city_id"])
+    classes = counters.where("kind = 'class'").groupBy("bucket", "city_id")
+    sums = classes.agg(*[F.sum(F.when(F.col("name") == c, F.col("n")).otherwise(0)).alias(c) for c in C.SENTIMENTS])
+    total = reduce(lambda a, b: a + b, [F.col(c) for c in C.SENTIMENTS])
+    shares = sums.withColumns({f"{c}_percent": percent(F.col(c), total) for c in C.SENTIMENTS})
+    moods = shares.select("bucket", "city_id", sentiment_struct())
+    return moods.join(lists, "city_id", "left").select("bucket", "city_id", F.coalesce("words", F.array().cast(WORDS)).alias("words"), "sentiment")
+
+
+def process_batch(batch: DataFrame, batch_id: int, sink: str, lexicon: DataFrame, buckets: int = BUCKETS) -> None:
+    """Store one batch, apply its differences and refresh the buckets it touches.
+
+    A review delivered again replaces its earlier version; of equal keys in one batch the first by score and text counts.
+    Reviews without city or key are void.
+    """
+    spark = lexicon.sparkSession
+    new = batch.dropna(subset=["city_id", "review_id"]).select("review_id", "city_id", "score", "description")
+    new = new.withColumn("bucket", F.pmod(F.xxhash64("city_id"), F.lit(buckets)).cast("int"))
+    _store(first_per_key(new, KEY, ["score", "description"]), sink, "reviews", batch_id)
+
+    stored = spark.read.schema(REVIEWS).parquet(f"{sink}/reviews/batch={batch_id}")
+    hit = sorted(row["bucket"] for row in stored.select("bucket").distinct().collect())  # at most ``buckets`` numbers
+    _store(_items(stored, lexicon), sink, "items", batch_id)
+    items = spark.read.schema(ITEMS).parquet(f"{sink}/items/batch={batch_id}")
+
+    folders = [folder for folder in _folders(spark, sink, batch_id) if folder[1] in hit]
+    earlier = _read(spark, sink, "items", ITEMS, folders).join(stored.select(*KEY), KEY, "left_semi")
+    replaced = first_per_key(earlier.withColumn("_age", -F.col("batch")), KEY, ["_age"])
+    counters = _read(spark, sink, "counters", COUNTERS, _newest(folders)).drop("batch")
+    changed = counters.unionByName(_counts(items, 1)).unionByName(_counts(replaced, -1))
+    changed = changed.groupBy("bucket", "city_id", "kind", "name").agg(F.sum("n").alias("n")).where("n > 0")
+    _store(changed, sink, "counters", batch_id)
+    _store(_documents(spark.read.schema(COUNTERS).parquet(f"{sink}/counters/batch={batch_id}")), sink, "cities", batch_id)
+    marks = spark.createDataFrame([(bucket,) for bucket in hit], "bucket int")
+    marks.coalesce(1).write.mode("overwrite").parquet(f"{sink}/done/batch={batch_id}")
+
+
+def documents(spark: SparkSession, sink: str, cities: DataFrame) -> DataFrame:
+    """Current documents of the known cities: each bucket as its newest finished batch left it."""
+    docs = _read(spark, sink, "cities", CITIES, _newest(_folders(spark, sink)))
+    names = cities.select("city_id", F.col("name").alias("city_name"))
+    return names.join(docs, "city_id").select("city_id", "city_name", "words", "sentiment")
 
 
 def run_incremental(
-    reviews: DataFrame, sink: str, checkpoint: str, lexicon_rows: list, buckets: int = BUCKETS
-) -> DataFrame:
-    """Process all review files that arrived since the last run and return the current documents.
+    reviews: DataFrame, sink: str, checkpoint: str, lexicon: DataFrame, cities: DataFrame, buckets: int = BUCKETS
+) -> tuple[DataFrame, DataFrame]:
+    """Process all review files that arrived since the last run; the current documents and the flagged cities.
 
-    ``reviews`` is a streaming frame with review_id, city_id, score, description.  A run without new
-    files changes nothing.
+    ``reviews`` is a streaming frame with review_id, city_id, score, description.  Every city that waited is flagged
+    processed, those without a review too; the others keep their state.  Reviews are known as processed by their item.
+    A run without new files changes no document.
     """
-    spark = reviews.sparkSession
+    nothing = lexicon.sparkSession.createDataFrame([], "bucket int")
+    nothing.write.mode("overwrite").parquet(f"{sink}/done/batch=-1")  # a first run may find no file
     query = (
         reviews.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: process_batch(batch, batch_id, sink, lexicon_rows, buckets))
+        .foreachBatch(lambda batch, batch_id: process_batch(batch, batch_id, sink, lexicon, buckets))
         .start()
     )
     query.awaitTermination()
-    return documents(spark, sink)
+    return documents(lexicon.sparkSession, sink, cities), mark_processed(cities, unprocessed(cities))

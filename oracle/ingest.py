@@ -28,7 +28,8 @@ fragment("f_stored_urls", "SELECT url FROM f_city_docs WHERE review_count > 0")
 fragment(
     "f_event_reviews",
     """SELECT CAST(event_id AS VARCHAR) review_id, CAST(user_id % 80 AS VARCHAR) city_id,
-       1 + CAST(FLOOR(value) AS BIGINT) % 9 / 2.0 score, event_type description FROM events""",
+       1 + CAST(FLOOR(value) AS BIGINT) % 9 / 2.0 score,
+       [event_type] || CASE event_id % 3 WHEN 0 THEN ['parc'] WHEN 1 THEN ['mairie', 'parc'] ELSE [] END words FROM events""",
 )
 _KIND = "CASE WHEN COALESCE(score, 0) >= 4 THEN 'positive' WHEN COALESCE(score, 0) <= 2 THEN 'negative' ELSE 'neutral' END"
 fragment(
@@ -120,8 +121,9 @@ UNION ALL SELECT 'review', review_id FROM f_page_reviews WHERE url IS NULL OR {_
     "u8_new_urls": query("SELECT url FROM f_urls EXCEPT SELECT url FROM f_stored_urls"),
     "u8_known_urls": query("SELECT url FROM f_urls INTERSECT SELECT url FROM f_stored_urls"),
     "u9_incremental_words": query(
-        f"""SELECT m.city_id, {', '.join('m.' + n for n in [*SENTIMENTS, *[f'{n}_percent' for n in SENTIMENTS]])}, w.word, w.weight
-FROM f_event_mood m JOIN (SELECT city_id, description word, COUNT(*) weight FROM f_event_reviews GROUP BY 1, 2) w
+        f"""SELECT m.city_id, c.name AS city_name, {', '.join('m.' + n for n in [*SENTIMENTS, *[f'{n}_percent' for n in SENTIMENTS]])}, w.word, w.weight
+FROM f_event_mood m JOIN f_city_docs c ON c.city_id = m.city_id
+JOIN (SELECT city_id, word, COUNT(*) weight FROM (SELECT city_id, unnest(words) word FROM f_event_reviews) GROUP BY 1, 2) w
   ON w.city_id = m.city_id"""
     ),
     "u10_requeue_stale": query(

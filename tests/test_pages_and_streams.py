@@ -11,8 +11,7 @@ from geoledger.operators import rankings as K
 from geoledger.operators import words as T
 from geoledger.sources import bindings as B
 from geoledger.sources import files as S
-from geoledger.sources.lexicon import ROWS
-from geoledger.streaming.incremental import documents, run_incremental
+from geoledger.streaming.incremental import documents, process_batch, run_incremental
 
 PAGE = """<html><head><script>var x = '<h1>no</h1>';</script></head><body><!-- <h1>comment</h1> -->
 <h1> Bourg <small>01000</small></h1><div class="total">3.5/5</div><div class="nbtotal">Note sur 12 commentaires</div>
@@ -51,11 +50,12 @@ def test_page_extraction(rows):
 
 
 REVIEW = "review_id string, city_id string, score double, description string"
+STATE = "city_id string, name string, status string, processed_at timestamp"
 
 
-def _run(spark, tmp_path, buckets=4):
+def _run(spark, tmp_path, cities, buckets=4):
     stream = spark.readStream.schema(REVIEW).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
-    return run_incremental(stream, str(tmp_path / "state"), str(tmp_path / "checkpoint"), ROWS, buckets)
+    return run_incremental(stream, str(tmp_path / "state"), str(tmp_path / "checkpoint"), B.lexicon(spark), cities, buckets)
 
 
 def test_incremental_equals_batch_and_repeats_change_nothing(spark, rows, tmp_path):
@@ -65,20 +65,32 @@ def test_incremental_equals_batch_and_repeats_change_nothing(spark, rows, tmp_pa
         [("4", "c", 4.0, "marché"), ("5", "b", None, "bruit route")],
     ]
 
+    cities = rows([("a", "A", None, None), ("b", "B", "unprocessed", None), ("c", "C", "processed", None), ("d", "D", None, None)], STATE)
+    sink = str(tmp_path / "state")
+
     def state(docs):
-        return {r["city_id"]: (r["words"], r["sentiment"]) for r in docs.collect()}
+        return {r["city_id"]: (r["city_name"], r["words"], r["sentiment"]) for r in docs.collect()}
 
-    seen: dict[str, tuple] = {}
+    seen: dict[tuple, tuple] = {}
     for i, batch in enumerate(batches):
         rows(batch, REVIEW).coalesce(1).write.parquet(str(tmp_path / "in" / f"b{i}"))
-        docs = _run(spark, tmp_path)
-        seen |= {row[0]: row for row in batch}
-        cities = rows([("a", "A"), ("b", "B"), ("c", "C")], "city_id string, name string")
+        docs, flagged = _run(spark, tmp_path, cities)
+        seen |= {row[:2]: row for row in batch}
         expected = T.city_word_documents(cities, rows(list(seen.values()), REVIEW), B.lexicon(spark))
         assert state(docs) == state(expected)
+    marks = {r["city_id"]: (r["status"], r["processed_at"] is not None) for r in flagged.collect()}
+    assert marks == {"a": ("processed", True), "b": ("processed", True), "c": ("processed", False), "d": ("processed", True)}
     before = state(docs)
-    assert state(_run(spark, tmp_path)) == before
-    assert state(documents(spark, str(tmp_path / "state"))) == before
+    assert state(_run(spark, tmp_path, cities)[0]) == before
+    last = rows(batches[-1], REVIEW)
+    process_batch(last, len(batches) - 1, sink, B.lexicon(spark), 4)  # replayed
+    assert state(documents(spark, sink, cities)) == before
+    (tmp_path / "state" / "reviews" / "batch=0").rename(tmp_path / "texts of the first batch")
+    process_batch(rows([("1", "a", 5.0, "mairie mairie")], REVIEW), len(batches), sink, B.lexicon(spark), 4)  # reads no earlier text
+    words = state(documents(spark, sink, cities))["a"][1]
+    assert [tuple(w) for w in words] == [("mairie", 2), ("parc", 1), ("école", 1)]
+    process_batch(last.limit(0), len(batches) + 1, sink, B.lexicon(spark), 4)
+    assert [tuple(w) for w in state(documents(spark, sink, cities))["a"][1]] == [tuple(w) for w in words]
 
 
 def test_sample_is_repeatable_and_bounded(spark):
