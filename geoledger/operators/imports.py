@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from geoledger.operators.reviews import department_documents, region_documents
 from geoledger.operators.transactions import conform_transactions, drop_incomplete
-from geoledger.operators.upsert import dedup_insert, upsert_replace
-from geoledger.sources.files import read_transactions_csv, write_transactions_by_place
+from geoledger.operators.upsert import dedup_insert, upsert_columns, upsert_replace
+from geoledger.sources.files import read_areas_geojson, read_transactions_csv, write_areas, write_transactions_by_place
 
 KEYS = ["tx_id", "parcel_id"]
 ORDER = ["tx_date", "price", "city_id", "built_area", "land_area", "lon", "lat"]
@@ -31,6 +31,27 @@ def import_transactions(spark: SparkSession, source: str, target: str, previous:
     return spark.read.parquet(target)
 
 
+def import_areas(spark: SparkSession, sources: dict[str, str], target: str, previous: str | None = None) -> dict[str, DataFrame]:
+    """Boundary files of each level to stored tables of repaired multipolygons with their boxes, in spatial order.
+
+    Of areas already stored under ``previous`` only geometry and box are renewed.  Areas whose geometry cannot be read are
+    not lost: they are stored without it under ``unreadable/<level>``, and their earlier outline stays.
+    """
+    _apart(target, previous)
+    stored: dict[str, DataFrame] = {}
+    for level, source in sources.items():
+        key = f"{level}_id"
+        areas = read_areas_geojson(spark, source, level)
+        box = [name for name in areas.columns if name == "geometry" or name.startswith(("min_", "max_"))]
+        areas.where(F.col("geometry").isNull()).drop(*box).write.mode("overwrite").parquet(f"{target}/unreadable/{level}")
+        areas = areas.where(F.col("geometry").isNotNull())
+        if previous is not None:
+            areas = upsert_columns(areas, spark.read.parquet(f"{previous}/{level}"), [key], box)
+        write_areas(areas, f"{target}/{level}")
+        stored[level] = spark.read.parquet(f"{target}/{level}")
+    return stored
+
+
 def review_rollup(
     city_docs: DataFrame, cities: DataFrame, departments: DataFrame, regions: DataFrame, target: str, previous: str | None = None
 ) -> dict[str, DataFrame]:

@@ -105,6 +105,25 @@ def s2_region_geojson(spark: SparkSession, sf: str) -> DataFrame:
     return _areas_read(spark, B.region_areas(spark, sf), "region")
 
 
+def s2_import_areas(spark: SparkSession, sf: str) -> DataFrame:
+    """Some cities imported first, then others under another name: known areas keep their name, new ones enter whole."""
+    number = F.col("department_id").cast("int")
+    cities = B.cities(spark, sf)
+    areas = {"city": cities.where(number < 15), "department": B.department_areas(spark, sf), "region": B.region_areas(spark, sf)}
+    first, second = scratch_path(spark, "areas"), scratch_path(spark, "areas")
+    J.import_areas(spark, {level: _write_geojson(spark, df, level) for level, df in areas.items()}, first)
+    renamed = {level: df.withColumn("name", F.lit("renamed")) for level, df in (areas | {"city": cities.where(number >= 5)}).items()}
+    stored = J.import_areas(spark, {level: _write_geojson(spark, df, level) for level, df in renamed.items()}, second, previous=first)
+    parts = [
+        df.select(
+            F.lit(level).alias("level"), F.col(f"{level}_id").alias("id"), "name", "min_x", "min_y", "max_x", "max_y",
+            F.size("geometry").alias("polygons"),
+        )
+        for level, df in stored.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def s3_write_table(spark: SparkSession, sf: str) -> DataFrame:
     """Deduplicated transactions written by year and read back, counted per year."""
     path = scratch_path(spark, "transactions")
@@ -351,7 +370,8 @@ def p25_cap_cities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    s1_transaction_csv, s1_import_transactions, s2_city_geojson, s2_department_geojson, s2_region_geojson, s3_write_table, s4_write_areas,
+    s1_transaction_csv, s1_import_transactions, s2_city_geojson, s2_department_geojson, s2_region_geojson, s2_import_areas,
+    s3_write_table, s4_write_areas,
     s5_find, s6_find_one, s7_document_round_trip, s8_csv_export, u1_dedup_insert, u2_upsert_geometry, u3_upsert_stats,
     u4_upsert_documents, u5_unprocessed, u6_mark_processed, u7_purge_counts, u7_purge_rest, u8_new_urls, u8_known_urls,
     u9_incremental_words, u10_requeue_stale, x2_url_difference, x3_url_intersection, p16_valid_urls, p17_classify_urls,

@@ -67,8 +67,9 @@ def write_table(
 
 
 def write_areas(areas: DataFrame, target: str, mode: str = "overwrite") -> None:
-    """Boundary rows that have a geometry, sorted so that box columns prune row groups."""
-    areas.where(F.col("geometry").isNotNull()).sortWithinPartitions("min_x", "min_y").write.mode(mode).parquet(target)
+    """Boundary rows that have a geometry, dealt to files by place and sorted, so that box columns prune files and row groups."""
+    kept = areas.where(F.col("geometry").isNotNull())
+    kept.repartitionByRange("min_x", "min_y").sortWithinPartitions("min_x", "min_y").write.mode(mode).parquet(target)
 
 
 def write_transactions(tx: DataFrame, target: str, mode: str = "overwrite") -> None:

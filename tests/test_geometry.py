@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from geoledger.functions import geometry as G
 from geoledger.operators import areas as M
 from geoledger.operators import transactions as P
+from geoledger.operators.imports import import_areas
 from geoledger.sources import files as S
 
 
@@ -228,3 +229,22 @@ def test_points_in_areas_matches_brute_force(rows):
             assert math.isclose(found[str(i)][1], sum(p[2] for p in hit) / len(hit))
         else:
             assert str(i) not in found
+
+
+def test_import_areas_reports_unreadable_outlines(spark, tmp_path):
+    def collection(*features):
+        body = ",".join(
+            f'{{"type":"Feature","properties":{{"code":"{c}","nom":"{n}"}},"geometry":{{"type":"Polygon","coordinates":{g}}}}}'
+            for c, n, g in features
+        )
+        return f'{{"type":"FeatureCollection","features":[{body}]}}'
+
+    square = "[[[0,0],[1,0],[1,1],[0,1],[0,0]]]"
+    for run, lines in enumerate([collection(("1", "one", square)), collection(("1", "new", '"broken"'), ("2", "two", square))]):
+        (tmp_path / f"in{run}").mkdir()
+        (tmp_path / f"in{run}" / "a.json").write_text(lines)
+    import_areas(spark, {"region": str(tmp_path / "in0")}, str(tmp_path / "t0"))
+    stored = import_areas(spark, {"region": str(tmp_path / "in1")}, str(tmp_path / "t1"), str(tmp_path / "t0"))
+    assert {(r["region_id"], r["name"], r["max_x"]) for r in stored["region"].collect()} == {("1", "one", 1.0), ("2", "two", 1.0)}
+    lost = spark.read.parquet(str(tmp_path / "t1" / "unreadable" / "region")).collect()
+    assert [(r["region_id"], r["name"]) for r in lost] == [("1", "new")]
