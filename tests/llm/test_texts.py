@@ -319,6 +319,41 @@ def test_probabilities_sum_to_one_with_shared_classes():
         assert abs(sums - 1) < 1e-9
 
 
+def plain_losses(texts, size):
+    """Mean losses per text by a model of all words and pairs of ``texts``."""
+    single, first, pairs = Counter(), Counter(), Counter()
+    for t in texts:
+        words = language.words_of(t)
+        single.update(words)
+        first.update(["<s> ", *words][: len(words)])
+        pairs.update(zip(["<s> ", *words], words))
+
+    def loss(text):
+        words, out = language.words_of(text), []
+        for a, b in zip(["<s> ", *words], words):
+            weight = 0.6 if first[a] else 0.0
+            out.append(-math.log(weight * pairs[a, b] / max(first[a], 1) + (1 - weight) * (single[b] + 1) / (single.total() + size)))
+        return sum(out) / len(out) if out else 0.0
+
+    return loss
+
+
+def test_every_word_has_its_own_count(spark):
+    """More words than the 32 768 of the bounded vocabulary; rare ones tell target from background."""
+    rows = [(n, " ".join(f"w{n}x{i}" for i in range(400)), "en", "a", 0) for n in range(100)]
+    rows += [(100, rows[0][1], "en", "a", 0), (101, rows[99][1], "en", "a", 0), (None, None, "en", "a", 0), (102, " ", "en", "a", 0)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    target = spark.createDataFrame(rows[:1], DOCS)
+    near, far = plain_losses([rows[0][1]], 40_002), plain_losses([r[1] for r in rows], 40_002)
+    got = {r.doc_id: r for r in language.cross_entropy_difference(docs, target).collect()}
+    assert len(got) == len(rows)
+    for key, text, *_ in rows:
+        assert abs(got[key].target_loss - near(text)) < 1e-9 and abs(got[key].background_loss - far(text)) < 1e-9
+    assert got[100].score < got[101].score - 1
+    labelled = {r.doc_id: r for r in language.scores_by_keys(docs, docs.select("doc_id").where("doc_id = 0 or doc_id is null")).collect()}
+    assert all(abs(labelled[k].score - got[k].score) < 1e-9 and labelled[k].n_words == got[k].n_words for k in got)
+
+
 # quality
 
 
