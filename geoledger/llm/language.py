@@ -39,7 +39,7 @@ def words_of(text: str | None) -> list[str]:
 
 
 def word_classes(words: int, cells: int) -> np.ndarray:
-    """Class of each word id (ids are in order of frequency), so that every pair of classes has a cell of its own.
+    """Class of each word id, for models of a bounded size; no query uses them (ids are in order of frequency), so that every pair of classes has a cell of its own.
 
     Where there is room each word is a class.  Otherwise the most frequent words fill three quarters of the classes, one
     each, and the others are dealt to the rest.

@@ -354,6 +354,19 @@ def test_every_word_has_its_own_count(spark):
     assert all(abs(labelled[k].score - got[k].score) < 1e-9 and labelled[k].n_words == got[k].n_words for k in got)
 
 
+def test_pairs_are_of_words_at_every_size(spark):
+    """2000 words, all in pairs of their own; words that once shared a class tell which follows which."""
+    rng = np.random.default_rng(3)
+    follower = rng.permutation(2000)
+    texts = [" ".join(f"v{i} v{follower[i]}" for i in rng.integers(0, 2000, 300)) for _ in range(40)]
+    docs = spark.createDataFrame([(n, t, "en", "a", 0) for n, t in enumerate(texts)], DOCS)
+    size = len({w for t in texts for w in t.split()}) + 2
+    far = plain_losses(texts, size)
+    for bound in (None, size):
+        got = language.cross_entropy_difference(docs, docs.where("doc_id < 5"), size=bound).collect()
+        assert all(abs(r.background_loss - far(texts[r.doc_id])) < 1e-9 for r in got)
+
+
 # quality
 
 
