@@ -1,20 +1,31 @@
-"""Document fingerprints by winnowing, in column expressions only."""
+"""Document fingerprints by winnowing: over single characters in Arrow batches, or over pieces of words in column expressions."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from math import ceil
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geoledger.llm.common import successors, whole_text
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+
+from geoledger.llm.common import ship_with_tasks, successors, whole_text
 
 #: Pieces of a text: up to three letters or digits counted from the start of a word, or one other visible character.
 PIECE = r"[\p{L}\p{N}]{1,3}|[^\p{L}\p{N}\s]"
 GRAM = 6
 WINDOW = 8
+#: Characters of a run, and runs of a window, where single characters are hashed.
+CHARACTER_GRAM = 16
+CHARACTER_WINDOW = 24
+BASE = 0x9E3779B97F4A7C15
 ROWS_PER_BLOCK = 256
 
+ship_with_tasks(__name__)
+
 
 def winnow(df: DataFrame, text: str, out: str, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """Add ``out``: array<long> of the selected fingerprints, each hash * 2^31 + (2^31 - 1 - position).
@@ -53,6 +64,58 @@ def winnow(df: DataFrame, text: str, out: str, gram: int = GRAM, window: int = W
     return result.drop(*[c for c in result.columns if c.startswith(f"_{out}_")])
 
 
+def rolling(points: np.ndarray, gram: int) -> np.ndarray:
+    """Polynomial hash of every run of ``gram`` numbers, modulo 2^64: what (h - c[i] * B^(gram-1)) * B + c[i + gram] rolls to.
+
+    Runs are put together from two shorter ones that overlap nowhere, so a run costs log(gram) steps.
+    """
+    out, length, power, width = np.zeros(len(points) + 1, np.uint64), 0, points.astype(np.uint64) + np.uint64(1), 1
+    for bit in range(gram.bit_length()):
+        if gram >> bit & 1:  # the run so far, followed by one of ``width``
+            n = len(points) - length - width + 1
+            out = out[:n] * np.uint64(pow(BASE, width, 1 << 64)) + power[length : length + n]
+            length += width
+        if gram >> (bit + 1):
+            power = power[: len(power) - width] * np.uint64(pow(BASE, width, 1 << 64)) + power[width:]
+            width *= 2
+    return out
+
+
+def selected(text: str | None, gram: int, window: int) -> np.ndarray:
+    """Fingerprints of one text over its code points, packed as in ``winnow``."""
+    points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
+    if not len(points):
+        return np.zeros(0, np.int64)
+    mixed = rolling(points, min(gram, len(points)))
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)  # low bits of a product know little
+    runs = (mixed >> np.uint64(32)).astype(np.int64) << 31 | (2147483647 - np.arange(len(mixed)))
+    width, wanted = 1, min(window, len(runs))
+    while width < wanted:
+        step = min(width, wanted - width)
+        runs = np.minimum(runs[:-step], runs[step:])
+        width += step
+    # equal ones follow each other: the smallest of a window stays until it leaves or a smaller comes
+    return runs[np.append(True, runs[1:] != runs[:-1])]
+
+
+def winnow_characters(df: DataFrame, text: str, out: str, gram: int = CHARACTER_GRAM, window: int = CHARACTER_WINDOW) -> DataFrame:
+    """``winnow`` over single code points, white space among them, with a rolling hash.
+
+    Two texts that share any ``gram + window - 1`` characters share a fingerprint, wherever the passage stands in either:
+    what comes before it changes no hash inside it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [selected(value.as_py(), gram, window) for value in batch.column(at)]
+            offsets = np.append(0, np.cumsum([len(f) for f in found]))
+            prints = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))
+            yield pa.RecordBatch.from_arrays([*batch.columns, prints], [*batch.schema.names, out])
+
+    at = df.columns.index(text)
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(out, ArrayType(LongType()))]))
+
+
 def hashes(fingerprints: str) -> Column:
     """The distinct hashes."""
     return F.array_distinct(F.transform(fingerprints, lambda x: F.shiftright(x, 31)))
@@ -88,7 +151,13 @@ def fingerprint_documents(docs: DataFrame, gram: int = GRAM, window: int = WINDO
     return winnow(kept, text, "_selected", gram, window).withColumn("fingerprints", positions("_selected")).drop("_selected")
 
 
-def with_edited(docs: DataFrame, key: str = "doc_id", text: str = "text", rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def with_edited(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    rows_per_block: int = ROWS_PER_BLOCK,
+    winnow: Callable[[DataFrame, str, str], DataFrame] = winnow_characters,
+) -> DataFrame:
     """(key, n_chars, edited, own, edited_prints, next_prints) for every document and its edited text.
 
     The edited text has its last floor(n/2) code points replaced by the first as many (or all) of the next document in
@@ -97,6 +166,8 @@ def with_edited(docs: DataFrame, key: str = "doc_id", text: str = "text", rows_p
     an ordered join of one small row per block.  Blocks are ranges of equal key width holding ``rows_per_block`` rows on
     average; a block with more rows spills instead of failing.
 
+    ``winnow`` makes the fingerprints; it comes before the exchange, which a batch function would undo.
+
     Null keys come first.  Rows with equal keys follow each other in text order.  Null text is empty.  A single row is its
     own next document; an empty table gives no rows; other columns are ignored.
     """
@@ -113,7 +184,7 @@ def with_edited(docs: DataFrame, key: str = "doc_id", text: str = "text", rows_p
     head = head.join(following.select(F.col("block").alias("before"), F.col("head_block").alias("block")), "block")
     head = winnow(head.select(F.col("before").alias("of"), "head_text"), "head_text", "head_prints")
 
-    rows = winnow(thin.repartition("block"), "text", "own")
+    rows = winnow(thin, "text", "own")
     rows = rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_own", F.lead("own").over(order))
     joined = rows.join(head, rows["block"] == head["of"], "left")
     last = F.col("next_text").isNull()

@@ -150,6 +150,39 @@ def test_winnowing_equals_plain_windows(spark):
         assert [(p.hash, p.position) for p in r.fingerprints] == want
 
 
+def test_character_windows_equal_plain_rolling():
+    def plain(text, gram, window):
+        points, b, m = [ord(c) + 1 for c in text], winnowing.BASE, 1 << 64
+        k = min(gram, len(points))
+        h, runs = 0, []
+        for c in points[:k]:
+            h = (h * b + c) % m
+        for i in range(len(points) - k + 1):
+            if i:
+                h = ((h - points[i - 1] * pow(b, k - 1, m)) * b + points[i + k - 1]) % m
+            runs.append((h ^ h >> 30) * 0xBF58476D1CE4E5B9 % m >> 32)
+        out = []
+        for start in range(max(len(runs) - window + 1, 1) if points else 0):
+            best = min(range(start, min(start + window, len(runs))), key=lambda i: (runs[i], -i))
+            if (runs[best], best) not in out:
+                out.append((runs[best], best))
+        return out
+
+    rng = np.random.default_rng(1)
+    texts = ["", "a", "aa" * 40, "日本語😀" * 9, " \t\n ", *("".join(rng.choice(list("ab c日"), n)) for n in (5, 16, 39, 40, 300))]
+    for text in texts:
+        for gram, window in ((16, 24), (5, 4), (7, 1)):
+            got = [(int(x) >> 31, 2147483647 - (int(x) & 2147483647)) for x in winnowing.selected(text, gram, window)]
+            assert got == plain(text, gram, window)
+
+
+def test_a_shifted_copy_is_found_without_spaces(spark):
+    passage = "".join(np.random.default_rng(2).choice(list("日本語文字列検査用例"), 400))
+    docs = spark.createDataFrame([(1, passage, "ja", "a", 0), (2, "新" + passage, "ja", "a", 0), (3, None, "ja", "a", 0)], DOCS)
+    first, second, _ = sorted(winnowing.with_edited(docs).collect(), key=lambda r: r.doc_id)
+    assert len({x >> 31 for x in first.own} & {x >> 31 for x in second.own}) > 0.8 * len(first.own)
+
+
 def test_edited_texts(spark):
     docs = documents(spark)
     rows = {r.doc_id: r for r in winnowing.op8_fingerprints(spark, SF).collect()}
