@@ -1,8 +1,10 @@
 """Queries and SQL of this subpackage by name."""
 
-from geoledger.llm import counts, language, lattice, mixing, pieces, quality, sharding, simhash, urls, winnowing
+from geoledger.llm import (
+    counts, gridcodes, language, lattice, mixing, negatives, pieces, quality, repeats, sharding, simhash, urls, winnowing,
+)
 
-MODULES = (lattice, urls, mixing, language, simhash, pieces, counts, winnowing, sharding, quality)
+MODULES = (lattice, urls, mixing, language, simhash, pieces, counts, winnowing, sharding, quality, gridcodes, repeats, negatives)
 
 
 def queries() -> dict:
