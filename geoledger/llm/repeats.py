@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+import zstandard
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoledger.llm.common import ship_with_tasks, whole_text, worker_store
@@ -15,9 +16,11 @@ from geoledger.llm.common import ship_with_tasks, whole_text, worker_store
 #: Words of a window.
 SIZE = 13
 #: Words a task holds before it sends their distinct windows.
-CHUNK_WORDS = 3_000_000
+CHUNK_WORDS = 1_000_000
+#: Bytes of text for one range of hashes.
+BUCKET_BYTES = 6_000_000
 #: Words whose hash a worker remembers.
-MEMO = 1_000_000
+MEMO = 250_000
 BASE = 0x9E3779B97F4A7C15
 
 ship_with_tasks(__name__)
@@ -67,11 +70,24 @@ def spans(repeated: np.ndarray, size: int) -> np.ndarray:
     return np.stack([starts[np.append(0, breaks + 1)], starts[np.append(breaks, len(starts) - 1)] + size], axis=1)
 
 
-def _chunk(rows: list[tuple[int, np.ndarray]], size: int) -> list[np.ndarray]:
-    """Columns (key, doc, known, has_known) of one chunk of documents.
+def _blob(docs: np.ndarray, h: np.ndarray) -> tuple[bytes, bytes]:
+    """Windows in ascending order of document: the documents' differences in as few bytes as they need, and the hashes."""
+    steps = np.diff(docs, prepend=docs[:1])
+    width = next(kind for kind in (np.uint8, np.uint16, np.uint32, np.int64) if steps.max() <= np.iinfo(kind).max)
+    return docs[:1].tobytes() + steps.astype(width).tobytes(), h.tobytes()
+
+
+def _opened(docs: bytes, h: bytes) -> tuple[np.ndarray, np.ndarray]:
+    hashes = np.frombuffer(h, np.uint64)
+    width = {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.int64}[(len(docs) - 8) // len(hashes)]
+    return np.frombuffer(docs, np.int64, 1) + np.cumsum(np.frombuffer(docs, width, offset=8), dtype=np.int64), hashes
+
+
+def _chunk(rows: list[tuple[int, np.ndarray]], size: int, buckets: int) -> Iterator[tuple[int, bool, bytes, bytes]]:
+    """(bucket, settled, documents, hashes) of one chunk of documents, one row per bucket of windows.
 
     Of every window the chunk holds, its smallest document goes on, to be compared with other chunks.  Where a larger
-    document of the chunk holds it too, that is settled here; such rows carry the window as ``known`` and a key that spreads them.
+    document of the chunk holds it too, that is settled here; such rows only pass through, by any bucket.
     """
     rows.sort(key=lambda row: row[0])
     hashes = [rabin_karp(words, size) for _, words in rows]
@@ -84,29 +100,48 @@ def _chunk(rows: list[tuple[int, np.ndarray]], size: int) -> list[np.ndarray]:
     later = later[np.argsort(which[later], kind="stable")]
     fresh = np.ones(len(later), bool)
     fresh[1:] = (which[later][1:] != which[later][:-1]) | (docs[later][1:] != docs[later][:-1])
-    later = later[fresh]
-    spread = (h[later] ^ docs[later].view(np.uint64) * np.uint64(BASE)) * np.uint64(0xBF58476D1CE4E5B9)
-    order = np.argsort(least, kind="stable")  # neighbours share their document: compact when shuffled
-    key = np.concatenate([distinct[order], spread]).view(np.int64)
-    doc = np.concatenate([least[order], docs[later]])
-    known = np.concatenate([np.zeros(len(order), np.uint64), h[later]]).view(np.int64)
-    return [key, doc, known, np.arange(len(key)) >= len(order)]
+    later = np.sort(later[fresh])
+    for at in range(0, len(later), 1 << 14):
+        some = later[at : at + (1 << 14)]
+        yield int(docs[some[-1]]) % buckets, True, *_blob(docs[some], h[some])
+    bucket = _bucket(distinct, buckets)
+    order = np.lexsort((least, bucket))
+    ends = np.flatnonzero(np.diff(bucket[order], append=-1)) + 1
+    for low, high in zip(np.append(0, ends[:-1]), ends):
+        some = order[low:high]
+        yield int(bucket[some[0]]), False, *_blob(least[some], distinct[some])
+
+
+def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _later(blobs: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Of the windows of one bucket: (documents, hashes) where a smaller document has the window too."""
+    docs, h = (np.concatenate(column) for column in zip(*blobs))
+    order = np.lexsort((docs, h))
+    docs, h = docs[order], h[order]
+    new = np.append(True, h[1:] != h[:-1])
+    later = docs > docs[np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))]
+    return docs[later], h[later]
 
 
 def repeated_windows(docs: DataFrame, size: int = SIZE, key: str = "doc_id", text: str = "text", chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """(doc, h): windows, by 64-bit hash, that also start in a document with a smaller key.
 
     Tasks send each window once per chunk of about ``chunk_words`` words, with the smallest document of the chunk that has
-    it, so a passage of a third of all documents is one row per chunk.  One exchange by window finds the smallest document of all.
+    it, so a passage of a third of all documents is one entry per chunk.  Windows meet by ranges of their hash, whose number
+    grows with the bytes of the texts, and travel packed; an entry takes nine to ten bytes.
     """
+    thin = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), whole_text(text).cast("binary").alias("text"))
+    total = thin.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, total // BUCKET_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush() -> Iterator[pa.RecordBatch]:
-            if rows:
-                found, fields = _chunk(rows, size), ["key", "doc", "known"]
-                for at in range(0, len(found[0]), 1 << 16):
-                    key, doc, known, has = (column[at : at + (1 << 16)] for column in found)
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), pa.array(known, mask=~has)], fields)
+        def packed(rows: list) -> Iterator[pa.RecordBatch]:
+            for bucket, settled, found, h in _chunk(rows, size, buckets) if rows else ():
+                columns = [pa.array([bucket], pa.int64()), pa.array([settled]), pa.array([found], pa.binary()), pa.array([h], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "settled", "docs", "h"])
 
         rows: list[tuple[int, np.ndarray]] = []
         held = 0
@@ -117,15 +152,21 @@ def repeated_windows(docs: DataFrame, size: int = SIZE, key: str = "doc_id", tex
                     rows.append((doc, word_hashes(words)))
                     held += len(words)
                 if held >= chunk_words:
-                    yield from flush()
+                    yield from packed(rows)
                     rows, held = [], 0
-        yield from flush()
+        yield from packed(rows)
 
-    thin = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), whole_text(text).cast("binary").alias("text"))
-    sent = thin.mapInArrow(run, "key long, doc long, known long").repartition("key")
-    first = F.min(F.when(F.col("known").isNull(), F.col("doc"))).over(Window.partitionBy("key"))
-    settled = sent.withColumn("first", first).where("known IS NOT NULL OR doc > first")
-    return settled.select("doc", F.coalesce("known", "key").alias("h"))
+    def meet(group: pa.Table) -> pa.Table:
+        passing, meeting = [], []
+        for settled, found, h in zip(group.column("settled").to_pylist(), group.column("docs"), group.column("h")):
+            (passing if settled else meeting).append(_opened(found.as_py(), h.as_py()))
+        if meeting:
+            passing.append(_later(meeting))
+        found, h = (np.concatenate(column) for column in zip(*passing))
+        return pa.Table.from_arrays([pa.array(found), pa.array(h.view(np.int64))], ["doc", "h"])
+
+    sent = thin.mapInArrow(run, "bucket long, settled boolean, docs binary, h binary")
+    return sent.groupBy("bucket").applyInArrow(meet, "doc long, h long")
 
 
 def remove_repeats(docs: DataFrame, size: int = SIZE, key: str = "doc_id", text: str = "text", chunk_words: int = CHUNK_WORDS) -> DataFrame:
@@ -142,14 +183,23 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, key: str = "doc_id", text:
     among 10^9 words the chance of any false match is about 3 %.
     """
     lists = repeated_windows(docs, size, key, text, chunk_words).groupBy("doc").agg(F.collect_list("h").alias("found"))
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            texts = pa.array([packer.compress(body.as_py()) for body in batch.column(1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["id", "text"])
+
     thin = docs.select(F.col(key).alias("id"), whole_text(text).cast("binary").alias("text"))
+    thin = thin.mapInArrow(shrink, thin.schema)  # the exchange below takes the texts packed
     joined = thin.join(lists, F.col("id").cast("long") == F.col("doc"), "left").select("id", "text", "found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opener = zstandard.ZstdDecompressor()
         for batch in batches:
             counts, kept, cuts = [], [], []
             for body, found in zip(batch.column(1), batch.column(2)):
-                words = text_words(body.as_py())
+                words = text_words(opener.decompress(body.as_py()))
                 counts.append(len(words))
                 cut = np.empty((0, 2), np.int64)
                 if found.is_valid:

@@ -146,7 +146,8 @@ def plain_repeats(rows, size):
 
 
 @pytest.mark.parametrize("chunk_words", [1, 500, 10**6])
-def test_repeats_equal_plain_python(spark, chunk_words):
+def test_repeats_equal_plain_python(spark, monkeypatch, chunk_words):
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 5_000)
     rng = np.random.default_rng(9)
     passage = " ".join(f"p{i}" for i in range(70))
     rows = [(r.doc_id, r.text) for r in odd_documents(spark).collect()]
@@ -159,10 +160,12 @@ def test_repeats_equal_plain_python(spark, chunk_words):
 
 
 def test_chunks_send_every_window_once():
-    rows = [(doc, repeats.word_hashes([b"a", b"b", b"c", b"d"])) for doc in (3, 1, 2)]
-    key, doc, known, has = repeats._chunk(rows, 3)
-    assert (~has).sum() == 2 and set(doc[~has]) == {1} and sorted(doc[has].tolist()) == [2, 2, 3, 3]
-    assert len(set(key.tolist())) == 6
+    rows = [(doc, repeats.word_hashes([b"a", b"b", b"c", b"d"])) for doc in (300, 1, 70000)]
+    sent = list(repeats._chunk(rows, 3, 1))
+    assert [(bucket, settled) for bucket, settled, *_ in sent] == [(0, True), (0, False)]
+    (late, known), (docs, h) = (repeats._opened(*blob) for _, _, *blob in sent)
+    assert sorted(late.tolist()) == [300, 300, 70000, 70000] and docs.tolist() == [1, 1]
+    assert set(known.tolist()) == set(h.tolist()) and len(set(h.tolist())) == 2
 
 
 # hard negatives
