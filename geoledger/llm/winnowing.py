@@ -1,18 +1,12 @@
-"""Document fingerprints by winnowing: over single characters in Arrow batches, or over pieces of words in column expressions."""
+"""Document fingerprints by winnowing, over single characters or over pieces of words, in column expressions."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from math import ceil
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
-
-from geoledger.llm.common import ship_with_tasks, successors, whole_text
+from geoledger.llm.common import successors, whole_text
+from geoledger.sources.scratch import materialise
 
 #: Pieces of a text: up to three letters or digits counted from the start of a word, or one other visible character.
 PIECE = r"[\p{L}\p{N}]{1,3}|[^\p{L}\p{N}\s]"
@@ -21,10 +15,10 @@ WINDOW = 8
 #: Characters of a run, and runs of a window, where single characters are hashed.
 CHARACTER_GRAM = 16
 CHARACTER_WINDOW = 24
-BASE = 0x9E3779B97F4A7C15
-ROWS_PER_BLOCK = 256
-
-ship_with_tasks(__name__)
+#: Rows of a block of neighbouring documents, on average, until there are so many blocks.
+ROWS_PER_BLOCK = 1024
+MOST_BLOCKS = 1 << 16
+LAST = (1 << 31) - 1
 
 
 def winnow(df: DataFrame, text: str, out: str, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
@@ -49,6 +43,11 @@ def winnow(df: DataFrame, text: str, out: str, gram: int = GRAM, window: int = W
             )
         ),
     ).drop(pieces)
+    return _selected(df, runs, out, window)
+
+
+def _selected(df: DataFrame, runs: str, out: str, window: int) -> DataFrame:
+    """The smallest of every ``window`` neighbouring ``runs`` as ``out``, each once; columns named after ``out`` go."""
     count, current, width = f"{runs}_count", runs, 1
     df = df.withColumn(count, F.size(runs))
     while width < window:  # windows double, the last step overlaps
@@ -64,56 +63,62 @@ def winnow(df: DataFrame, text: str, out: str, gram: int = GRAM, window: int = W
     return result.drop(*[c for c in result.columns if c.startswith(f"_{out}_")])
 
 
-def rolling(points: np.ndarray, gram: int) -> np.ndarray:
-    """Polynomial hash of every run of ``gram`` numbers, modulo 2^64: what (h - c[i] * B^(gram-1)) * B + c[i + gram] rolls to.
-
-    Runs are put together from two shorter ones that overlap nowhere, so a run costs log(gram) steps.
-    """
-    out, length, power, width = np.zeros(len(points) + 1, np.uint64), 0, points.astype(np.uint64) + np.uint64(1), 1
-    for bit in range(gram.bit_length()):
-        if gram >> bit & 1:  # the run so far, followed by one of ``width``
-            n = len(points) - length - width + 1
-            out = out[:n] * np.uint64(pow(BASE, width, 1 << 64)) + power[length : length + n]
-            length += width
-        if gram >> (bit + 1):
-            power = power[: len(power) - width] * np.uint64(pow(BASE, width, 1 << 64)) + power[width:]
-            width *= 2
-    return out
-
-
-def selected(text: str | None, gram: int, window: int) -> np.ndarray:
-    """Fingerprints of one text over its code points, packed as in ``winnow``."""
-    points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
-    if not len(points):
-        return np.zeros(0, np.int64)
-    mixed = rolling(points, min(gram, len(points)))
-    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)  # low bits of a product know little
-    runs = (mixed >> np.uint64(32)).astype(np.int64) << 31 | (2147483647 - np.arange(len(mixed)))
-    width, wanted = 1, min(window, len(runs))
-    while width < wanted:
-        step = min(width, wanted - width)
-        runs = np.minimum(runs[:-step], runs[step:])
-        width += step
-    # equal ones follow each other: the smallest of a window stays until it leaves or a smaller comes
-    return runs[np.append(True, runs[1:] != runs[:-1])]
-
-
 def winnow_characters(df: DataFrame, text: str, out: str, gram: int = CHARACTER_GRAM, window: int = CHARACTER_WINDOW) -> DataFrame:
     """``winnow`` over single code points, white space among them, with a rolling hash.
 
-    Two texts that share any ``gram + window - 1`` characters share a fingerprint, wherever the passage stands in either:
-    what comes before it changes no hash inside it.
+    The hash of a run is the cyclic polynomial: every character has a random 64-bit number (its XXH64), and a run is
+    the exclusive or of its characters' numbers, each turned left by one bit for every character after it.  Two
+    neighbouring runs give one of both lengths by a turn and an exclusive or, so the hashes roll along the whole text in
+    log2(gram) steps.  Two texts that share any ``gram + window - 1`` characters share a fingerprint, wherever the
+    passage stands in either: what comes before it changes no hash inside it.  A text shorter than a run is one run.
+    """
+    n, now, whole = f"_{out}_n", f"_{out}_whole", None
+    body = whole_text(text)
+    df = df.withColumn(n, F.char_length(body))
+    df = df.withColumn(now, F.when(F.col(n) >= gram, F.transform(F.split(body, F.lit(""), -1), lambda c: F.xxhash64(c))))
+
+    def longer(x: str, y: str, more: int) -> str:
+        return f"(shiftleft({x}, {more}) | shiftrightunsigned({x}, {64 - more})) ^ {y}" if more % 64 else f"{x} ^ {y}"
+
+    length, width = 0, 1
+    for bit in range(gram.bit_length()):  # ``whole``: runs of the lower bits of ``gram``, followed by runs of ``width``
+        last = gram >> (bit + 1) == 0
+        if gram >> bit & 1:
+            if whole is None:
+                whole = now
+            else:
+                wider = f"_{out}_r{length + width}"
+                step = F.expr(f"zip_with({whole}, slice({now}, {length + 1}, size({now})), (x, y) -> {longer('x', 'y', width % 64)})")
+                df = df.withColumn(wider, step)
+                whole = wider
+            length += width
+        if not last:
+            wider = f"_{out}_p{2 * width}"
+            step = F.expr(f"zip_with({now}, slice({now}, {width + 1}, size({now})), (x, y) -> {longer('x', 'y', width % 64)})")
+            df = df.withColumn(wider, step)
+            now, width = wider, 2 * width
+    packed = f"transform(slice({whole}, 1, {n} - {gram - 1}), (x, i) -> shiftleft(x & 4294967295L, 31) | ({LAST}L - i))"
+    short = F.array(F.shiftleft(F.xxhash64(body).bitwiseAND(F.lit(4294967295)), 31).bitwiseOR(F.lit(LAST).cast("long")))
+    runs = F.when(F.col(n) >= gram, F.expr(packed)).when(F.col(n) > 0, short).otherwise(F.expr("array_repeat(0L, 0)"))
+    kept = [c for c in df.columns if not c.startswith(f"_{out}_")]
+    return _selected(df.select(*kept, runs.alias(f"_{out}_runs")), f"_{out}_runs", out, window)
+
+
+def _up_to(prints: str, length: Column, gram: int, window: int) -> Column:
+    """Of a text's fingerprints those selected by windows that end within its first ``length`` characters.
+
+    A fingerprint is first selected by the window it enters, where its hash is not above that of the fingerprint
+    before it, else by the window after that one has left.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [selected(value.as_py(), gram, window) for value in batch.column(at)]
-            offsets = np.append(0, np.cumsum([len(f) for f in found]))
-            prints = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))
-            yield pa.RecordBatch.from_arrays([*batch.columns, prints], [*batch.schema.names, out])
+    def fits(x: Column, i: Column) -> Column:
+        before = F.get(prints, i - 1)
+        entering = F.lit(LAST - window + 1) - x.bitwiseAND(F.lit(LAST).cast("long"))
+        leaving = F.lit(LAST + 1) - before.bitwiseAND(F.lit(LAST).cast("long"))
+        first = F.when(F.shiftright(x, 31) <= F.shiftright(before, 31), entering).otherwise(leaving)
+        return F.when(i == 0, length >= gram + window - 1).otherwise(first <= length - (gram + window - 1))
 
-    at = df.columns.index(text)
-    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(out, ArrayType(LongType()))]))
+    return F.filter(prints, fits)
 
 
 def hashes(fingerprints: str) -> Column:
@@ -151,53 +156,88 @@ def fingerprint_documents(docs: DataFrame, gram: int = GRAM, window: int = WINDO
     return winnow(kept, text, "_selected", gram, window).withColumn("fingerprints", positions("_selected")).drop("_selected")
 
 
+def _bounds(places: DataFrame, rows_per_block: int) -> DataFrame:
+    """One row: the first places of blocks of about ``rows_per_block`` neighbours, ascending; at most MOST_BLOCKS entries."""
+    blocks = max(1, min(MOST_BLOCKS, -(-places.count() // rows_per_block)))
+    ranged = places.repartitionByRange(blocks, "at").groupBy(F.spark_partition_id().alias("part")).agg(F.min("at").alias("at"))
+    return materialise(ranged.agg(F.array_sort(F.collect_list("at")).alias("bounds")), "block-bounds")
+
+
+def _block(at: str, bounds: str) -> Column:
+    """How many bounds are not above a place, by halving."""
+    steps = ", ".join(str(1 << k) for k in range(MOST_BLOCKS.bit_length() - 1, -1, -1))
+    return F.expr(f"aggregate(array({steps}), 0, (low, step) -> if(get({bounds}, low + step - 1) <= {at}, low + step, low))")
+
+
 def with_edited(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     rows_per_block: int = ROWS_PER_BLOCK,
-    winnow: Callable[[DataFrame, str, str], DataFrame] = winnow_characters,
+    gram: int = CHARACTER_GRAM,
+    window: int = CHARACTER_WINDOW,
 ) -> DataFrame:
     """(key, n_chars, edited, own, edited_prints, next_prints) for every document and its edited text.
 
     The edited text has its last floor(n/2) code points replaced by the first as many (or all) of the next document in
-    ascending key, the first document following the last.  Texts travel once, to blocks of neighbouring keys; inside a
-    block the next row is a window function, and the last row of a block takes the head of the following block, found by
-    an ordered join of one small row per block.  Blocks are ranges of equal key width holding ``rows_per_block`` rows on
-    average; a block with more rows spills instead of failing.
+    ascending key, the first document following the last.  Every text is fingerprinted once: of the edited text only the
+    characters around the seam are hashed anew, the windows before and behind it are known from the two documents.
 
-    ``winnow`` makes the fingerprints; it comes before the exchange, which a batch function would undo.
+    Texts travel once, to blocks of neighbours; inside a block the next row is a window function, and the last row of a
+    block takes the first of the following block, found by an ordered join of one small row per block.  Blocks are
+    ranges of about ``rows_per_block`` rows by key, text hash and place in the input, so neither far keys nor a key that most rows
+    share makes a large one; beyond 65536 blocks, whose bounds every task holds, they grow.
 
-    Null keys come first.  Rows with equal keys follow each other in text order.  Null text is empty.  A single row is its
+    Null keys come first.  Rows with equal keys follow each other in an order of their texts' hashes.  Null text is empty.  A single row is its
     own next document; an empty table gives no rows; other columns are ignored.
     """
-    thin = docs.select(F.col(key).cast("long").alias("id"), whole_text(text).alias("text"))
-    span = thin.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("id").alias("rows")).first()
-    width = max(1, ceil((span["high"] - span["low"] + 1) * rows_per_block / span["rows"])) if span["rows"] else 1
-    low = (span["low"] or 0) // width - 1
-    block = F.coalesce(F.floor(F.col("id") / width), F.lit(low))
-    thin = thin.withColumn("block", block.cast("long"))
-
-    order = Window.partitionBy("block").orderBy(F.asc_nulls_first("id"), "text")
+    least = gram + window - 1  # characters that make one window
+    known = F.col(key).cast("long")
+    place = F.struct(
+        known.isNotNull().alias("known"), F.coalesce(known, F.lit(0)).alias("id"),
+        F.xxhash64(whole_text(text)).alias("h"), F.monotonically_increasing_id().alias("place"),
+    )
+    bounds = _bounds(docs.select(place.alias("at")), rows_per_block).scalar()
+    thin = docs.select(known.alias("id"), whole_text(text).alias("text"), place.alias("at")).withColumn("bounds", bounds)
+    thin = thin.withColumn("block", _block("at", "bounds")).drop("bounds")
+
+    order = Window.partitionBy("block").orderBy("at")
     head = thin.withColumn("row", F.row_number().over(order)).where("row = 1").select("block", F.col("text").alias("head_text"))
     following = successors(thin.select("block")).select(F.col("key").alias("block"), F.col("next_key").alias("head_block"))
     head = head.join(following.select(F.col("block").alias("before"), F.col("head_block").alias("block")), "block")
-    head = winnow(head.select(F.col("before").alias("of"), "head_text"), "head_text", "head_prints")
+    head = winnow_characters(head.select(F.col("before").alias("of"), "head_text"), "head_text", "head_prints", gram, window)
 
-    rows = winnow(thin, "text", "own")
+    rows = winnow_characters(thin, "text", "own", gram, window)
     rows = rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_own", F.lead("own").over(order))
     joined = rows.join(head, rows["block"] == head["of"], "left")
     last = F.col("next_text").isNull()
-    n, half = F.char_length("text"), F.floor(F.char_length("text") / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.coalesce("next_text", "head_text"), F.lit(1), half))
-    found = joined.select(
-        F.col("id"),
-        n.alias("n_chars"),
-        edited.alias("edited"),
+    joined = joined.select(
+        "id",
+        "text",
         "own",
+        F.coalesce("next_text", "head_text").alias("next_text"),
         F.when(last, F.col("head_prints")).otherwise(F.col("next_own")).alias("next_prints"),
+        F.char_length("text").alias("n"),
+    )
+    joined = joined.withColumn("front", F.expr("n - n div 2").cast("int"))
+    joined = joined.withColumn("back", F.least(F.expr("int(n div 2)"), F.char_length("next_text")))
+    tail, start = F.least("front", F.lit(least - 1)), F.least("back", F.lit(least - 1))
+    joined = joined.withColumn("seam", F.concat(F.expr(f"substring(text, front - {least - 2}, {least - 1})"), F.substring("next_text", F.lit(1), start)))
+    short = F.col("front") <= least - 1
+    joined = joined.withColumn("seam", F.when(short, F.concat(F.substring("text", F.lit(1), F.col("front")), F.substring("next_text", F.lit(1), start))).otherwise(F.col("seam")))
+    joined = winnow_characters(joined, "seam", "seam_prints", gram, window)
+    # a seam of fewer characters than a window has no window across it, unless it is the whole edited text
+    whole = (tail + start >= least) | (F.col("front") + F.col("back") < least)
+    seam = F.when(whole, F.transform("seam_prints", lambda x: x - (F.col("front") - tail))).otherwise(F.expr("array_repeat(0L, 0)"))
+    behind = F.transform(_up_to("next_prints", F.col("back"), gram, window), lambda x: x - F.col("front"))
+    return joined.select(
+        F.col("id").alias(key),
+        F.col("n").alias("n_chars"),
+        F.concat(F.substring("text", F.lit(1), F.col("front")), F.substring("next_text", F.lit(1), F.col("back"))).alias("edited"),
+        "own",
+        F.array_distinct(F.concat(_up_to("own", F.col("front"), gram, window), seam, behind)).alias("edited_prints"),
+        "next_prints",
     )
-    return winnow(found, "edited", "edited_prints").withColumnRenamed("id", key)
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from geoledger.llm import counts, language, mixing, pieces, quality, registry, sharding, winnowing
@@ -150,30 +151,68 @@ def test_winnowing_equals_plain_windows(spark):
         assert [(p.hash, p.position) for p in r.fingerprints] == want
 
 
-def test_character_windows_equal_plain_rolling():
-    def plain(text, gram, window):
-        points, b, m = [ord(c) + 1 for c in text], winnowing.BASE, 1 << 64
-        k = min(gram, len(points))
+def plain_characters(text, gram, window):
+    m = (1 << 64) - 1
+    numbers = [xxhash.xxh64_intdigest(c.encode(), 42) for c in text]
+    if len(text) < gram:
+        runs = [xxhash.xxh64_intdigest(text.encode(), 42) & 0xFFFFFFFF] if text else []
+    else:
+        turn = lambda x, by: (x << by | x >> (64 - by)) & m if by else x
         h, runs = 0, []
-        for c in points[:k]:
-            h = (h * b + c) % m
-        for i in range(len(points) - k + 1):
-            if i:
-                h = ((h - points[i - 1] * pow(b, k - 1, m)) * b + points[i + k - 1]) % m
-            runs.append((h ^ h >> 30) * 0xBF58476D1CE4E5B9 % m >> 32)
-        out = []
-        for start in range(max(len(runs) - window + 1, 1) if points else 0):
-            best = min(range(start, min(start + window, len(runs))), key=lambda i: (runs[i], -i))
-            if (runs[best], best) not in out:
-                out.append((runs[best], best))
-        return out
+        for i, c in enumerate(numbers):  # rolling: turn, drop the character that leaves, take the one that enters
+            h = turn(h, 1) ^ c ^ (turn(numbers[i - gram], gram % 64) if i >= gram else 0)
+            if i >= gram - 1:
+                runs.append(h & 0xFFFFFFFF)
+    out = []
+    for start in range(max(len(runs) - window + 1, 1) if runs else 0):
+        best = min(range(start, min(start + window, len(runs))), key=lambda i: (runs[i], -i))
+        if (runs[best], best) not in out:
+            out.append((runs[best], best))
+    return out
+
+
+def unpacked(prints):
+    return [(x >> 31, 2147483647 - (x & 2147483647)) for x in prints]
 
+
+def sample_texts():
     rng = np.random.default_rng(1)
-    texts = ["", "a", "aa" * 40, "日本語😀" * 9, " \t\n ", *("".join(rng.choice(list("ab c日"), n)) for n in (5, 16, 39, 40, 300))]
-    for text in texts:
-        for gram, window in ((16, 24), (5, 4), (7, 1)):
-            got = [(int(x) >> 31, 2147483647 - (int(x) & 2147483647)) for x in winnowing.selected(text, gram, window)]
-            assert got == plain(text, gram, window)
+    return ["", "a", "aa" * 40, "日本語😀" * 9, " \t\n ", *("".join(rng.choice(list("ab c日"), n)) for n in (5, 15, 16, 17, 39, 40, 300))]
+
+
+@pytest.mark.parametrize("gram,window", [(16, 24), (5, 4), (7, 1), (1, 3), (13, 8)])
+def test_character_windows_equal_plain_rolling(spark, gram, window):
+    frame = spark.createDataFrame([(t,) for t in sample_texts()], "t string")
+    for r in winnowing.winnow_characters(frame, "t", "prints", gram, window).collect():
+        assert unpacked(r.prints) == plain_characters(r.t, gram, window)
+
+
+@pytest.mark.parametrize("gram,window", [(16, 24), (4, 5), (1, 3)])
+def test_edited_prints_equal_the_edited_texts_own(spark, gram, window):
+    rng = np.random.default_rng(4)
+    texts = [*sample_texts(), *("".join(rng.choice(list("ab"), n)) for n in rng.integers(0, 130, 150)), "x" * 500, "y" * 3, "ab" * 90]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)
+    rows = winnowing.with_edited(docs, rows_per_block=9, gram=gram, window=window).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        text, after = texts[r.doc_id], texts[(r.doc_id + 1) % len(texts)]
+        edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        assert r.edited == edited and unpacked(r.own) == plain_characters(text, gram, window)
+        assert unpacked(r.next_prints) == plain_characters(after, gram, window)
+        assert unpacked(r.edited_prints) == plain_characters(edited, gram, window)
+
+
+def test_far_and_missing_ids_are_dealt_evenly(spark):
+    ids = [2**62, -(2**62), *range(500), *[7] * 3000, *[None] * 20_000]
+    docs = spark.createDataFrame([(i, f"text {n % 5000}", "en", "s", 0) for n, i in enumerate(ids)], DOCS).repartition(8)
+    place = F.struct(F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("place"))
+    places = docs.select(place.alias("at"))
+    blocks = places.withColumn("bounds", winnowing._bounds(places, 500).scalar()).groupBy(winnowing._block("at", "bounds").alias("block")).count()
+    sizes = [r["count"] for r in blocks.collect()]
+    assert sum(sizes) == len(ids) and max(sizes) < 1500 and len(sizes) > 35
+    rows = winnowing.with_edited(docs, rows_per_block=500).collect()
+    assert len(rows) == len(ids) and Counter(r.doc_id for r in rows) == Counter(ids)
+    assert all(r.next_prints for r in rows)
 
 
 def test_a_shifted_copy_is_found_without_spaces(spark):
