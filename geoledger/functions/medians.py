@@ -1,13 +1,12 @@
-"""Exact grouped medians whose work stays spread when one group holds most of the rows.
-
-``percentile`` keeps every distinct value of a group in one aggregation buffer, so a city with a third
-of all sales would be one task's hash map.  ``grouped_median`` reads the input twice instead: the first
-pass counts values per order-preserving logarithmic band (tasks send one number per band), and the bands
-that hold a middle rank, a few rows per group, are written, so that their true size is known.  The second
-pass keeps only the values of those bands; where Spark finds the written table small enough to broadcast,
-that happens before any value is shuffled, else the two meet on group and band.  Finer bands narrow what
-is left before anything is ordered.  No step brings a whole group to one task, and the result is exact:
-bands only decide where to look.  NaN is the largest value, as in ``percentile``; infinities are ordinary.
+"""Exact grouped medians by rank bracketing, spread when one group holds most of the rows.
+
+``percentile`` keeps every distinct value of a group in one aggregation buffer, so a city with a third of all sales would be one
+task's hash map.  Here two passes read the input instead.  The first builds a mergeable quantile summary per group and
+measure (``percentile_approx``, map-side) and takes its values just below and above the middle: a bracket that holds the middle
+ranks, since a summary's ranks are wrong by at most one in ``ACCURACY``.  The second counts the values below the bracket and
+keeps those inside, a few in ten thousand, and the running count of these finds the exact ranks.  Each pass exchanges
+partial results only.  A bracket that missed its rank would fail the query; it never gives a wrong median.
+NaN is the largest value, as in ``percentile``; infinities are ordinary.
 """
 
 from __future__ import annotations
@@ -18,26 +17,55 @@ from pyspark.sql import functions as F
 
 from geoledger.sources.scratch import materialise
 
-FINE = 1 << 20  # bands per factor e
-COARSE_SHIFT = 17  # fine bands per coarse band: 2**17; coarse bands per factor e: 8
-_OFFSET = 800 * FINE  # above |ln| of any double, keeps the bands of positive values positive
-
-
-def value_band(value: Column) -> Column:
-    """Integer that never decreases as ``value`` grows, infinities and NaN included; never null."""
-    endless = F.abs(value) == float("inf")
-    size = F.when(endless, F.lit(2 * _OFFSET)).otherwise(F.floor(F.ln(F.abs(value)) * FINE) + _OFFSET)
-    band = F.when(F.isnan(value), F.lit(3 * _OFFSET)).when(value > 0, size).when(value < 0, -size)
-    return F.coalesce(band, F.lit(0).cast("bigint"))
-
-
-def _around_middle(counts: DataFrame, group: list[str], order: str) -> DataFrame:
-    """Rows of ``counts`` (group, order, n, before, lower, upper) that hold a middle rank."""
-    running = W.partitionBy(*group).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return (
-        counts.withColumn("upto", F.sum("n").over(running) + F.col("before"))
-        .where((F.col("upto") >= F.col("lower")) & (F.col("upto") - F.col("n") < F.col("upper")))
-        .withColumn("before", F.col("upto") - F.col("n"))
+ACCURACY = 10_000
+MARGIN = 3 / ACCURACY
+
+
+def _ordered(value: Column) -> Column:
+    """The value as a summary takes it: NaN stands with the largest."""
+    return F.when(F.isnan(value), F.lit(float("inf"))).otherwise(value)
+
+
+def _bracketed(df: DataFrame, keys: list[str], aggregates: list[Column], values: dict[str, Column]) -> DataFrame:
+    """One row per key, written: ``aggregates``, and per value how many there are and the bracket of their middle."""
+    found = []
+    for i, value in enumerate(values.values()):
+        number = value.cast("double")
+        ends = F.percentile_approx(_ordered(number), [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY)
+        found += [F.count(number).alias(f"_n{i}"), ends.alias(f"_ends{i}")]
+    return materialise(df.groupBy(*keys).agg(*aggregates, *found), "median-brackets")
+
+
+def _medians(df: DataFrame, brackets: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+    """(keys, one column per value): the exact medians of the keys that have values."""
+    numbers = df.select(*keys, *[value.cast("double").alias(f"_v{i}") for i, value in enumerate(values.values())])
+    for key in keys:
+        numbers = numbers.where(F.col(key).isNotNull())
+    ends = [name for i in range(len(values)) for name in (f"_n{i}", f"_ends{i}")]
+    joined = numbers.join(brackets.select(*keys, *ends), keys)
+    found = []
+    for i in range(len(values)):
+        number, low, high = F.col(f"_v{i}"), F.get(f"_ends{i}", F.lit(0)), F.get(f"_ends{i}", F.lit(1))
+        entry = F.struct(
+            F.lit(i).cast("tinyint").alias("_metric"),
+            F.col(f"_n{i}").alias("_total"),
+            F.when(_ordered(number) >= low, number).alias("_value"),  # null: below the bracket
+        )
+        found.append(F.when(_ordered(number) <= high, entry))
+    near = joined.select(*keys, F.explode(F.filter(F.array(*found), lambda e: e.isNotNull())).alias("_entry"))
+    group = [*keys, "_metric"]
+    counted = near.select(*keys, "_entry.*").groupBy(*group, "_total", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(W.partitionBy(*group).orderBy("_value").rowsBetween(W.unboundedPreceding, W.currentRow))
+    lower, upper = F.floor((F.col("_total") + 1) / 2), F.floor((F.col("_total") + 2) / 2)
+    inside = (F.col("_upto") >= lower) & (F.col("_upto") - F.col("_n") < upper)
+    value = F.when(inside, F.col("_value"))
+    reached = (F.max("_upto") >= F.max(upper)) & F.coalesce(F.max(F.when(F.col("_value").isNull(), F.col("_upto"))) < F.max(lower), F.lit(True))
+    median = F.when(reached, F.min(value) * 0.5 + F.max(value) * 0.5).otherwise(
+        F.raise_error(F.lit("a median lies outside its bracket")).cast("double")
+    )
+    medians = counted.withColumn("_upto", upto).groupBy(*group).agg(median.alias("_median"))
+    return medians.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_metric") == i, F.col("_median"))).alias(name) for i, name in enumerate(values)]
     )
 
 
@@ -47,53 +75,11 @@ def grouped_median(df: DataFrame, keys: list[str], values: dict[str, Column]) ->
     Rows with a null key are left out, and a key whose values are all null has no row: join the
     result with ``left``.
     """
-    group = [*keys, "_metric"]
-    names = list(values)
-    rows = df.select(
-        *keys,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).cast("tinyint").alias("_metric"), values[name].cast("double").alias("_value"))
-                    for i, name in enumerate(names)
-                ]
-            )
-        ),
-    )
-    rows = rows.withColumn("_fine", value_band(F.col("_value"))).withColumn("_coarse", F.shiftright("_fine", COARSE_SHIFT))
-    # The joins below would add these filters on one side only; stated here they hold in every reader
-    # of ``near``, which is then shuffled once.
-    for name in (*keys, "_value"):
-        rows = rows.where(F.col(name).isNotNull())
-
-    coarse = rows.groupBy(*group, "_coarse").agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(W.partitionBy(*group))
-    coarse = _around_middle(
-        coarse.withColumn("lower", F.floor((total + 1) / 2))
-        .withColumn("upper", F.floor((total + 2) / 2))
-        .withColumn("before", F.lit(0).cast("bigint")),
-        group,
-        "_coarse",
-    ).select(*group, "_coarse", "before", "lower", "upper")
-    coarse = materialise(coarse, "median-bands")
-
-    ranks = ["before", "lower", "upper"]
-    near = rows.join(coarse, [*group, "_coarse"]).groupBy(*group, "_fine", "_value", *ranks).agg(F.count(F.lit(1)).alias("n"))
-    fine = near.groupBy(*group, "_fine").agg(F.sum("n").alias("n"), *[F.min(name).alias(name) for name in ranks])
-    start = F.min("before").over(W.partitionBy(*group))
-    fine = _around_middle(fine.withColumn("before", start), group, "_fine").select(
-        *group, "_fine", "before", "lower", "upper"
-    )
-
-    exact = near.drop(*ranks).join(fine, [*group, "_fine"])
-    exact = _around_middle(exact.withColumn("before", start), group, "_value")
-    middle = F.min("_value") * 0.5 + F.max("_value") * 0.5
-    medians = exact.groupBy(*group).agg(middle.alias("_median"))
-    return medians.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_metric") == i, F.col("_median"))).alias(name) for i, name in enumerate(names)]
-    )
+    return _medians(df, _bracketed(df, keys, [], values), keys, values)
 
 
 def aggregate_with_medians(df: DataFrame, keys: list[str], aggregates: list[Column], values: dict[str, Column]) -> DataFrame:
-    """One row per key: ``aggregates`` plus the exact median of each value."""
-    return df.groupBy(*keys).agg(*aggregates).join(grouped_median(df, keys, values), keys, "left")
+    """One row per key: ``aggregates`` plus the exact median of each value; the first pass serves both."""
+    folded = _bracketed(df, keys, aggregates, values)
+    known = folded.drop(*[name for i in range(len(values)) for name in (f"_n{i}", f"_ends{i}")])
+    return known.join(_medians(df, folded, keys, values), keys, "left")

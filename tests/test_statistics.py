@@ -6,7 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from geoledger.functions.medians import aggregate_with_medians, grouped_median, value_band
+from geoledger.functions.medians import aggregate_with_medians, grouped_median
 from geoledger.functions.numbers import round_half_even, round_half_up, weighted_mean
 from geoledger.operators import statistics as A
 from geoledger.operators import upsert as U
@@ -41,11 +41,32 @@ def test_grouped_median_is_exact(rows):
             assert actual[key][i - 1] == expected, (key, name)
 
 
-def test_bands_keep_order(rows):
-    values = sorted([0.0, -1e300, 1e300, 5e-324, -5e-324, 1.0, 1.0000001, 2.5, -2.5, -1.0, 1e-10, 123456.78, 123456.79])
-    found = rows([(v,) for v in values], "v double").select("v", value_band(F.col("v")).alias("b")).orderBy("v").collect()
-    bands = [r["b"] for r in found]
-    assert bands == sorted(bands)
+def test_a_hot_group_keeps_its_exact_median(spark):
+    """300 000 rows, two thirds in one group, in orders and with ties that summaries have to merge."""
+    n = F.col("id")
+    mixed = F.pmod(F.xxhash64("id"), F.lit(10**6)).cast("double")
+    df = spark.range(0, 300_000, numPartitions=12).select(
+        F.when(n % 3 < 2, "hot").otherwise(F.concat(F.lit("k"), n % 50)).alias("k"),
+        mixed.alias("mixed"),
+        n.cast("double").alias("rising"),
+        (mixed % 7).alias("ties"),
+        F.when(n % 5 < 2, float("nan")).when(n % 11 == 0, float("-inf")).otherwise(-mixed).alias("odd"),
+        F.when(n % 4 == 0, mixed / 3).alias("sparse"),
+    )
+    names = ["mixed", "rising", "ties", "odd", "sparse"]
+    found = grouped_median(df, ["k"], {name: F.col(name) for name in names})
+    plain = df.groupBy("k").agg(*[F.percentile(name, 0.5).alias(name) for name in names])
+    read = lambda rows: {r["k"]: tuple(str(r[name]) for name in names) for r in rows.select("k", *names).collect()}
+    assert read(found) == read(plain)
+
+
+def test_a_bracket_that_misses_fails(spark, monkeypatch):
+    from geoledger.functions import medians
+
+    df = spark.range(0, 1000).select(F.lit("a").alias("k"), F.col("id").cast("double").alias("v"))
+    monkeypatch.setattr(medians, "MARGIN", -0.1)  # both ends on the wrong side of the middle
+    with pytest.raises(Exception, match="outside its bracket"):
+        grouped_median(df, ["k"], {"m": F.col("v")}).collect()
 
 
 def test_medians_equal_percentile(rows):
