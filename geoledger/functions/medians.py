@@ -43,18 +43,25 @@ def _medians(df: DataFrame, brackets: DataFrame, keys: list[str], values: dict[s
         numbers = numbers.where(F.col(key).isNotNull())
     ends = [name for i in range(len(values)) for name in (f"_n{i}", f"_ends{i}")]
     joined = numbers.join(brackets.select(*keys, *ends), keys)
-    found = []
+    spread = []
     for i in range(len(values)):
         number, low, high = F.col(f"_v{i}"), F.get(f"_ends{i}", F.lit(0)), F.get(f"_ends{i}", F.lit(1))
-        entry = F.struct(
-            F.lit(i).cast("tinyint").alias("_metric"),
-            F.col(f"_n{i}").alias("_total"),
-            F.when(_ordered(number) >= low, number).alias("_value"),  # null: below the bracket
-        )
-        found.append(F.when(_ordered(number) <= high, entry))
-    near = joined.select(*keys, F.explode(F.filter(F.array(*found), lambda e: e.isNotNull())).alias("_entry"))
+        place = _ordered(number)
+        spread += [F.when((place >= low) & (place <= high), number).alias(f"_in{i}"), F.when(place < low, 1).alias(f"_below{i}")]
+    totals = [f"_n{i}" for i in range(len(values))]
+    inside = [f"_in{i}" for i in range(len(values))]
+    # most rows are inside no bracket: they fold to one row per key before anything is unfolded or exchanged
+    folded = joined.select(*keys, *totals, *spread).groupBy(*keys, *totals, *inside)
+    folded = folded.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(f"_below{i}").alias(f"_below{i}") for i in range(len(values))])
+    entries = []
+    for i in range(len(values)):
+        metric, total = F.lit(i).cast("tinyint").alias("_metric"), F.col(f"_n{i}").alias("_total")
+        known = F.struct(metric, total, F.col(f"_in{i}").alias("_value"), F.col("_rows").alias("_n"))
+        below = F.struct(metric, total, F.lit(None).cast("double").alias("_value"), F.col(f"_below{i}").alias("_n"))
+        entries += [F.when(F.col(f"_in{i}").isNotNull(), known), F.when(F.col(f"_below{i}") > 0, below)]
+    near = folded.select(*keys, F.explode(F.array_compact(F.array(*entries))).alias("_entry"))
     group = [*keys, "_metric"]
-    counted = near.select(*keys, "_entry.*").groupBy(*group, "_total", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    counted = near.select(*keys, "_entry.*").groupBy(*group, "_total", "_value").agg(F.sum("_n").alias("_n"))
     upto = F.sum("_n").over(W.partitionBy(*group).orderBy("_value").rowsBetween(W.unboundedPreceding, W.currentRow))
     lower, upper = F.floor((F.col("_total") + 1) / 2), F.floor((F.col("_total") + 2) / 2)
     inside = (F.col("_upto") >= lower) & (F.col("_upto") - F.col("_n") < upper)
