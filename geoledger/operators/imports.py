@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geoledger.functions.geometry import CORNERS, with_bbox
 from geoledger.operators.reviews import department_documents, region_documents
 from geoledger.operators.transactions import conform_transactions, drop_incomplete
 from geoledger.operators.upsert import dedup_insert, upsert_columns, upsert_replace
+from geoledger.operators.validity import rebuild_crossing
 from geoledger.sources.files import read_areas_geojson, read_transactions_csv, write_areas, write_transactions_by_place
+from geoledger.sources.scratch import materialise
 
 KEYS = ["tx_id", "parcel_id"]
 ORDER = ["tx_date", "price", "city_id", "built_area", "land_area", "lon", "lat"]
@@ -31,18 +34,24 @@ def import_transactions(spark: SparkSession, source: str, target: str, previous:
     return spark.read.parquet(target)
 
 
-def import_areas(spark: SparkSession, sources: dict[str, str], target: str, previous: str | None = None) -> dict[str, DataFrame]:
+def import_areas(
+    spark: SparkSession, sources: dict[str, str], target: str, previous: str | None = None, partitions: int | None = None
+) -> dict[str, DataFrame]:
     """Boundary files of each level to stored tables of repaired multipolygons with their boxes, in spatial order.
 
-    Of areas already stored under ``previous`` only geometry and box are renewed.  Areas whose geometry cannot be read are
+    Polygons whose rings cross are rebuilt and the area is marked in the stored column ``repaired``.  ``partitions`` spreads the
+    features of a file before they are parsed; without it that many tasks as the cluster has cores.
+    Of areas already stored under ``previous`` only geometry, box and mark are renewed.  Areas whose geometry cannot be read are
     not lost: they are stored without it under ``unreadable/<level>``, and their earlier outline stays.
     """
     _apart(target, previous)
     stored: dict[str, DataFrame] = {}
     for level, source in sources.items():
         key = f"{level}_id"
-        areas = read_areas_geojson(spark, source, level)
-        box = [name for name in areas.columns if name == "geometry" or name.startswith(("min_", "max_"))]
+        read = read_areas_geojson(spark, source, level, partitions or spark.sparkContext.defaultParallelism)
+        sound = rebuild_crossing(read.drop(*CORNERS)).withColumn("geometry", F.when(F.size("geometry") > 0, F.col("geometry")))
+        areas = materialise(with_bbox(sound), f"{level}-areas")
+        box = ["geometry", *CORNERS, "repaired"]
         areas.where(F.col("geometry").isNull()).drop(*box).write.mode("overwrite").parquet(f"{target}/unreadable/{level}")
         areas = areas.where(F.col("geometry").isNotNull())
         if previous is not None:

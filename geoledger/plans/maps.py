@@ -12,8 +12,10 @@ from geoledger.functions.numbers import round_half_up
 from geoledger.operators import areas as M
 from geoledger.operators import reviews as R
 from geoledger.operators import transactions as P
+from geoledger.operators.validity import rebuild_crossing
 from geoledger.plans import inputs as I
 from geoledger.sources import bindings as B
+from geoledger.sources.scratch import materialise
 
 
 def viewports(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,14 +53,15 @@ def g2_as_multipolygon(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def g3_repair_rings(spark: SparkSession, sf: str) -> DataFrame:
-    """Squares whose ring repeats a point and stays open, next to a degenerate ring."""
+    """Squares whose ring repeats a point and stays open, next to a degenerate ring; every seventh crosses itself."""
     ring = F.get(F.get("geometry", F.lit(0)), F.lit(0))
     first, rest = F.slice(ring, 1, 1), F.slice(ring, 2, 3)
     broken = F.array(F.array(F.concat(first, first, rest), F.slice(ring, 1, 2)))
     twisted = F.concat(first, F.slice(ring, 3, 1), F.slice(ring, 2, 1), F.slice(ring, 4, 1), first)
     shape = F.when(F.col("city_id").cast("bigint") % 7 == 0, F.array(F.array(twisted))).otherwise(broken)
     areas = B.cities(spark, sf).withColumn("geometry", shape).withColumn("geometry", G.repair_rings("geometry"))
-    return areas.select("city_id", G.to_wkt("geometry").alias("wkt"), G.is_simple("geometry").alias("simple"))
+    areas = materialise(rebuild_crossing(areas.select("city_id", "geometry")), "rebuilt")
+    return areas.select("city_id", G.to_wkt("geometry").alias("wkt"), G.is_simple("geometry").alias("simple"), "repaired")
 
 
 def g4_to_wkt(spark: SparkSession, sf: str) -> DataFrame:

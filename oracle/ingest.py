@@ -72,11 +72,12 @@ SELECT DISTINCT r.region_id, r.name, c.x0, c.y0 FROM f_regions r
 JOIN f_cities c ON c.region_id = r.region_id) GROUP BY ALL"""
     ),
     "s2_import_areas": query(
-        f"""SELECT 'city' AS level, {_AREA.format(key='city_id AS id', parents='')} FROM (
-SELECT city_id, CASE WHEN CAST(department_id AS INTEGER) < 15 THEN name ELSE 'renamed' END AS name, x0, y0 FROM f_cities) GROUP BY ALL
-UNION ALL SELECT 'department', {_AREA.format(key='department_id', parents='')} FROM (
+        f"""SELECT 'city' AS level, {_AREA.format(key='city_id AS id', parents='').replace('COUNT(*)', '1 + MAX(crossed::INTEGER)')}, BOOL_OR(crossed) AS repaired FROM (
+SELECT city_id, CASE WHEN CAST(department_id AS INTEGER) < 15 THEN name ELSE 'renamed' END AS name, x0, y0,
+  CAST(city_id AS BIGINT) % 7 = 0 AS crossed FROM f_cities) GROUP BY city_id, name
+UNION ALL SELECT 'department', {_AREA.format(key='department_id', parents='')}, false FROM (
 SELECT DISTINCT d.department_id, d.name, c.x0, c.y0 FROM f_departments d JOIN f_cities c ON c.department_id = d.department_id) GROUP BY ALL
-UNION ALL SELECT 'region', {_AREA.format(key='region_id', parents='')} FROM (
+UNION ALL SELECT 'region', {_AREA.format(key='region_id', parents='')}, false FROM (
 SELECT DISTINCT r.region_id, r.name, c.x0, c.y0 FROM f_regions r JOIN f_cities c ON c.region_id = r.region_id) GROUP BY ALL"""
     ),
     "s3_write_table": query("SELECT CAST(year(tx_date) AS INTEGER) AS year, COUNT(*) AS n FROM f_first GROUP BY 1"),

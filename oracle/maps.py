@@ -24,6 +24,17 @@ def _wkt(corners: str = "00 10 11 01 00") -> str:
     return "'MULTIPOLYGON (((' || " + " || ', ' || ".join(corner(c) for c in names) + " || ')))'"
 
 
+def _triangles() -> str:
+    """The two halves of a square whose ring takes its corners crosswise."""
+    _, corner = _pairs("", " ", "", _n)
+    middle = f"{_n('x0 + 0.5 * (x0 + 0.9 - x0)')} || ' ' || {_n('y0 + 0.5 * (y0 + 0.9 - y0)')}"
+    halves = [[corner("00"), middle, corner("01"), corner("00")], [middle, corner("10"), corner("11"), middle]]
+    return "'MULTIPOLYGON (((' || " + " || ')), ((' || ".join(" || ', ' || ".join(half) for half in halves) + " || ')))'"
+
+
+_BOW = _triangles()
+
+
 def _coordinates() -> str:
     names, corner = _pairs("[", ",", "]", lambda e: f"CAST({e} AS VARCHAR)")
     return "'[[[' || " + " || ',' || ".join(corner(c) for c in names) + " || ']]]'"
@@ -120,8 +131,8 @@ ORACLE = {
     "g1_parse_coordinates": query(f"SELECT city_id, {_wkt()} AS wkt FROM f_cities"),
     "g2_as_multipolygon": query(f"SELECT city_id, {_wkt()} AS wkt FROM f_cities"),
     "g3_repair_rings": query(
-        f"""SELECT city_id, CASE WHEN CAST(city_id AS BIGINT) % 7 = 0 THEN {_wkt('00 11 10 01 00')} ELSE {_wkt()} END AS wkt,
-       CAST(city_id AS BIGINT) % 7 <> 0 AS simple FROM f_cities"""
+        f"""SELECT city_id, CASE WHEN CAST(city_id AS BIGINT) % 7 = 0 THEN {_BOW} ELSE {_wkt()} END AS wkt, true AS simple,
+       CAST(city_id AS BIGINT) % 7 = 0 AS repaired FROM f_cities"""
     ),
     "g4_to_wkt": query(f"SELECT city_id, {_wkt()} AS wkt FROM f_cities"),
     "g5_from_wkt": query("SELECT city_id, x0 AS min_x, y0 AS min_y, x0 + 0.9 AS max_x, y0 + 0.9 AS max_y FROM f_cities"),
