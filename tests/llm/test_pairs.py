@@ -203,6 +203,58 @@ def test_url_filter_of_odd_rows(spark):
     assert urls.filter_urls(frame.limit(0), lists).collect() == []
 
 
+def test_url_filter_by_time_and_path(spark):
+    """Instants within a day, paths, and patterns as lists write them; every internal name is also a column."""
+    rng = np.random.default_rng(11)
+    start = datetime.datetime(2024, 1, 5)
+    instant = lambda: start + datetime.timedelta(minutes=15 * int(rng.integers(0, 200)))
+    written = {
+        "example.com": ["Example.com", "example.com.", "http://u@EXAMPLE.com:80/?q", "example.com/"],
+        "a.example.com": ["A.example.com"], "example.com/bad": ["https://example.com/bad/", "EXAMPLE.com/bad#x"],
+        "a.example.com/bad/x": ["a.example.com./bad/x?y=1"], "[::1]": ["http://[::1]:8080/", "[::1]"],
+    }
+    entries = []
+    for _ in range(120):
+        pattern = list(written)[rng.integers(len(written))]
+        raw = written[pattern][rng.integers(len(written[pattern]))]
+        entries.append((["l1", "l2"][rng.integers(2)], ["block", "allow"][rng.integers(2)], pattern, ["add", "remove"][rng.integers(2)], instant(), raw))
+    urls_seen = ["http://example.com/bad/x", "http://example.com./y", "https://A.Example.com/bad/x/", "http://a.example.com/bad", "http://example.com/badly", "http://[::1]:99/z", "http://b.example.com/bad/x", "http://example.com"]
+    captures = [(i, urls_seen[rng.integers(len(urls_seen))], instant()) for i in range(400)]
+    frame = spark.createDataFrame(captures, "page_id long, url string, fetched_on timestamp")
+    names = ["path", "at", "day", "row", "begun", "moment", "best", "found", "_host", "_day", "place", "valid_to"]
+    lists = spark.createDataFrame([(*e[:2], e[5], *e[3:5]) for e in entries], "list_name string, kind string, pattern string, action string, dated timestamp")
+
+    def plain(url, at):
+        rest = url.split("://")[1]
+        host, _, path = rest.partition("/")
+        host = host[: host.index("]") + 1] if "]" in host else host.split(":")[0].lower().rstrip(".")
+        path = ("/" + path).rstrip("/")
+        best = None
+        for name, kind, pattern in {e[:3] for e in entries}:
+            ph, _, pp = pattern.partition("/")
+            if (host != ph and not host.endswith("." + ph)) or (pp and path != "/" + pp and not path.startswith(f"/{pp}/")):
+                continue
+            times = sorted({e[4] for e in entries if e[:3] == (name, kind, pattern) and e[4] <= at})
+            if times and any(e[:3] == (name, kind, pattern) and e[4] == times[-1] and e[3] == "add" for e in entries):
+                rank = (-len(pattern), kind != "block", name)
+                best = min(best, (rank, kind, pattern, times[-1])) if best else (rank, kind, pattern, times[-1])
+        return best[1:] if best else ("none", None, None)
+
+    rows = urls.filter_urls(frame.withColumns({n: F.lit("clash") for n in names}), lists).collect()
+    assert len(rows) == 400 and rows[0]["begun"] == "clash"
+    for r in rows:
+        assert (r.verdict, r.pattern, r.valid_from) == plain(r.url, r.fetched_on)
+    assert len({(r.verdict, r.pattern) for r in rows}) > 8
+
+
+def test_an_entry_removed_the_same_day_is_gone_the_next(spark):
+    at = lambda day, hour: datetime.datetime(2024, 1, day, hour)
+    lists = spark.createDataFrame([("l", "block", "a.com", "add", at(5, 20)), ("l", "block", "a.com", "remove", at(5, 23))], "list_name string, kind string, pattern string, action string, dated timestamp")
+    seen = [at(5, 8), at(5, 20), at(5, 22), at(5, 23), at(6, 0), at(6, 8)]
+    frame = spark.createDataFrame([(i, "http://a.com/", t) for i, t in enumerate(seen)], "page_id long, url string, fetched_on timestamp")
+    assert [r.verdict for r in urls.filter_urls(frame, lists).orderBy("page_id").collect()] == ["none", "block", "block", "none", "none", "none"]
+
+
 @pytest.mark.parametrize("name", ["op2_url_filter", "op3_mix", "op8_fingerprints"])
 def test_native_plans(spark, name):
     from geoledger.llm import registry
