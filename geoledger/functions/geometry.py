@@ -243,6 +243,19 @@ def cells_of(box: Box, size: float) -> Column:
     return F.expr(f"flatten(transform({steps('x')}, i -> transform({steps('y')}, j -> named_struct('i', i, 'j', j))))")
 
 
+def level_of_extent(box: Box, share: int = 1) -> str:
+    """Exponent of two of the smallest cell side that is at least the box's longer side over ``share``; tiny boxes share one level."""
+    extent = f"greatest({box['max_x']} - {box['min_x']}, {box['max_y']} - {box['min_y']}, {2.0**-20!r}D)"
+    return f"int(ceil(log2({extent} / {share})))"
+
+
+def cells_at(box: Box, level: str) -> Column:
+    """Cells (i, j) with a side of 2^level degrees that a box touches."""
+    side = f"pow(2D, {level})"
+    steps = lambda axis: f"sequence(floor({box['min_' + axis]} / {side}), floor({box['max_' + axis]} / {side}))"
+    return F.expr(f"flatten(transform({steps('x')}, i -> transform({steps('y')}, j -> named_struct('i', i, 'j', j))))")
+
+
 def with_cell(points: DataFrame, size: float) -> DataFrame:
     """Grid cell (i, j) of each point."""
     return points.select("*", F.expr(f"floor(lon / {size}D) AS i"), F.expr(f"floor(lat / {size}D) AS j"))

@@ -100,32 +100,37 @@ def intersecting(areas: DataFrame, view: G.Viewport) -> DataFrame:
     return areas.where(G.overlaps_box(box)).where(G.intersects_box("geometry", box))
 
 
-def intersecting_many(
-    areas: DataFrame, viewports: DataFrame, cell: float = 1.0, salts: int = 16, key: str = "city_id"
-) -> DataFrame:
-    """(view_id, area) pairs for a table of viewports, met on grid cells and then tested exactly.
+def intersecting_many(areas: DataFrame, viewports: DataFrame, key: str = "city_id") -> DataFrame:
+    """(view_id, area) pairs for a table of viewports, met in grid cells and then tested exactly.
 
-    A salt spreads the viewports of a crowded cell; ids and boxes of the areas are repeated once per
-    salt.  Geometry joins the pairs whose boxes meet, by the areas' unique ``key``.
+    Cells come in sides of powers of two.  An area or viewport lies in at most four cells as large as itself, and it is entered there
+    and at every coarser level in use; a pair meets at the level of the larger of the two, in the first cell both cover.  So
+    neither a few large areas nor many small ones make long lists.  Geometry joins the pairs whose boxes meet, by the areas'
+    unique ``key``.
     """
     box = {corner: f"view.{corner}" for corner in G.CORNERS}
+    own = {corner: corner for corner in G.CORNERS}
     views = viewports.select(
         "view_id",
         F.struct(
             F.col("sw_lon").alias("min_x"), F.col("sw_lat").alias("min_y"),
             F.col("ne_lon").alias("max_x"), F.col("ne_lat").alias("max_y"),
         ).alias("view"),
-    )
-    view_cells = views.select(
-        "view_id", "view", F.pmod(F.xxhash64("view_id"), F.lit(salts)).cast("int").alias("salt"),
-        F.inline(G.cells_of(box, cell)),
-    )
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-    own_cells = F.inline(G.cells_of({corner: corner for corner in G.CORNERS}, cell))
-    area_cells = areas.select(key, *G.CORNERS, own_cells).select("*", copies)
-    # a pair is tested in one cell only: the first one both boxes cover
-    first = f"i = floor(greatest(min_x, view.min_x) / {cell}D) AND j = floor(greatest(min_y, view.min_y) / {cell}D)"
-    pairs = view_cells.join(area_cells, ["i", "j", "salt"]).where(first).where(G.overlaps_box(box)).select("view_id", "view", key)
+    ).withColumn("view_level", F.expr(G.level_of_extent(box)))
+    boxes = areas.select(key, *G.CORNERS, F.expr(G.level_of_extent(own)).alias("area_level"))
+    tops = views.select(F.col("view_level").alias("top")).unionByName(boxes.select(F.col("area_level").alias("top")))
+    top = tops.agg(F.max("top")).scalar()
+
+    def entered(rows: DataFrame, level: str, sides: G.Box) -> DataFrame:
+        at_levels = rows.withColumn("top", top).withColumn("level", F.explode(F.expr(f"sequence({level}, top)"))).drop("top")
+        return at_levels.select("*", F.inline(G.cells_at(sides, "level")))
+
+    view_cells = entered(views.where("view_level is not null"), "view_level", box)
+    area_cells = entered(boxes.where("area_level is not null"), "area_level", own)
+    side = "pow(2D, level)"
+    first = f"i = floor(greatest(min_x, view.min_x) / {side}) AND j = floor(greatest(min_y, view.min_y) / {side})"
+    met = view_cells.join(area_cells, ["level", "i", "j"]).where("level = greatest(view_level, area_level)")
+    pairs = met.where(first).where(G.overlaps_box(box)).select("view_id", "view", key)
     return pairs.join(areas, key).where(G.intersects_box("geometry", box)).drop("view")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import log2
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,18 +118,33 @@ def transaction_features(df: DataFrame) -> DataFrame:
     )
 
 
-def _cell_pairs(areas: DataFrame, size: float) -> DataFrame:
-    cells = G.cells_of({corner: corner for corner in G.CORNERS}, size)
-    return areas.select("area_id", *G.CORNERS, F.inline(cells))
+#: Cells along the longer side of an area's box.
+CELLS_PER_SIDE = 4
+
+
+def spots_near_areas(spots: DataFrame, areas: DataFrame, cell: float | None = None) -> DataFrame:
+    """Rows of ``spots`` (lon, lat, ...) with the ``area_id`` and box of the areas in whose cells they lie.
+
+    Every area is covered by cells of its own size, sides of powers of two of about a quarter of its box, so a point meets about
+    as many areas as have it near their box, however unlike in size they are and however crowded the place is.  A point is
+    looked up once per level in use.  ``cell`` sets one side for all areas instead.
+    """
+    own = {corner: corner for corner in G.CORNERS}
+    level = F.expr(G.level_of_extent(own, CELLS_PER_SIDE)) if cell is None else F.lit(log2(cell))
+    cover = areas.select("area_id", *G.CORNERS, level.alias("level")).where("level is not null and min_x is not null")
+    levels = cover.agg(F.array_sort(F.collect_set("level"))).scalar()
+    cover = cover.select("*", F.inline(G.cells_at(own, "level")))
+    looked = spots.withColumn("level", F.explode(levels))
+    looked = looked.selectExpr("*", "floor(lon / pow(2D, level)) AS i", "floor(lat / pow(2D, level)) AS j")
+    return looked.join(cover, ["level", "i", "j"]).drop("level", "i", "j")
 
 
-def points_in_areas(tx: DataFrame, areas: DataFrame, cell: float = 1.0, salts: int = 16) -> DataFrame:
+def points_in_areas(tx: DataFrame, areas: DataFrame, cell: float | None = None) -> DataFrame:
     """Count, mean price and mean areas of the sales strictly inside each area.
 
-    Both sides meet on a grid cell, so no pair outside a common cell is formed.  Sales at the same
-    position are folded first, and a salt on the position spreads a crowded cell over tasks; the
-    area side, ids and boxes of a few areas per cell, is repeated once per salt.  Outlines join the
-    pairs that pass the box test, once per area; AQE splits an area that holds most pairs.
+    Sales at the same position are folded first.  Positions and areas meet in cells sized by the areas (``spots_near_areas``);
+    AQE splits a cell with most positions.  Outlines join the pairs that pass the box test, once per area; AQE splits an area
+    that holds most pairs.
     """
     spots = (
         tx.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
@@ -140,13 +157,8 @@ def points_in_areas(tx: DataFrame, areas: DataFrame, cell: float = 1.0, salts: i
                 for agg in (F.sum(name).alias(name), F.count(name).alias(f"{name}_n"))
             ],
         )
-        .transform(G.with_cell, cell)
-        .withColumn("salt", F.pmod(F.xxhash64("lon", "lat"), F.lit(salts)).cast("int"))
     )
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-    pairs = _cell_pairs(areas, cell).select("*", copies)
-    near = spots.join(pairs, ["i", "j", "salt"]).where(G.within_box("lon", "lat", {c: c for c in G.CORNERS}))
-    near = near.drop("i", "j", "salt", *G.CORNERS)
+    near = spots_near_areas(spots, areas, cell).where(G.within_box("lon", "lat", {c: c for c in G.CORNERS})).drop(*G.CORNERS)
     outlines = areas.select("area_id", G.outline("geometry").alias("outline"))
     found = near.join(outlines, "area_id").where(G.outline_contains("outline", "lon", "lat"))
 

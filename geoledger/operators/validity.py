@@ -6,10 +6,12 @@ ring costs about n log n; a polygon whose rings do not cross leaves as it came.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BooleanType, StructField, StructType
 
@@ -18,6 +20,8 @@ DEPTH = 40
 TINY = 1e-12  # shares of an edge, and of the extent, below which points are one
 ROUNDS = 8  # cutting moves edges by rounding: pieces are looked at again
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the package
+
 
 def _near_pairs(boxes: np.ndarray) -> np.ndarray:
     """Pairs (i < j) of boxes (min_x, min_y, max_x, max_y) that meet, each once."""

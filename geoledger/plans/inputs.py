@@ -56,7 +56,8 @@ def stored_city_word_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def department_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return R.department_documents(stored_city_word_docs(spark, sf), B.city_documents(spark, sf), B.departments(spark, sf))
+    cities = materialise(B.city_documents(spark, sf), "city-documents")  # read by three aggregates
+    return R.department_documents(stored_city_word_docs(spark, sf), cities, B.departments(spark, sf))
 
 
 def stored_department_docs(spark: SparkSession, sf: str) -> DataFrame:

@@ -119,5 +119,5 @@ def find_one(df: DataFrame, predicate: Column | None = None, fields: list[str] |
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One CSV file with header, for rankings."""
-    df.coalesce(1).write.mode(mode).option("header", True).csv(path)
+    """One CSV file with header, for rankings; what comes before the one writer stays spread over all tasks."""
+    df.repartition(1).write.mode(mode).option("header", True).csv(path)

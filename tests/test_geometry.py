@@ -231,6 +231,51 @@ def test_points_in_areas_matches_brute_force(rows):
             assert str(i) not in found
 
 
+def _boxes(spark, columns):
+    return columns.selectExpr("*", "array(array(array(named_struct('x', min_x, 'y', min_y), named_struct('x', max_x, 'y', min_y),"
+                              " named_struct('x', max_x, 'y', max_y), named_struct('x', min_x, 'y', max_y), named_struct('x', min_x, 'y', min_y)))) AS geometry")
+
+
+def test_crowded_places_give_few_candidates(spark):
+    """35 000 touching areas, some large ones over them, and a third of all points in one spot of one cell."""
+    small = spark.range(35_000).selectExpr("string(id) AS area_id", "(id % 187) * 0.05D AS min_x", "40 + (id div 187) * 0.05D AS min_y")
+    small = small.selectExpr("*", "min_x + 0.05D AS max_x", "min_y + 0.05D AS max_y")
+    large = spark.createDataFrame([("north", 0.0, 45.0, 9.35, 49.5), ("far", 170.0, -80.0, 179.0, -60.0)], small.schema)
+    areas = _boxes(spark, small.unionByName(large))
+    n = F.col("id")
+    place = lambda salt, low, size: F.lit(low) + F.pmod(F.xxhash64(n, F.lit(salt)), F.lit(10**9)) / 1e9 * size
+    hot = n % 3 == 0
+    tx = spark.range(60_000).select(
+        F.when(hot, place(1, 4.001, 0.003)).otherwise(place(1, 0.0, 9.0)).alias("lon"),
+        F.when(hot, place(2, 44.001, 0.003)).otherwise(place(2, 40.0, 9.0)).alias("lat"),
+        F.lit(100.0).alias("price"), F.lit(None).cast("double").alias("built_area"), F.lit(1.0).alias("land_area"),
+    )
+    candidates = P.spots_near_areas(tx.select("lon", "lat"), areas).count()
+    found = {r["area_id"]: r["transactions"] for r in P.points_in_areas(tx, areas).collect()}
+    assert candidates < 3 * sum(found.values())
+    rows = tx.select("lon", "lat").collect()
+    assert found["north"] == sum(0 < r.lon < 9.35 and 45 < r.lat < 49.5 for r in rows) and "far" not in found
+    assert max(found.values()) > 20_000 and sum(v for k, v in found.items() if k != "north") == 60_000
+
+
+def test_viewports_of_all_sizes_meet_areas_of_all_sizes(spark):
+    import random
+
+    draw = random.Random(3)
+
+    def boxes(n):
+        for i in range(n):
+            size, x, y = 2.0 ** draw.uniform(-6, 4), draw.uniform(-20, 20), draw.uniform(-20, 20)
+            yield (i, x, y, x + size, y + size * draw.choice([0.01, 0.5, 1]))
+
+    a, v = [*boxes(150), (900, 1.0, 1.0, 1.0, 1.0)], [*boxes(120), (901, 1.0, 1.0, 1.0, 1.0), (902, -64.0, -64.0, 64.0, 64.0)]
+    areas = _boxes(spark, spark.createDataFrame(a, "city_id long, min_x double, min_y double, max_x double, max_y double"))
+    views = spark.createDataFrame(v, "view_id long, sw_lon double, sw_lat double, ne_lon double, ne_lat double")
+    got = [(r.view_id, r.city_id) for r in M.intersecting_many(areas, views).collect()]
+    want = {(w[0], b[0]) for w in v for b in a if w[1] <= b[3] and w[3] >= b[1] and w[2] <= b[4] and w[4] >= b[2]}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 200
+
+
 def test_import_areas_reports_unreadable_outlines(spark, tmp_path):
     def collection(*features):
         body = ",".join(
