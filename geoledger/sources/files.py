@@ -2,32 +2,96 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geoledger import schemas as S
 from geoledger.functions import geometry as G
 from geoledger.operators.transactions import rename_header
+from geoledger.schemas import TRANSACTION_HEADER
+from geoledger.sources.scratch import materialise
+
+
+#: Most columns a CSV file may have.
+CSV_WIDTH = 64
+
+
+def _csv_values(text: str) -> Column:
+    """The fields of one CSV record; quotes inside quoted fields are doubled."""
+    names = [f"c{i}" for i in range(CSV_WIDTH)]
+    parsed = F.from_csv(F.col(text), ", ".join(f"{name} string" for name in names), {"escape": '"', "maxColumns": str(CSV_WIDTH)})
+    # bound as a variable: a record is parsed once, not once per field
+    return F.get(F.transform(F.array(parsed), lambda p: F.array(*[p[name] for name in names])), F.lit(0))
+
+
+def read_csv_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(file, number, record) of every record of the CSV files of a folder, and (file, header); both split inside files.
+
+    A line break ends a record where an even number of quotes comes before it.  Quotes are counted per byte range, a range's
+    parity and number of records follow from the ranges before it in the file, and so each range knows which of its lines begin
+    records, without reading another one.  Records of one line are ready; the lines of longer ones meet by record number,
+    also across ranges.  Records are numbered from 1, the header; a header is one line.  Empty lines are no records.
+    """
+    read = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.csv").text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")]
+    lines = read.select("value", *place, F.monotonically_increasing_id().alias("line"), quotes.cast("long").alias("quotes"))
+    before = W.partitionBy("file", "start").orderBy("line").rowsBetween(W.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2  # 1: an odd number of quotes since the range began
+
+    thin = lines.select("file", "start", "line", "quotes").withColumn("inside", inside)
+    ranges = thin.groupBy("file", "start").agg(
+        (F.sum("quotes") % 2).alias("odd"), F.count_if(F.col("inside") == 0).alias("begun0"), F.count_if(F.col("inside") == 1).alias("begun1")
+    )
+    earlier = W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
+    ranges = ranges.withColumn("open", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
+    begun = F.when(F.col("open") == 0, F.col("begun0")).otherwise(F.col("begun1"))
+    ranges = ranges.withColumn("begun", begun).withColumn("records", F.coalesce(F.sum("begun").over(earlier), F.lit(0)))
+    ranges = materialise(ranges.select("file", "start", "open", "records"), "csv-ranges")  # one row per range
+    headers = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+
+    marked = lines.withColumn("inside", inside).join(ranges, ["file", "start"])
+    marked = marked.withColumn("begins", ((F.col("inside") + F.col("open")) % 2 == 0).cast("long"))
+    upto = W.partitionBy("file", "start").orderBy("line").rowsBetween(W.unboundedPreceding, 0)
+    marked = marked.withColumn("number", F.col("records") + F.sum("begins").over(upto))
+    ready = (F.col("begins") == 1) & (F.col("quotes") % 2 == 0)
+    pieces = F.array_sort(F.collect_list(F.struct("start", "line", "value")))
+    longer = marked.where(~ready).groupBy("file", "number").agg(F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("record"))
+    records = marked.where(ready).select("file", "number", F.col("value").alias("record")).unionByName(longer)
+    ending = lambda text: F.regexp_replace(text, "\\r$", "")
+    records = records.withColumn("record", ending("record")).where("record <> ''")
+    return records, headers.withColumn("header", F.regexp_replace(ending("header"), "^\ufeff", ""))
 
 
 def read_transactions_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """All CSV files of a folder, every column as text so codes keep leading zeros.
 
-    Columns are found by header name: the header of each file is read first (one short read per
-    file), files with the same header make one scan, and the scans are united by name, so a file
-    whose columns stand in another order is read right; one that lacks a column fails the query.
-    ``multi_line=False`` lets Spark split large files when no field holds a line break.
+    Files are read in splits, also where fields hold line breaks (``read_csv_records``).  Columns are found by header name, file
+    by file, so a file whose columns stand in another order is read right; one that lacks a column fails the query.
+    ``multi_line=False`` is for files without line breaks in fields, whose lines are records.
     """
-    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path").collect()
-    if not listed:
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
+    if listed.isEmpty():
         raise FileNotFoundError(f"no CSV file in {path}")
-    scans: dict[tuple[str, ...], list[str]] = {}
-    for row in sorted(listed):
-        scans.setdefault(tuple(reader.csv(row["path"]).columns), []).append(row["path"])
-    return reduce(DataFrame.unionByName, [rename_header(reader.csv(paths)) for paths in scans.values()])
+    if multi_line:
+        records, headers = read_csv_records(spark, path)
+        records = records.where("number > 1")
+    else:
+        read = spark.read.option("pathGlobFilter", "*.csv").text(path)
+        records = read.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("record"), F.monotonically_increasing_id().alias("line"))
+        headers = records.groupBy("file").agg(F.min_by("record", "line").alias("header"))
+        records = records.join(headers, "file").where("record <> header and record <> ''").select("file", "record")
+    names = materialise(headers.select("file", _csv_values("header").alias("names")), "csv-headers")  # one row per file
+    # one row out for one in: what stands below the generator is not evaluated again for every column
+    fields = records.join(names, "file").select("names", F.explode(F.array(_csv_values("record"))).alias("values"))
+
+    def column(source: str) -> Column:
+        at = F.array_position("names", F.lit(source)).cast("int")
+        lacking = F.raise_error(F.lit(f"a file lacks the column {source}")).cast("int")
+        return F.get("values", F.when(at > 0, at - 1).otherwise(lacking)).alias(source)
+
+    return rename_header(fields.select(*[column(source) for source in TRANSACTION_HEADER]))
 
 
 def read_areas_geojson(spark: SparkSession, path: str, level: str, partitions: int | None = None) -> DataFrame:

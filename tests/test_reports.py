@@ -98,3 +98,33 @@ def test_stored_sales_skip_files(spark, tmp_path):
     )
     met = [f for f in files if f["min_lon"] < 2 and f["max_lon"] > 1 and f["min_lat"] < 45 and f["max_lat"] > 44]
     assert len(files) == 16 and len(met) <= 3
+
+
+def test_quoted_csv_is_read_in_splits(spark, tmp_path):
+    """Line breaks, quotes, separators and carriage returns in fields, in ranges of a few hundred bytes, as the whole-file reader gives them."""
+    import random
+
+    draw = random.Random(5)
+    header = list(S.TRANSACTION_HEADER)
+
+    def field():
+        text = "".join(draw.choice(['a', 'é', '""', '\n', ',', ' b', '\r\n', '']) for _ in range(draw.randrange(9)))
+        return f'"{text}"' if draw.random() < 0.8 or any(c in text for c in '",\n\r') else text
+
+    for name, columns in (("one", header), ("two", header[::-1])):
+        body = "".join(",".join(["x", *[field() for _ in columns[1:]]]) + "\n" for _ in range(400))
+        (tmp_path / f"{name}.csv").write_bytes((",".join(columns) + "\n" + "\n" + body + '"last\n\n\n' + "z" * 2000 + '"' + "," * (len(columns) - 1)).encode())
+    whole = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("lineSep", "\n")
+    want = [tuple(r) for name in ("one", "two") for r in S.rename_header(whole.csv(str(tmp_path / f"{name}.csv"))).collect()]
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert S.read_csv_records(spark, str(tmp_path))[0].count() == 2 * 402
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 30
+        got = [tuple(r) for r in S.read_transactions_csv(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    order = lambda row: tuple((v is not None, v or "") for v in row)
+    assert sorted(got, key=order) == sorted(want, key=order) and len(got) == 802
