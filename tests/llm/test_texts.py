@@ -56,6 +56,18 @@ def test_shards_are_contiguous_and_balanced(spark):
     check_shards(rows)
 
 
+def test_shards_equal_a_plain_prefix_sum(spark):
+    rows = {r.doc_id: r for r in sharding.op9_shards(spark, SF).collect()}
+    sizes = {r.doc_id: len((r.text or "").encode()) + 8 for r in documents(spark).collect()}
+    total, end, slots = sum(sizes.values()), 0, Counter()
+    for doc in sorted(sizes):
+        end += sizes[doc]
+        shard = min((2 * end - sizes[doc]) * 24 // (2 * total), 23)  # where the middle of its bytes lies
+        assert (rows[doc].size, rows[doc].shard, rows[doc].slot) == (sizes[doc], shard, slots[shard])
+        slots[shard] += 1
+    assert len(rows) == len(sizes)
+
+
 def test_shards_of_odd_rows(spark):
     docs = odd_documents(spark)
     rows = sharding.assign_shards(clashing(docs), 3).collect()
