@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from geoledger import schemas as S
 from geoledger.functions import geometry as G
@@ -25,7 +30,7 @@ def _csv_values(text: str) -> Column:
     return F.get(F.transform(F.array(parsed), lambda p: F.array(*[p[name] for name in names])), F.lit(0))
 
 
-def read_csv_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_csv_records(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """(file, number, record) of every record of the CSV files of a folder, and (file, header); both split inside files.
 
     A line break ends a record where an even number of quotes comes before it.  Quotes are counted per byte range, a range's
@@ -64,34 +69,51 @@ def read_csv_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     return records, headers.withColumn("header", F.regexp_replace(ending("header"), "^\ufeff", ""))
 
 
-def read_transactions_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """All CSV files of a folder, every column as text so codes keep leading zeros.
-
-    Files are read in splits, also where fields hold line breaks (``read_csv_records``).  Columns are found by header name, file
-    by file, so a file whose columns stand in another order is read right; one that lacks a column fails the query.
-    ``multi_line=False`` is for files without line breaks in fields, whose lines are records.
-    """
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
-    if listed.isEmpty():
-        raise FileNotFoundError(f"no CSV file in {path}")
-    if multi_line:
-        records, headers = read_csv_records(spark, path)
-        records = records.where("number > 1")
-    else:
-        read = spark.read.option("pathGlobFilter", "*.csv").text(path)
-        records = read.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("record"), F.monotonically_increasing_id().alias("line"))
-        headers = records.groupBy("file").agg(F.min_by("record", "line").alias("header"))
-        records = records.join(headers, "file").where("record <> header and record <> ''").select("file", "record")
+def _split_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Large files, read in splits; columns by the header of their file."""
+    records, headers = read_csv_records(spark, paths)
     names = materialise(headers.select("file", _csv_values("header").alias("names")), "csv-headers")  # one row per file
     # one row out for one in: what stands below the generator is not evaluated again for every column
-    fields = records.join(names, "file").select("names", F.explode(F.array(_csv_values("record"))).alias("values"))
+    fields = records.where("number > 1").join(names, "file").select("names", F.explode(F.array(_csv_values("record"))).alias("values"))
 
     def column(source: str) -> Column:
         at = F.array_position("names", F.lit(source)).cast("int")
         lacking = F.raise_error(F.lit(f"a file lacks the column {source}")).cast("int")
         return F.get("values", F.when(at > 0, at - 1).otherwise(lacking)).alias(source)
 
-    return rename_header(fields.select(*[column(source) for source in TRANSACTION_HEADER]))
+    return fields.select(*[column(source) for source in TRANSACTION_HEADER])
+
+
+def _whole_csv(spark: SparkSession, paths: list[str], multi_line: bool) -> list[DataFrame]:
+    """One scan per header; the headers of all files are read in one pass."""
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line")
+    )
+    scans: dict[tuple[str, ...], list[str]] = {}
+    for row in lines.groupBy("file").agg(F.min_by("value", "line").alias("header")).orderBy("file").collect():
+        header = tuple(next(csv.reader([row["header"].removeprefix("\ufeff").rstrip("\r")])))
+        scans.setdefault(header, []).append(unquote(row["file"]))
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    layouts = {header: StructType([StructField(name, StringType()) for name in header]) for header in scans}
+    return [reader.schema(layouts[header]).csv(some) for header, some in scans.items()]
+
+
+def read_transactions_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All CSV files of a folder, every column as text so codes keep leading zeros.
+
+    Files larger than a split are read in splits, also where fields hold line breaks (``read_csv_records``); smaller ones are one task
+    each.  Both give the same rows.  Columns are found by header name, file by file, so a file whose columns stand in another
+    order is read right; one that lacks a column fails the query.  ``multi_line=False`` is for files without line breaks
+    in fields, which Spark splits by itself.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path", "length").collect()
+    if not listed:
+        raise FileNotFoundError(f"no CSV file in {path}")
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    large = [row["path"] for row in listed if multi_line and row["length"] > split]
+    small = [row["path"] for row in listed if row["path"] not in set(large)]
+    scans = ([_split_csv(spark, large)] if large else []) + (_whole_csv(spark, small, multi_line) if small else [])
+    return reduce(DataFrame.unionByName, [rename_header(scan) for scan in scans])
 
 
 def read_areas_geojson(spark: SparkSession, path: str, level: str, partitions: int | None = None) -> DataFrame:
