@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geoledger.llm.common import ship_with_tasks
+from geoledger.llm.common import ship_with_tasks, whole_text
 from geoledger.llm.components import component_labels
 from geoledger.sources.scratch import materialise
 
@@ -48,15 +48,23 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, fp) of every row."""
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, key: str = "doc_id", text: str = "text", with_digest: bool = False) -> DataFrame:
+    """(id, fp) of every row, and with ``with_digest`` the SHA-256 of its text, by which a row finds its fingerprint again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(value.as_py(), words) for value in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["id", "fp"])
+            kept = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(found, pa.int64())], [*kept, "fp"])
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "id long, fp long")
+    columns = [F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")]
+    if with_digest:
+        return docs.select(*columns, _digest(text)).mapInArrow(run, "id long, digest binary, fp long")
+    return docs.select(*columns).mapInArrow(run, "id long, fp long")
+
+
+def _digest(text: str) -> Column:
+    return F.unhex(F.sha2(whole_text(text), 256)).alias("digest")
 
 
 @cache
@@ -126,6 +134,17 @@ def simhash_groups(
     Repeated rows are kept, an empty table gives no rows, other columns are ignored.
     """
     rows = materialise(fingerprints(docs, words, key, text), "simhash")
+    named = fingerprint_classes(rows, max_bits)
+    return rows.join(named, "fp").select(
+        F.col("id").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links"
+    )
+
+
+def fingerprint_classes(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, root, component_id, n_links) of the distinct fingerprints of (id, fp) rows.
+
+    ``root`` names the group of linked fingerprints, ``component_id`` its smallest id; groups that share an id differ in their roots.
+    """
     classes = materialise(rows.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-classes")
     links = materialise(fingerprint_links(classes.select("fp"), max_bits), "simhash-links")
     labels = component_labels(links).select(F.col("id").alias("fp"), F.col("component_id").alias("root"))
@@ -138,22 +157,23 @@ def simhash_groups(
         "simhash-roots",
     )
     least = materialise(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "simhash-least")
-    named = materialise(rooted.join(least, "root").select("fp", "component_id", "n_links"), "simhash-named")
-    return rows.join(named, "fp").select(
-        F.col("id").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links"
-    )
+    return materialise(rooted.join(least, "root").select("fp", "root", "component_id", "n_links"), "simhash-named")
 
 
 def keep_one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose key is the smallest of its near-duplicate group; of rows with one key, the first by text stays.
+    """One row of each near-duplicate group of ``docs``: the one with the smallest key, and of its rows with that key the first by text.
 
-    Rows with a null key have no group name and are all kept.
+    Rows with one key and unlike texts are in different groups, and one of each stays.  Rows with a null key have no group name
+    and are all kept.  Columns may have any names.
     """
-    groups = simhash_groups(docs, words, max_bits, key, text)
-    keep = groups.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
-    kept = docs.join(keep, docs[key] == keep["_kept"], "left_semi")
-    one = kept.withColumn("_row", F.row_number().over(Window.partitionBy(key).orderBy(text))).where("_row = 1").drop("_row")
-    return one.unionByName(docs.where(F.col(key).isNull()))
+    rows = materialise(fingerprints(docs, words, key, text, with_digest=True), "simhash-digests")
+    named = fingerprint_classes(rows, max_bits).select("fp", "root", "component_id")
+    first = rows.join(named, "fp").where("id = component_id").select("id", "digest", "root").distinct()
+    whole = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"), _digest(text), F.col(text).alias("text"))
+    # the row limit is taken in every task before the rows of one group meet
+    place = F.row_number().over(Window.partitionBy("id", "root").orderBy("text"))
+    one = whole.join(first, ["id", "digest"]).withColumn("place", place).where("place = 1")
+    return one.select("row.*").unionByName(docs.where(F.col(key).isNull()))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,6 +31,8 @@ def clashing(docs):
     from pyspark.sql import functions as F
 
     names = ["score", "shard", "slot", "copy", "n_copies", "mix_key", "host", "verdict", "id", "fp", "key", "digest", "part", "row", "size", "predicted"]
+    names += ["_cdf", "_parts", "_rate_source", "wanted", "cdf", "parts", "weight", "_row", "_kept", "place", "root", "component_id", "fingerprint"]
+    names += ["_host", "_day", "pattern", "valid_from", "valid_to", "list_name", "kind", "path", "_id", "_text", "_part", "_draw", "_quality"]
     return docs.withColumns({n: F.lit("clash") for n in names})
 
 

@@ -90,6 +90,14 @@ def test_simhash_of_odd_rows(spark):
     kept = simhash.keep_one_of_each(docs).collect()
     assert Counter(r.doc_id for r in kept) == {1: 1, 3: 1, 6: 1, 7: 1, 8: 1, None: 2}
     assert simhash.simhash_groups(docs.limit(0)).collect() == []
+    assert simhash.keep_one_of_each(docs).columns == docs.columns and simhash.keep_one_of_each(docs.limit(0)).collect() == []
+
+
+def test_unlike_texts_of_one_id_are_both_kept(spark):
+    red, blue = (" ".join(f"{c}{i}" for i in range(60)) for c in ("red", "blue"))
+    rows = [(5, red), (5, blue), (5, blue), (6, blue), (4, "green " * 9), (9, None), (9, "")]
+    kept = simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.text or "") for r in kept) == {(5, red): 1, (5, blue): 1, (4, "green " * 9): 1, (9, ""): 1}
 
 
 # vectors
