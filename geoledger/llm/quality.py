@@ -7,16 +7,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from geoledger.llm.common import ship_with_tasks
+from geoledger.sources.scratch import materialise
 
-#: Bounds of the training sample: labelled texts per class for its dictionary, texts for the calibration, bytes of one text.
+#: Bounds of the training sample: labelled texts per class for its dictionary, texts for the calibration, and bytes of each of
+#: these three parts.  Texts are whole and of any length; a part ends with the text that reaches its bytes.
 DICTIONARY_TEXTS = 1500
 CALIBRATION_TEXTS = 4000
-SAMPLE_BYTES = 32_000
+SAMPLE_BYTES = 32 << 20
 DICTIONARY_BYTES = 65_536
 LEVEL = 3
 #: Largest normalised difference that counts; very short texts go beyond by chance.
@@ -106,28 +108,33 @@ def calibrate(differences: np.ndarray, labels: np.ndarray) -> tuple[tuple[float,
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", seed: int = 0) -> Model:
     """Fit on labelled rows that are not held out, a sample bounded by the constants above whatever the size of the tables.
 
-    Rows are drawn by a hash of their id, so the sample is the same on every run; the rows of the calibration are others than
-    those of the dictionaries.  Label rows with null id or a quality other than 0 and 1 are void; an id labelled both ways is
-    taken at its larger label.  Without usable labels every score is one half.
+    Rows are drawn by a hash of their id, whatever their length, so the sample is the same on every run; the rows of the
+    calibration are others than those of the dictionaries.  Label rows with null id or a quality other than 0 and 1 are void; an id
+    labelled both ways is taken at its larger label, an id with several texts at the least of them.  Without usable labels every score
+    is one half.
     """
     usable = labels.where(F.col("quality").isin(0, 1) & F.col(key).isNotNull() & ~held_out(key))
     usable = usable.groupBy(F.col(key).alias("_id")).agg(F.max("quality").alias("_quality"))
     drawn = F.md5(F.concat_ws("|", F.lit(seed), F.col("_id")))
-    short = docs.where(F.octet_length(text) <= SAMPLE_BYTES).select(F.col(key).alias("_id"))
-    candidates = usable.join(short, "_id", "left_semi").withColumn("_draw", drawn)
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_id"), F.col(text).cast("string").alias("_text"))
+    candidates = usable.join(texts.select("_id"), "_id", "left_semi").withColumn("_draw", drawn)
     # three limits with fixed bounds, so the ids can be sent to every task; every second id is for the calibration
     tuned = F.crc32("_draw") % 2 == 1
     good, bad = (candidates.where(~tuned & (F.col("_quality") == q)).orderBy("_draw").limit(DICTIONARY_TEXTS) for q in (1, 0))
     parts = [good, bad, candidates.where(tuned).orderBy("_draw").limit(CALIBRATION_TEXTS)]
-    parts = [part.select("_id", "_quality", F.lit(use).alias("_use")) for use, part in zip("ddc", parts)]
+    parts = [part.select("_id", "_quality", "_draw", F.lit(use).alias("_part")) for use, part in zip("gbc", parts)]
     ids = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    texts = docs.where(F.octet_length(text) <= SAMPLE_BYTES).select(F.col(key).alias("_id"), F.col(text).cast("string").alias("_text"))
-    rows = texts.join(F.broadcast(ids), "_id").dropDuplicates(["_id"]).select("_id", "_text", "_quality", "_use").collect()
+    one = texts.join(F.broadcast(ids), "_id").groupBy("_id", "_quality", "_draw", "_part").agg(F.min("_text").alias("_text"))
+    stored = materialise(one, "quality-sample")
+    before = Window.partitionBy("_part").orderBy("_draw", "_id").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored.select("_id", "_part", "_draw", F.coalesce(F.sum(F.octet_length("_text")).over(before), F.lit(0)).alias("_before"))
+    taken = sizes.where(F.col("_before") < SAMPLE_BYTES).select("_id")  # at most as many rows as ``ids``
+    rows = stored.join(F.broadcast(taken), "_id", "left_semi").collect()
     rows.sort(key=lambda r: r["_id"])
-    samples = {q: [r["_text"].encode() for r in rows if r["_use"] == "d" and r["_quality"] == q] for q in (1, 0)}
+    samples = {q: [r["_text"].encode() for r in rows if r["_part"] == part] for q, part in ((1, "g"), (0, "b"))}
     good_dict, bad_dict = dictionary(samples[1]), dictionary(samples[0])
     differ = Differ(good_dict, bad_dict)
-    others = [r for r in rows if r["_use"] == "c"]
+    others = [r for r in rows if r["_part"] == "c"]
     differences = np.array([differ.difference(r["_text"]) for r in others], dtype=float)
     knots = calibrate(differences, np.array([r["_quality"] for r in others], dtype=float))
     return Model(good_dict, bad_dict, *knots)

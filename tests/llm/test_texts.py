@@ -481,6 +481,28 @@ def test_quality_of_odd_rows(spark):
     assert quality.quality_scores(docs.limit(0), quality.train(docs.limit(0), labels)).collect() == []
 
 
+def test_long_texts_are_learned_from(spark):
+    """Only texts over 32 000 bytes are labelled."""
+    word = {1: "forest river mountain valley meadow", 0: "click buy cheap win prize"}
+    rows = [(i, " ".join(f"{w}{(i * 7 + j) % 91}" for j in range(1000) for w in word[i % 2].split()), i % 2) for i in range(80)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    assert min(len(r[1]) for r in rows) > 32_000
+    model = quality.train(frame.select("doc_id", "text"), frame.select("doc_id", "quality"))
+    held = quality.quality_scores(frame, model).where(quality.held_out()).collect()
+    assert held and all(r.predicted == r.quality for r in held)
+
+
+def test_sample_is_bounded_by_bytes_and_its_texts_by_order(spark, monkeypatch):
+    rows = [(i, f"{'good' if i % 2 else 'poor'} text {i} " * 50) for i in range(300)]
+    docs, again = (spark.createDataFrame(rows + extra, "doc_id long, text string") for extra in ([], [(i, "zzz " * 99) for i, _ in rows]))
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    assert quality.train(docs, labels) == quality.train(again, labels) == quality.train(again.repartition(7), labels)  # the least text counts
+    whole = quality.train(docs, labels)
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 5000)
+    small = quality.train(docs, labels)
+    assert 0 < len(small.good) < 5000 + 1000 and small != whole
+
+
 def test_calibration_rises():
     xs, ys = quality.calibrate(np.array([-0.1, -0.1, 0.0, 0.05, 0.05, 0.1]), np.array([0.0, 0, 1, 0, 1, 1]))
     assert list(xs) == sorted(set(xs)) and list(ys) == sorted(ys)
