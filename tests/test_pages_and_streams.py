@@ -11,6 +11,7 @@ from geoledger.operators import rankings as K
 from geoledger.operators import words as T
 from geoledger.sources import bindings as B
 from geoledger.sources import files as S
+from geoledger.streaming import incremental
 from geoledger.streaming.incremental import documents, process_batch, run_incremental
 
 PAGE = """<html><head><script>var x = '<h1>no</h1>';</script></head><body><!-- <h1>comment</h1> -->
@@ -93,6 +94,41 @@ def test_incremental_equals_batch_and_repeats_change_nothing(spark, rows, tmp_pa
     assert [tuple(w) for w in state(documents(spark, sink, cities))["a"][1]] == [tuple(w) for w in words]
 
 
+def test_state_stays_bounded_and_merging_batches_can_be_replayed(spark, rows, tmp_path):
+    sink, lexicon = str(tmp_path / "state"), B.lexicon(spark)
+    cities = rows([(c, c.upper(), None, None) for c in "abc"], STATE)
+    spark.createDataFrame([], incremental.STATE).write.parquet(f"{sink}/done/batch=-1")
+    seen: dict[str, tuple] = {}
+
+    def state():
+        return {r["city_id"]: (sorted(map(tuple, r["words"])), r["sentiment"]) for r in documents(spark, sink, cities).collect()}
+
+    def read_next():
+        """Folders and bytes of the items that the next batch reads."""
+        found = [r for r in incremental._state(spark, sink)[1] if r["name"] in ("items", "merged")]
+        files = [f for r in found for f in (tmp_path / "state" / r["name"] / f"batch={r['folder']}" / f"bucket={r['bucket']}").glob("*.parquet")]
+        return len(found), sum(f.stat().st_size for f in files)
+
+    measured = {}
+    for i in range(9):
+        # the same three reviews every time, one of them now and then in another city
+        batch = [("1", "ab"[i // 2 % 2], float(i % 6), f"parc mot{i}"), ("2", "b", 1.0, "bruit"), ("3", "c", None, f"école x{i}")]
+        process_batch(rows(batch, REVIEW), i, sink, lexicon, 1, merge_after=3)
+        if i in (2, 5):  # the batch after has three folders to merge
+            process_batch(rows(batch, REVIEW), i, sink, lexicon, 1, merge_after=3)
+        seen |= {row[0]: row for row in batch}
+        expected = T.city_word_documents(cities, rows(list(seen.values()), REVIEW), lexicon)
+        assert state() == {r["city_id"]: (sorted(map(tuple, r["words"])), r["sentiment"]) for r in expected.collect()}
+        if i in (3, 6):  # merging batches, replayed
+            before = state(), read_next()
+            process_batch(rows(batch, REVIEW), i, sink, lexicon, 1, merge_after=3)
+            assert (state(), read_next()[0]) == (before[0], before[1][0])
+        measured[i] = read_next()
+    assert [measured[i][0] for i in range(9)] == [1, 2, 3, 1, 2, 3, 1, 2, 3]
+    assert abs(measured[8][1] - measured[5][1]) < 0.05 * measured[5][1]
+    assert len(list((tmp_path / "state" / "done").glob("batch=*"))) == 2
+
+
 def test_sample_is_repeatable_and_bounded(spark):
     sf = "/root/testdata/sf0.001"
     cities, reviews = B.city_documents(spark, sf), B.reviews(spark, sf)
