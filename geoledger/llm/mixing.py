@@ -75,18 +75,20 @@ def mix_sources(
     have any names.
     """
     rates = materialise(repetition_rates(docs, weights, total_bytes, source, text), "source-rates")
-    own = docs.drop("copy", "n_copies", "mix_key")
-    # the row travels as one struct, so that its columns may have any names
-    rows = own.select(F.struct("*").alias("row"), F.col(source).alias("wanted"), F.coalesce(F.col(key).cast("string"), F.lit("null")).alias("id"))
-    joined = rows.join(rates, F.col("wanted").eqNullSafe(F.col("source")))
+    own = [c for c in docs.columns if c not in ("copy", "n_copies", "mix_key")]
+    lead = "_" * (1 + max(len(c) for c in docs.columns))  # longer than any name there is
+    wanted, parts, cdf = (lead + name for name in ("source", "parts", "cdf"))
+    rates = rates.toDF(wanted, parts, cdf)
+    joined = docs.select(*own).join(rates, docs[source].eqNullSafe(rates[wanted]))
+    id_text = F.coalesce(F.col(key).cast("string"), F.lit("null"))
     draws = F.transform(
-        F.sequence(F.lit(1), F.col("parts")),
-        lambda j: F.size(F.filter(F.col("cdf"), lambda c: c <= uniform(F.lit(seed), F.col("id"), j))),
+        F.sequence(F.lit(1), F.col(parts)),
+        lambda j: F.size(F.filter(F.col(cdf), lambda c: c <= uniform(F.lit(seed), id_text, j))),
     )
     counted = joined.withColumn("n_copies", F.aggregate(draws, F.lit(0), lambda a, x: a + x)).where("n_copies > 0")
-    copies = counted.select("row", "id", "n_copies", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)).alias("copy"))
-    mix_key = F.md5(F.concat_ws("|", F.lit("order"), F.lit(seed), F.col("id"), F.col("copy"))).alias("mix_key")
-    return copies.select("row.*", "n_copies", "copy", mix_key).repartition("mix_key").sortWithinPartitions("mix_key")
+    copies = counted.select(*own, "n_copies", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)).alias("copy"))
+    keyed = copies.withColumn("mix_key", F.md5(F.concat_ws("|", F.lit("order"), F.lit(seed), id_text, F.col("copy"))))
+    return keyed.repartition("mix_key").sortWithinPartitions("mix_key")
 
 
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
