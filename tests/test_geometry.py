@@ -293,3 +293,47 @@ def test_import_areas_reports_unreadable_outlines(spark, tmp_path):
     assert {(r["region_id"], r["name"], r["max_x"]) for r in stored["region"].collect()} == {("1", "one", 1.0), ("2", "two", 1.0)}
     lost = spark.read.parquet(str(tmp_path / "t1" / "unreadable" / "region")).collect()
     assert [(r["region_id"], r["name"]) for r in lost] == [("1", "new")]
+
+
+@pytest.mark.parametrize(
+    ("polygons", "expected"),
+    [
+        ([[_square(1.0, 1.0, 2.0)]], (1.0, 1.0, 3.0, 3.0)),
+        ([[[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (3.5, 3.9), (0.0, 4.0), (0.0, 0.0)]]], (0.5, 0.5, 3.5, 3.5)),  # a dent in a corner
+        ([[_square(0.0, 0.0, 4.0), _square(1.9, 1.9, 0.2)]], None),  # a hole in the middle
+        ([[_square(0.0, 0.0, 1.0)], [_square(3.0, 3.0, 1.0)]], None),
+        ([], None),
+        (None, None),
+    ],
+)
+def test_inner_box(rows, polygons, expected):
+    found = _value(rows, polygons, G.inner_box)
+    assert (found and tuple(found)) == expected
+
+
+def test_viewports_meet_outlines_not_boxes(spark):
+    """Diamonds with holes against a brute-force exact test; pairs are found by many tasks, from one file of viewports too."""
+    import random
+
+    draw = random.Random(5)
+
+    def diamond(x, y, r):
+        ring = lambda r: [(x - r, y), (x, y - r), (x + r, y), (x, y + r), (x - r, y)]
+        return [[ring(r), ring(r / 4)]] if draw.random() < 0.5 else [[ring(r)]]
+
+    spots = [(i, draw.uniform(0, 9), draw.uniform(0, 9), draw.uniform(0.1, 1.2)) for i in range(60)]
+    made = [(i, f"a{i}", diamond(x, y, r), x - r, y - r, x + r, y + r) for i, x, y, r in spots]
+    made += [made[0], (None, "x", *made[1][2:]), (77, "none", None, 0.0, 0.0, 9.0, 9.0)]  # a repeated key, none, no geometry
+    kind = "city_id long, level string, geometry array<array<array<struct<x:double,y:double>>>>, min_x double, min_y double, max_x double, max_y double"
+    areas = spark.createDataFrame(made, kind)
+    view = [(i, draw.uniform(0, 9), draw.uniform(0, 9), 2.0 ** draw.uniform(-5, 1)) for i in range(80)]
+    views = spark.createDataFrame([(i, x, y, x + s, y + s) for i, x, y, s in view], "view_id long, sw_lon double, sw_lat double, ne_lon double, ne_lat double")
+    found = M.intersecting_many(areas, views.coalesce(1))
+    assert found.columns == ["city_id", "view_id", *areas.columns[1:]]
+    got = sorted((r.view_id, r.city_id) for r in found.collect())
+    box = {"min_x": "sw_lon", "min_y": "sw_lat", "max_x": "ne_lon", "max_y": "ne_lat"}
+    all_pairs = areas.where("city_id is not null").withColumnsRenamed({c: f"a_{c}" for c in G.CORNERS}).crossJoin(views)
+    want = [(r.view_id, r.city_id) for r in all_pairs.where(G.intersects_box("geometry", box)).collect()]
+    want += [p for p in want if p[1] == 0]  # both rows of a repeated key with both boxes, as ever
+    assert got == sorted(want) and len(want) > 100
+    assert "SortMergeJoin [level" in found._jdf.queryExecution().executedPlan().toString()
