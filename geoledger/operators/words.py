@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,6 +13,9 @@ from geoledger.functions.codes import sentiment
 from geoledger.functions.numbers import percent
 from geoledger.functions.text import canonical, is_derived, is_uninformative
 
+#: Bytes of text of a piece (``in_pieces``).
+PIECE_BYTES = 8 * 2**20
+
 # --- tokens and rules ---------------------------------------------------------------------------
 
 
@@ -28,6 +33,13 @@ def split_words(reviews: DataFrame) -> DataFrame:
     )
 
 
+def in_pieces(reviews: DataFrame) -> DataFrame:
+    """Reviews dealt by id to tasks of about 8 MB of text: a count per review and word then needs no further shuffle of the words,
+    and what its task holds does not grow with the table or its files."""
+    n_bytes = reviews.agg(F.sum(F.octet_length("description"))).first()[0] or 0
+    return reviews.repartition(max(ceil(n_bytes / PIECE_BYTES), reviews.sparkSession.sparkContext.defaultParallelism), "review_id")
+
+
 def tag(words: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Attach lemma, part of speech and stop flag; unknown tokens are nouns standing for themselves."""
     return words.join(lexicon.select("token", "lemma", "pos", "is_stop"), "token", "left").withColumns(

@@ -23,6 +23,10 @@ def _tokens(spark: SparkSession, sf: str) -> DataFrame:
     return T.tokens(B.reviews(spark, sf), B.lexicon(spark))
 
 
+def _tokens_by_review(spark: SparkSession, sf: str) -> DataFrame:
+    return T.tokens(T.in_pieces(B.reviews(spark, sf)), B.lexicon(spark))
+
+
 def _per_token(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
 
@@ -32,7 +36,7 @@ def t1_normalize(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def t3_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return _per_token(_tokens(spark, sf), "review_id", "token", "lemma", "pos", "is_stop")
+    return _per_token(_tokens_by_review(spark, sf), "review_id", "token", "lemma", "pos", "is_stop")
 
 
 def t4_drop_stopwords(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,7 +52,7 @@ def t6_content_words(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def t7_canonical_words(spark: SparkSession, sf: str) -> DataFrame:
-    return _per_token(T.significant(_tokens(spark, sf)), "review_id", "word")
+    return _per_token(T.significant(_tokens_by_review(spark, sf)), "review_id", "word")
 
 
 def t8_sentiment(spark: SparkSession, sf: str) -> DataFrame:

@@ -121,3 +121,17 @@ def test_unknown_department_gets_a_label(rows):
     areas = rows([("01", "Ain", "84")], "department_id string, name string, region_id string")
     row = R.with_area_names(df, areas, "department_id", "Département ").collect()[0]
     assert (row["name"], row["region_id"]) == ("Département 99", "")
+
+
+def test_tasks_hold_a_bounded_piece_of_the_texts(spark, rows, monkeypatch):
+    """Tokens are counted per review in pieces of bounded size, also where ids repeat or lack."""
+    monkeypatch.setattr(T, "PIECE_BYTES", 200)
+    texts = [(None if i % 50 == 0 else str(i % 300), "c", 1.0, f"le parc mot{i % 3} les communes") for i in range(600)] + [("x", "c", 1.0, None)]
+    reviews, lexicon = rows(texts, REVIEW), B.lexicon(spark)
+    pieces = T.in_pieces(reviews)
+    assert pieces.rdd.getNumPartitions() == -(-sum(len(t[3] or "") for t in texts) // 200)
+    counted = lambda df: df.groupBy("review_id", "token", "lemma", "pos", "is_stop").count()
+    got, want = counted(T.tokens(pieces, lexicon)), counted(T.tokens(reviews, lexicon))
+    plan = got._jdf.queryExecution().executedPlan().toString()  # of the shuffles only the one by id is left
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
