@@ -25,6 +25,8 @@ from geoledger.functions.codes import (
 from geoledger.functions.numbers import struct_of
 from geoledger.sources.scratch import materialise
 
+#: Pages whose extracts are handed on together.
+PAGES_AT_ONCE = 128
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 RAW = (
@@ -54,6 +56,11 @@ class _Node:
                 waiting.append((part, True))
                 waiting.extend((below, False) for below in reversed(part.parts))
 
+    def let_go(self) -> None:
+        """Take the tree apart: parents and parts refer to each other, and a worker would hold many pages until its next full collection."""
+        for node in [self, *self]:
+            node.parent, node.parts = None, []
+
     def text(self) -> str:
         return "".join(part for part, _ in self._walk() if isinstance(part, str))
 
@@ -139,7 +146,7 @@ def _extract(url: str, html: str) -> dict:
     comments = [
         _comment(node) for node in page.all("div", "commentaire") if not node.has("reponse") and not node.has("bdmv")
     ]
-    return {
+    found = {
         "url": url,
         "h1_html": None if title is None else title.html(),
         "h1_text": _text(title),
@@ -148,11 +155,15 @@ def _extract(url: str, html: str) -> dict:
         "ratings": [rating for rating in ratings if rating],
         "comments": comments,
     }
+    page.let_go()
+    return found
 
 
 def _read_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame([_extract(url, html) for url, html in zip(batch["url"], batch["html"])])
+        for at in range(0, len(batch), PAGES_AT_ONCE):
+            some = batch.iloc[at : at + PAGES_AT_ONCE]
+            yield pd.DataFrame([_extract(url, html) for url, html in zip(some["url"], some["html"])])
 
 
 def raw_pages(pages: DataFrame) -> DataFrame:
