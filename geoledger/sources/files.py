@@ -15,6 +15,7 @@ from geoledger import schemas as S
 from geoledger.functions import geometry as G
 from geoledger.operators.transactions import rename_header
 from geoledger.schemas import TRANSACTION_HEADER
+from geoledger.sources import records as R
 from geoledger.sources.scratch import materialise
 
 
@@ -35,38 +36,40 @@ def read_csv_records(spark: SparkSession, path: str | list[str]) -> tuple[DataFr
 
     A line break ends a record where an even number of quotes comes before it.  Quotes are counted per byte range, a range's
     parity and number of records follow from the ranges before it in the file, and so each range knows which of its lines begin
-    records, without reading another one.  Records of one line are ready; the lines of longer ones meet by record number,
-    also across ranges.  Records are numbered from 1, the header; a header is one line.  Empty lines are no records.
+    records, without reading another one.  A task reads its ranges in order and joins the lines of a record as they come; only the
+    parts of records that reach into another range, two per range at most, are shuffled.  Records are numbered from 1, the header; a
+    header is one line.  Empty lines are no records.
     """
     read = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.csv").text(path)
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")]
-    lines = read.select("value", *place, F.monotonically_increasing_id().alias("line"), quotes.cast("long").alias("quotes"))
-    before = W.partitionBy("file", "start").orderBy("line").rowsBetween(W.unboundedPreceding, -1)
-    inside = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2  # 1: an odd number of quotes since the range began
+    lines = read.select("value", *place, F.monotonically_increasing_id().alias("line"))
+    headers = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    headers = materialise(headers.withColumn("fid", F.xxhash64("file")), "csv-files")  # one row per file
+    if headers.groupBy("fid").count().where("count > 1").count():
+        raise ValueError(f"two files of {path} share a hash")
 
-    thin = lines.select("file", "start", "line", "quotes").withColumn("inside", inside)
-    ranges = thin.groupBy("file", "start").agg(
-        (F.sum("quotes") % 2).alias("odd"), F.count_if(F.col("inside") == 0).alias("begun0"), F.count_if(F.col("inside") == 1).alias("begun1")
-    )
-    earlier = W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
+    lines = lines.select(F.xxhash64("file").alias("fid"), "start", "value")
+    ranges = lines.select("fid", "start", quotes.cast("int").alias("quotes")).mapInArrow(R.count_ranges, R.COUNTS)
+    earlier = W.partitionBy("fid").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
     ranges = ranges.withColumn("open", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
     begun = F.when(F.col("open") == 0, F.col("begun0")).otherwise(F.col("begun1"))
     ranges = ranges.withColumn("begun", begun).withColumn("records", F.coalesce(F.sum("begun").over(earlier), F.lit(0)))
-    ranges = materialise(ranges.select("file", "start", "open", "records"), "csv-ranges")  # one row per range
-    headers = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
-
-    marked = lines.withColumn("inside", inside).join(ranges, ["file", "start"])
-    marked = marked.withColumn("begins", ((F.col("inside") + F.col("open")) % 2 == 0).cast("long"))
-    upto = W.partitionBy("file", "start").orderBy("line").rowsBetween(W.unboundedPreceding, 0)
-    marked = marked.withColumn("number", F.col("records") + F.sum("begins").over(upto))
-    ready = (F.col("begins") == 1) & (F.col("quotes") % 2 == 0)
-    pieces = F.array_sort(F.collect_list(F.struct("start", "line", "value")))
-    longer = marked.where(~ready).groupBy("file", "number").agg(F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("record"))
-    records = marked.where(ready).select("file", "number", F.col("value").alias("record")).unionByName(longer)
+    broken = (F.col("open") == 1) | (F.lead("open").over(W.partitionBy("fid").orderBy("start")) == 1)
+    ranges = ranges.withColumn("broken", F.coalesce(broken, F.lit(False)))
+    ranges = materialise(ranges.select("fid", "start", "open", "records", "broken"), "csv-ranges")  # one row per range
+
+    moved = F.raise_error(F.lit("files were split otherwise when they were read again")).cast("long")
+    marked = lines.join(F.broadcast(ranges), ["fid", "start"], "left").withColumn("open", F.coalesce("open", moved))
+    given = ["fid", "start", "value", "open", "records"]
+    whole = marked.select(*given).mapInArrow(R.records_of(parts_only=False), R.RECORDS).select("fid", "number", "record")
+    parts = marked.where("broken").select(*given).mapInArrow(R.records_of(parts_only=True), R.RECORDS)
+    pieces = F.transform(F.array_sort(F.collect_list(F.struct("start", "record"))), lambda p: p["record"])
+    longer = parts.groupBy("fid", "number").agg(F.array_join(pieces, "\n").alias("record"))
     ending = lambda text: F.regexp_replace(text, "\\r$", "")
-    records = records.withColumn("record", ending("record")).where("record <> ''")
-    return records, headers.withColumn("header", F.regexp_replace(ending("header"), "^\ufeff", ""))
+    records = whole.unionByName(longer).withColumn("record", ending("record")).where("record <> ''")
+    records = records.join(F.broadcast(headers.select("fid", "file")), "fid").select("file", "number", "record")
+    return records, headers.select("file", F.regexp_replace(ending("header"), "^\ufeff", "").alias("header"))
 
 
 def _split_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -74,7 +77,7 @@ def _split_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     records, headers = read_csv_records(spark, paths)
     names = materialise(headers.select("file", _csv_values("header").alias("names")), "csv-headers")  # one row per file
     # one row out for one in: what stands below the generator is not evaluated again for every column
-    fields = records.where("number > 1").join(names, "file").select("names", F.explode(F.array(_csv_values("record"))).alias("values"))
+    fields = records.where("number > 1").join(F.broadcast(names), "file").select("names", F.explode(F.array(_csv_values("record"))).alias("values"))
 
     def column(source: str) -> Column:
         at = F.array_position("names", F.lit(source)).cast("int")
@@ -142,9 +145,13 @@ def read_areas_geojson(spark: SparkSession, path: str, level: str, partitions: i
 def write_table(
     df: DataFrame, target: str, mode: str = "overwrite", partitions: int | None = None, format: str = "parquet", **options: str
 ) -> None:
-    """Write a table; ``format="jdbc"`` with connection options loads a database (target = table)."""
+    """Write a table; ``format="jdbc"`` with connection options loads a database (target = table).
+
+    ``partitions`` is the number of connections to a database.  Of files it is the number of tasks the rows are dealt to; AQE
+    splits those that would read more than its advisory size and joins small ones, so a task's share does not grow with the table.
+    """
     if partitions:
-        df = df.repartition(partitions)
+        df = df.repartition(partitions) if format == "jdbc" else df.hint("rebalance", partitions)
     writer = df.write.mode(mode).format(format).options(**options)
     if format == "jdbc":
         writer.option("dbtable", target).option("batchsize", options.get("batchsize", "10000")).save()

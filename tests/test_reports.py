@@ -128,3 +128,58 @@ def test_quoted_csv_is_read_in_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     order = lambda row: tuple((v is not None, v or "") for v in row)
     assert sorted(got, key=order) == sorted(want, key=order) and len(got) == 802
+
+
+def test_split_csv_does_not_shuffle_its_lines(spark, tmp_path):
+    """Records over Arrow batches of a few lines; whole records stay in the task that read them, only parts of records are dealt out."""
+    header = list(S.TRANSACTION_HEADER)
+    body = "".join(f'"{i}",' + ",".join('"a\nb ""c""\n"' if i % 7 == j else f"{i}" for j in range(len(header) - 1)) + "\n" for i in range(300))
+    (tmp_path / "one.csv").write_text(",".join(header) + "\n" + body)
+    whole = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("lineSep", "\n").csv(str(tmp_path))
+    small = {"spark.sql.files.maxPartitionBytes": "900b", "spark.sql.files.openCostInBytes": "0", "spark.sql.execution.arrow.maxRecordsPerBatch": "3"}
+    before = {key: spark.conf.get(key) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        read = S.read_transactions_csv(spark, str(tmp_path))
+        records = S.read_csv_records(spark, str(tmp_path))[0]
+        numbers = [r["number"] for r in records.collect()]
+        got, plan = sorted(map(tuple, read.collect())), read._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == sorted(map(tuple, S.rename_header(whole).collect())) and len(got) == 300
+    assert sorted(numbers) == list(range(1, 302))  # the header is number 1
+    assert "Window" not in plan and "Sort " not in plan and plan.count("Aggregate") == 1
+
+
+def test_parsed_pages_are_let_go_of():
+    """No cycles are left for the collector, and a batch is handed on in small frames."""
+    import gc
+
+    import pandas as pd
+
+    from geoledger.operators import pages as H
+
+    gc.collect()
+    gc.disable()
+    try:
+        seen = [len(frame) for frame in H._read_batches(iter([pd.DataFrame({"url": ["u"] * 600, "html": ["<div><h1>a<p>b</p></h1></div>"] * 600})]))]
+        left = sum(isinstance(x, H._Node) for x in gc.get_objects())
+    finally:
+        gc.enable()
+    assert sum(seen) == 600 and max(seen) <= H.PAGES_AT_ONCE
+    assert left == 0
+
+
+def test_write_table_bounds_what_a_task_reads(spark, tmp_path):
+    """``partitions`` tasks for a small table, more for a larger one."""
+    target, size = str(tmp_path / "t"), spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    df = spark.range(200_000, numPartitions=16).selectExpr("id", "sha2(string(id), 256) AS text")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        S.write_table(df, target, partitions=2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    stored = spark.read.parquet(target)
+    assert len(stored.inputFiles()) > 6 and stored.count() == stored.select("id").distinct().count() == 200_000
