@@ -23,9 +23,9 @@ from geoledger.sources.scratch import materialise
 CSV_WIDTH = 64
 
 
-def _csv_values(text: str) -> Column:
-    """The fields of one CSV record; quotes inside quoted fields are doubled."""
-    names = [f"c{i}" for i in range(CSV_WIDTH)]
+def _csv_values(text: str, width: int = CSV_WIDTH) -> Column:
+    """The first ``width`` fields of one CSV record, null where it has fewer; quotes inside quoted fields are doubled."""
+    names = [f"c{i}" for i in range(width)]
     parsed = F.from_csv(F.col(text), ", ".join(f"{name} string" for name in names), {"escape": '"', "maxColumns": str(CSV_WIDTH)})
     # bound as a variable: a record is parsed once, not once per field
     return F.get(F.transform(F.array(parsed), lambda p: F.array(*[p[name] for name in names])), F.lit(0))
@@ -76,8 +76,10 @@ def _split_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Large files, read in splits; columns by the header of their file."""
     records, headers = read_csv_records(spark, paths)
     names = materialise(headers.select("file", _csv_values("header").alias("names")), "csv-headers")  # one row per file
+    last = F.array_max(F.array(*[F.array_position("names", F.lit(source)) for source in TRANSACTION_HEADER]))
+    width = max(names.agg(F.max(last)).first()[0], 1)  # a record is parsed up to the last field in use
     # one row out for one in: what stands below the generator is not evaluated again for every column
-    fields = records.where("number > 1").join(F.broadcast(names), "file").select("names", F.explode(F.array(_csv_values("record"))).alias("values"))
+    fields = records.where("number > 1").join(F.broadcast(names), "file").select("names", F.explode(F.array(_csv_values("record", width))).alias("values"))
 
     def column(source: str) -> Column:
         at = F.array_position("names", F.lit(source)).cast("int")
