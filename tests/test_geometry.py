@@ -340,6 +340,33 @@ def test_viewports_meet_outlines_not_boxes(spark):
     assert "SortMergeJoin [level" in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_pairs_of_viewports_are_cheap_to_make(spark):
+    """Rectangles under boxes of their own, larger, smaller and apart, and viewports that stand on their head, against brute force;
+    the pairs come from many tasks whatever their bytes, and no cell is computed per pair."""
+    import random
+
+    draw = random.Random(9)
+    made = []
+    for i in range(90):
+        x, y, r = draw.randrange(0, 9), draw.randrange(0, 9), draw.choice([0.5, 1.0, 3.0])
+        west, south, east, north = [(0, 0, 0, 0), (-1, -1, 1, 1), (0.25, 0.25, -0.2, -0.2), (r + 1, 0, 2, 0)][i % 4 if i % 3 else 0]
+        made.append((i, [[_square(float(x), float(y), r)]], x + west, y + south, x + r + east, y + r + north))
+    kind = "city_id long, geometry array<array<array<struct<x:double,y:double>>>>, min_x double, min_y double, max_x double, max_y double"
+    areas = spark.createDataFrame([(*row[:2], *map(float, row[2:])) for row in made], kind)
+    corners = [(draw.randrange(0, 40) / 4, draw.randrange(0, 40) / 4, draw.choice([0.5, 2.0])) for _ in range(80)]
+    view = [(i, x, y, x + s, y + s) if i % 9 else (i, x, y, x - 0.25, y + s) for i, (x, y, s) in enumerate(corners)]
+    views = spark.createDataFrame(view, "view_id long, sw_lon double, sw_lat double, ne_lon double, ne_lat double")
+    found = M.intersecting_many(areas, views)
+    box = {"min_x": "sw_lon", "min_y": "sw_lat", "max_x": "ne_lon", "max_y": "ne_lat"}
+    exact = areas.crossJoin(views).where(G.overlaps_box(box)).where(G.intersects_box("geometry", box)).collect()
+    want = sorted((r.view_id, r.city_id) for r in exact)
+    assert sorted((r.view_id, r.city_id) for r in found.collect()) == want and len({v for v, _ in want if v % 9 == 0}) > 2
+    plan = found.select("view_id", "city_id")._jdf.queryExecution().sparkPlan().toString()
+    joins = [line for line in plan.split("\n") if "SortMergeJoin [level" in line]
+    assert joins and not any("FLOOR" in line or "pow" in line for line in joins)
+    assert found.rdd.getNumPartitions() >= M.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
 def test_points_are_folded_before_they_are_shuffled(spark):
     """Diamonds with a hole over many points, against an exact test of every pair; positions leave their cell's task folded per area."""
     import random
