@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from geoledger.functions.geometry import CORNERS, with_bbox
 from geoledger.operators.reviews import department_documents, region_documents
 from geoledger.operators.transactions import conform_transactions, drop_incomplete
-from geoledger.operators.upsert import dedup_insert, upsert_columns, upsert_replace
+from geoledger.operators.upsert import absent_rows, upsert_columns, upsert_replace
 from geoledger.operators.validity import rebuild_crossing
 from geoledger.sources.files import read_areas_geojson, read_transactions_csv, write_areas, write_transactions_by_place
-from geoledger.sources.scratch import materialise
+from geoledger.sources.scratch import materialise, shuffles_removed
 
 KEYS = ["tx_id", "parcel_id"]
 ORDER = ["tx_date", "price", "city_id", "built_area", "land_area", "lon", "lat"]
@@ -25,12 +25,15 @@ def _apart(target: str, previous: str | None) -> None:
 def import_transactions(spark: SparkSession, source: str, target: str, previous: str | None = None) -> DataFrame:
     """CSV files to the stored table of sales: complete rows, typed, first row per sale and parcel, in spatial order.
 
-    Sales already stored under ``previous`` stay as they are; ``target`` then holds both.
+    Sales already stored under ``previous`` stay as they are; ``target`` then holds both.  Stored sales lie by place, so they are
+    written as scanned and only new ones are dealt out: an import adds a run of files in order of place.  The shuffles of the job are
+    deleted as it ends.
     """
     _apart(target, previous)
-    new = conform_transactions(drop_incomplete(read_transactions_csv(spark, source)))
-    stored = None if previous is None else spark.read.parquet(previous)
-    write_transactions_by_place(dedup_insert(new, stored, KEYS, ORDER), target)
+    with shuffles_removed(spark):
+        new = conform_transactions(drop_incomplete(read_transactions_csv(spark, source)))
+        stored = None if previous is None else spark.read.parquet(previous)
+        write_transactions_by_place(absent_rows(new, stored, KEYS, ORDER), target, stored=stored)
     return spark.read.parquet(target)
 
 

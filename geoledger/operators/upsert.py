@@ -18,15 +18,19 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return df.withColumn("_rn", F.row_number().over(ranked)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def dedup_insert(new: DataFrame, existing: DataFrame | None, keys: list[str], order: list[str]) -> DataFrame:
-    """Stored rows plus the first new row of each absent key.
+def absent_rows(new: DataFrame, existing: DataFrame | None, keys: list[str], order: list[str]) -> DataFrame:
+    """The first new row of each key that is not stored.
 
     Equal rows tie on every order column, so picking the first per key also removes copies.
     """
-    added = first_per_key(new, keys, order)
-    if existing is None:
-        return added
-    return existing.unionByName(added.join(existing.select(*keys), keys, "left_anti"))
+    first = first_per_key(new, keys, order)
+    return first if existing is None else first.join(existing.select(*keys), keys, "left_anti")
+
+
+def dedup_insert(new: DataFrame, existing: DataFrame | None, keys: list[str], order: list[str]) -> DataFrame:
+    """Stored rows plus the first new row of each absent key (``absent_rows``)."""
+    added = absent_rows(new, existing, keys, order)
+    return added if existing is None else existing.unionByName(added)
 
 
 def _full_join(new: DataFrame, existing: DataFrame, keys: list[str]) -> tuple[DataFrame, Column, Column]:

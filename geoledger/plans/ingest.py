@@ -17,7 +17,7 @@ from geoledger.plans import inputs as I
 from geoledger.schemas import TRANSACTION_HEADER
 from geoledger.sources import bindings as B
 from geoledger.sources import files as S
-from geoledger.sources.scratch import scratch_path
+from geoledger.sources.scratch import remove_path, scratch_path
 from geoledger.streaming.incremental import run_incremental
 
 ORDER = ["tx_date", "price", "city_id", "built_area", "land_area", "lon", "lat"]
@@ -26,6 +26,7 @@ LABELS = {
     "safety": "Sécurité", "education": "Éducation", "sport_leisure": "Sport et loisirs", "environment": "Environnement",
     "practical_life": "Vie pratique",
 }
+PIECE = 100_000  # records of a compressed CSV file, which one task reads
 REVIEW_FILES = "review_id string, city_id string, score double, description string, delivery int"
 
 
@@ -33,7 +34,8 @@ REVIEW_FILES = "review_id string, city_id string, score double, description stri
 
 
 def _write_csv(tx: DataFrame) -> str:
-    """Transactions as CSV with quotes, line breaks and leading zeros, in two files that differ in the order of columns."""
+    """Transactions as CSV with quotes, line breaks and leading zeros, in files of two kinds: a quarter of the rows in plain ones, the
+    others in compressed pieces whose columns stand in another order."""
     path = scratch_path(tx.sparkSession, "transactions-csv")
     tx = tx.withColumns(
         {
@@ -42,9 +44,11 @@ def _write_csv(tx: DataFrame) -> str:
         }
     )
     out = tx.select(*[F.col(name).alias(header) for header, name in TRANSACTION_HEADER.items()])
-    for part, columns in ((0, out.columns), (1, out.columns[::-1])):
-        some = out.where(F.pmod(F.xxhash64(*out.columns), F.lit(2)) == part).select(*columns)
-        some.write.mode("append").option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    pieces = {"compression": "gzip", "maxRecordsPerFile": PIECE}
+    plain = F.pmod(F.xxhash64(*out.columns), F.lit(4)) == 0
+    for part, columns, how in ((plain, out.columns, {}), (~plain, out.columns[::-1], pieces)):
+        some = out.where(part).select(*columns)
+        some.write.mode("append").options(header=True, escape='"', quoteAll=True, **how).csv(path)
     return path
 
 
@@ -54,11 +58,15 @@ def s1_transaction_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def s1_import_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    """Half of the sales imported first, then all of them at other prices: stored sales stay."""
+    """Half of the sales imported first, then all of them at other prices: stored sales stay.  Files that were imported are deleted."""
     tx = B.transactions(spark, sf)
     first, second = scratch_path(spark, "import"), scratch_path(spark, "import")
-    J.import_transactions(spark, _write_csv(tx.where(F.col("tx_id").cast("bigint") % 2 == 0)), first)
-    stored = J.import_transactions(spark, _write_csv(tx.withColumn("price", F.col("price") + 1)), second, previous=first)
+    half = _write_csv(tx.where(F.col("tx_id").cast("bigint") % 2 == 0))
+    J.import_transactions(spark, half, first)
+    remove_path(spark, half)
+    whole = _write_csv(tx.withColumn("price", F.col("price") + 1))
+    stored = J.import_transactions(spark, whole, second, previous=first)
+    remove_path(spark, whole)
     return stored.select("tx_id", "parcel_id", "tx_date", "price", "city_id", "built_area", "land_area", "lon", "lat")
 
 

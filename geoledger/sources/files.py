@@ -104,20 +104,20 @@ def _whole_csv(spark: SparkSession, paths: list[str], multi_line: bool) -> list[
 
 
 def read_transactions_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """All CSV files of a folder, every column as text so codes keep leading zeros.
+    """All CSV files of a folder, also compressed ones (``.csv.gz``), every column as text so codes keep leading zeros.
 
-    Files larger than a split are read in splits, also where fields hold line breaks (``read_csv_records``); smaller ones are one task
-    each.  Both give the same rows.  Columns are found by header name, file by file, so a file whose columns stand in another
+    Files larger than a split are read in splits, also where fields hold line breaks (``read_csv_records``); smaller ones and compressed
+    ones, which cannot be split, are one task each.  Both give the same rows.  Columns are found by header name, file by file, so a file whose columns stand in another
     order is read right; one that lacks a column fails the query.  ``multi_line=False`` is for files without line breaks
     in fields, which Spark splits by itself.
     """
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path", "length").collect()
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.{csv,csv.gz}").load(path).select("path", "length").collect()
     if not listed:
         raise FileNotFoundError(f"no CSV file in {path}")
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    large = [row["path"] for row in listed if multi_line and row["length"] > split]
-    small = [row["path"] for row in listed if row["path"] not in set(large)]
-    scans = ([_split_csv(spark, large)] if large else []) + (_whole_csv(spark, small, multi_line) if small else [])
+    large = {row["path"] for row in listed if multi_line and row["length"] > split and row["path"].endswith(".csv")}
+    small = [row["path"] for row in listed if row["path"] not in large]
+    scans = ([_split_csv(spark, sorted(large))] if large else []) + (_whole_csv(spark, small, multi_line) if small else [])
     return reduce(DataFrame.unionByName, [rename_header(scan) for scan in scans])
 
 
@@ -179,16 +179,23 @@ def write_transactions(tx: DataFrame, target: str, mode: str = "overwrite") -> N
 
 
 def write_transactions_by_place(
-    tx: DataFrame, target: str, mode: str = "overwrite", cell: float = 1.0, partitions: int | None = None
+    tx: DataFrame,
+    target: str,
+    mode: str = "overwrite",
+    cell: float = 1.0,
+    partitions: int | None = None,
+    stored: DataFrame | None = None,
 ) -> None:
     """Sales dealt to files by ranges of grid cells and sorted by cell inside, so that a viewport skips most of them.
 
-    The position breaks ties of a crowded cell, so it is spread over several files.
+    The position breaks ties of a crowded cell, so it is spread over several files.  Rows of ``stored``, which lie by place already,
+    are written along as scanned.
     """
     keys = ["i", "j", "lon", "lat", "tx_id"]
     placed = G.with_cell(tx, cell)
     dealt = placed.repartitionByRange(*([partitions] if partitions else []), *keys).sortWithinPartitions(*keys)
-    dealt.drop("i", "j").write.mode(mode).parquet(target)
+    dealt = dealt.drop("i", "j")
+    (dealt if stored is None else stored.unionByName(dealt)).write.mode(mode).parquet(target)
 
 
 def read_docs(spark: SparkSession, path: str, schema: str, format: str = "json") -> DataFrame:

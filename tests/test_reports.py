@@ -153,6 +153,69 @@ def test_split_csv_does_not_shuffle_its_lines(spark, tmp_path):
     assert "Window" not in plan and "Sort " not in plan and plan.count("Aggregate") == 1
 
 
+def _sales_csv(rows):
+    header = list(S.TRANSACTION_HEADER)
+    at = {"id_mutation": 0, "id_parcelle": 1, "valeur_fonciere": 2, "latitude": 3, "longitude": 4}
+    lines = [",".join(f'"{row[at[name]]}"' if name in at else '"a\nb"' for name in header) for row in rows]
+    return "\n".join([",".join(header), *lines, ""])
+
+
+@pytest.mark.parametrize("split", [None, "500b"])
+def test_compressed_csv_is_read_too(spark, tmp_path, split):
+    import gzip
+
+    one, two = ([(f"{name}{i}", "p", i, 45, 1) for i in range(50)] for name in "ab")
+    (tmp_path / "one.csv").write_text(_sales_csv(one))
+    (tmp_path / "two.csv.gz").write_bytes(gzip.compress(_sales_csv(two).encode(), 0))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split or size)
+    try:
+        got = S.read_transactions_csv(spark, str(tmp_path)).select("tx_id", "parcel_id", "price", "lat", "lon", "city_name").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert sorted(map(tuple, got)) == sorted((*map(str, row), "a\nb") for row in one + two)
+
+
+def test_import_deals_out_new_sales_only_and_leaves_no_shuffles(spark, tmp_path):
+    """Stored sales are written along as they lie, in files of their own; sales of the same key are not added, copies once."""
+    import time
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from geoledger.operators.imports import import_transactions
+
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {str(f) for d in manager.localDirs() for f in Path(d.getPath()).rglob("shuffle_*")}
+    before, key = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept = spark.conf.get(key)
+    first = [(f"t{i}", "p", 1, 42 + i % 9, i % 14) for i in range(0, 200, 2)]
+    second = [(f"t{i}", "p", 2, 42 + i % 9, i % 14) for i in range(200)] + [("t1", "p", 2, 43, 1), ("none", "p", 2, "", 1)]
+    for name, rows, previous in (("1", first, None), ("2", second, str(tmp_path / "out1"))):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.csv").write_text(_sales_csv(rows))
+        stored = import_transactions(spark, str(tmp_path / name), str(tmp_path / f"out{name}"), previous)
+    until = time.time() + 20
+    while (left := shuffled() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(key) == kept
+    assert sorted((r["tx_id"], r["price"]) for r in stored.collect()) == sorted((f"t{i}", 1.0 + i % 2) for i in range(200))
+    files = stored.groupBy(F.input_file_name()).agg(F.count_distinct("price").alias("kinds")).collect()
+    assert len(files) > 1 and all(f["kinds"] == 1 for f in files)
+
+
+def test_imported_files_are_deleted(spark):
+    from pathlib import Path
+
+    from geoledger.plans import ingest
+    from geoledger.sources.scratch import scratch_path
+
+    folder = Path(scratch_path(spark, "x")).parent
+    before = set(folder.glob("transactions-csv-*")) if folder.exists() else set()
+    assert ingest.s1_import_transactions(spark, "/root/testdata/sf0.001").count() > 1000
+    assert set(folder.glob("transactions-csv-*")) <= before
+
+
 def test_parsed_pages_are_let_go_of():
     """No cycles are left for the collector, and a batch is handed on in small frames."""
     import gc
